@@ -64,7 +64,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
     raw = normalise_null_tokens(raw, [f.name for f in schema.fields], null_tokens)
     return raw.select(*[
         (F.col(f"`{f.name}`") if isinstance(f.dataType, T.StringType)
-         else F.try_cast(F.col(f"`{f.name}`"), f.dataType)).alias(f.name)
+         else F.col(f"`{f.name}`").try_cast(f.dataType)).alias(f.name)
         for f in schema.fields
     ])
 
