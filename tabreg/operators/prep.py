@@ -330,12 +330,13 @@ class ImputerModel:
 class Imputer:
     """fill missing values with the training mean, median or mode.
 
-    * mean: ``avg``; median: ``percentile_approx`` (exact below the
-      accuracy, bounded memory above); mode: most frequent value, ties to
-      the smallest value, from a grouped count (partial aggregation).
+    * mean: ``avg``; median: exact discrete median (rank ``ceil(n/2)``,
+      distributed selection) or the ``percentile_approx`` sketch; mode: most
+      frequent value, ties to the smallest, from a grouped count.
     """
     cols: Sequence[str]
     strategy: str = "mean"
+    method: str = "exact"
     accuracy: int = QUANTILE_ACCURACY
 
     def fit(self, df: DataFrame) -> ImputerModel:
@@ -344,10 +345,10 @@ class Imputer:
                            for c in self.cols]).first()
             return ImputerModel({c: row[c] for c in self.cols})
         if self.strategy == "median":
-            row = df.agg(*[F.percentile_approx(_nan_to_null(df, c).cast("double"), 0.5,
-                                               self.accuracy).alias(c)
-                           for c in self.cols]).first()
-            return ImputerModel({c: row[c] for c in self.cols})
+            from tabreg.operators.profile import quantiles
+            return ImputerModel({c: quantiles(df, c, [0.5], method=self.method,
+                                              accuracy=self.accuracy).first()["q0"]
+                                 for c in self.cols})
         if self.strategy == "mode":
             return ImputerModel({c: mode_value(df, c) for c in self.cols})
         raise ValueError(f"unknown strategy {self.strategy}")
@@ -367,7 +368,7 @@ def mode_value(df: DataFrame, col: str):
 # ------------------------------------------------------------ outliers
 
 def outlier_flags(df: DataFrame, col: str, method: str = "iqr", k: float = 1.5,
-                  z: float = 3.0, out: str = "is_outlier",
+                  z: float = 3.0, out: str = "is_outlier", quantile_method: str = "exact",
                   accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
     """flag rows outside the IQR fences (or beyond ``z`` std devs).
 
@@ -376,9 +377,11 @@ def outlier_flags(df: DataFrame, col: str, method: str = "iqr", k: float = 1.5,
     """
     x = _nan_to_null(df, col).cast("double")
     if method == "iqr":
-        q = df.agg(F.percentile_approx(x, [0.25, 0.75], accuracy).alias("q"))
-        q1 = q.select(F.col("q")[0]).scalar()
-        q3 = q.select(F.col("q")[1]).scalar()
+        from tabreg.operators.profile import quantiles
+        q = quantiles(df, col, [0.25, 0.75], method=quantile_method, accuracy=accuracy)
+        q = q.sparkSession.createDataFrame([q.first()])  # two numbers, cut the plan
+        q1 = q.select("q0").scalar()
+        q3 = q.select("q1").scalar()
         lo, hi = q1 - F.lit(k) * (q3 - q1), q3 + F.lit(k) * (q3 - q1)
     elif method == "zscore":
         s = df.agg(F.avg(x).alias("m"), F.stddev_pop(x).alias("s"))

@@ -7,8 +7,9 @@ Every profile is computed with as few passes as possible:
   value (one value holding a third of the rows) before the shuffle;
 * moments of all columns come out of one wide ``agg`` (no shuffle at all,
   just one row of partial aggregates per task);
-* quantiles use ``percentile_approx`` (bounded-memory sketch); with the
-  default accuracy it is exact on inputs below 100,000 rows per group.
+* quantiles are exact by default through a distributed selection (range
+  shuffle + rank scan); ``method="approx"`` switches to the one-pass
+  ``percentile_approx`` sketch.
 """
 
 from __future__ import annotations
@@ -248,10 +249,42 @@ def feature_distributions(df: DataFrame, cols: Sequence[str],
         F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
 
 
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
+                    group_cols: Sequence[str] = ()) -> DataFrame:
+    """Exact discrete quantiles per group: the value of rank ``ceil(q * n)``.
+
+    Distributed selection: a range-partitioned rank scan (no group is ever
+    held by a single task, see ``functions.scan``), a per-group count
+    (partial aggregation) and one grouped pick of the target ranks.
+    Memory is bounded for any group size, unlike the exact ``percentile``
+    aggregate, which keeps every distinct value of a group in one buffer.
+    """
+    from tabreg.functions.scan import running_aggregate
+    g = list(group_cols) or ["__all"]
+    x = _nan_to_null(df, col).cast("double")
+    keys = [F.col(c) for c in group_cols] or [F.lit(0).alias("__all")]
+    vals = df.select(*keys, x.alias("__x")).filter(F.col("__x").isNotNull())
+    ranked = running_aggregate(vals, g, ["__x"], "count", out="__rk")
+    counts = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("__n"))
+    targets = [F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * F.col("__n"))) for p in probs]
+    joined = ranked.join(counts, g)
+    wanted = targets[0] == F.col("__rk")
+    for t in targets[1:]:
+        wanted = wanted | (t == F.col("__rk"))
+    out = joined.filter(wanted).groupBy(*g).agg(*[
+        F.max(F.when(F.col("__rk") == t, F.col("__x"))).alias(f"q{i}")
+        for i, t in enumerate(targets)])
+    return out.drop("__all") if not group_cols else out
+
+
 def quantiles(df: DataFrame, col: str, probs: Sequence[float],
-              group_cols: Sequence[str] = (),
+              group_cols: Sequence[str] = (), method: str = "exact",
               accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
-    """Quantiles per group with the bounded-memory ``percentile_approx``."""
+    """Quantiles per group: ``exact`` (distributed selection, rank
+    ``ceil(q * n)``) or ``approx`` (``percentile_approx`` sketch, one pass,
+    rank error at most ``n / accuracy``)."""
+    if method == "exact":
+        return exact_quantiles(df, col, probs, group_cols)
     x = _nan_to_null(df, col).cast("double")
     q = F.percentile_approx(x, list(probs), accuracy)
     agg = df.groupBy(*group_cols).agg(q.alias("q")) if group_cols else df.agg(q.alias("q"))
@@ -259,7 +292,7 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float],
 
 
 def box_summary(df: DataFrame, col: str, group_cols: Sequence[str] = (),
-                accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+                method: str = "exact", accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
     """Quartiles, IQR fences and whiskers (extreme points inside the fences).
 
     Two aggregates: quantiles per group, then whiskers/outlier counts over
@@ -269,7 +302,7 @@ def box_summary(df: DataFrame, col: str, group_cols: Sequence[str] = (),
     g = list(group_cols)
     x = _nan_to_null(df, col).cast("double")
     vals = df.select(*g, x.alias("x")).filter(F.col("x").isNotNull())
-    qs = quantiles(vals, "x", [0.25, 0.5, 0.75], g, accuracy).select(
+    qs = quantiles(vals, "x", [0.25, 0.5, 0.75], g, method, accuracy).select(
         *g, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     qs = qs.withColumn("iqr", F.col("q3") - F.col("q1")) \
         .withColumn("lower_fence", F.col("q1") - 1.5 * F.col("iqr")) \
