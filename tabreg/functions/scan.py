@@ -55,11 +55,12 @@ def _local_scan_fn(group_cols: list[str], value: str | None, op: str, out: str,
         for pdf in it:
             if pdf.empty:
                 continue
-            keys = list(pdf[group_cols].itertuples(index=False, name=None))
-            new = np.ones(len(keys), dtype=bool)
-            for i in range(1, len(keys)):
-                new[i] = keys[i] != keys[i - 1]
+            kdf = pdf[group_cols]
+            new = (kdf != kdf.shift(1)).any(axis=1).to_numpy()
+            new[0] = True
             gid = np.cumsum(new)
+            first_key = tuple(kdf.iloc[0])
+            last_key = tuple(kdf.iloc[-1])
             g = pd.Series(gid, index=pdf.index)
             if op == "count":
                 local = g.groupby(g).cumcount().astype("int64") + 1
@@ -77,7 +78,7 @@ def _local_scan_fn(group_cols: list[str], value: str | None, op: str, out: str,
                     is_new = prev_best.isna() | better.fillna(False)
                     at = pdf[order_col].where(is_new).groupby(g).ffill()
             first = gid == 1
-            if prev_key is not None and keys[0] == prev_key:
+            if prev_key is not None and first_key == prev_key:
                 if op in ("argmin", "argmax"):
                     wins = (local[first] >= prev_val) if op == "argmin" \
                         else (local[first] <= prev_val)
@@ -86,7 +87,7 @@ def _local_scan_fn(group_cols: list[str], value: str | None, op: str, out: str,
                     at.loc[idx] = prev_at
                 else:
                     local.loc[first] = [_combine(op, prev_val, x) for x in local[first]]
-            prev_key = keys[-1]
+            prev_key = last_key
             prev_val = local.iloc[-1]
             if op in ("argmin", "argmax"):
                 prev_at = at.iloc[-1]

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabreg.functions.rowwise import linear_combination, mean_of
-from tabreg.operators.models import predict, ridge
+from tabreg.operators.models import fit as fit_cached, predict, ridge
 from tabreg.operators.prep import train_test_split, with_kfold
 from tabreg.session import cut_lineage
 
@@ -58,7 +58,7 @@ class VotingModel:
 def voting(estimators: Mapping[str, object], df: DataFrame,
            weights: Sequence[float] | None = None, pred: str = "prediction") -> VotingModel:
     """Fit every member on the same rows."""
-    return VotingModel({n: e.fit(df) for n, e in estimators.items()}, weights, pred)
+    return VotingModel(_fit_all(estimators, df), weights, pred)
 
 
 # ------------------------------------------------------------------ optimal weights
@@ -144,6 +144,14 @@ def _fit(factory, df: DataFrame):
     return est.fit(df)
 
 
+def _fit_all(members: Mapping[str, object], df: DataFrame) -> dict:
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return {n: _fit(e, cached) for n, e in members.items()}
+    finally:
+        cached.unpersist()
+
+
 def out_of_fold(df: DataFrame, key: Sequence[str], label: str,
                 members: Mapping[str, object], k: int = 10, fold_col: str = "fold",
                 salt: str = "fold") -> DataFrame:
@@ -188,8 +196,8 @@ def stacking(df: DataFrame, key: Sequence[str], label: str, members: Mapping[str
     """Ridge meta-model on out-of-fold predictions; members re-fitted on all rows."""
     oof = out_of_fold(df, key, label, members, k)
     x = VectorAssembler(inputCols=list(members), outputCol="__meta_x").transform(oof)
-    meta = ridge(x, alpha, "__meta_x", label).fit(x)
-    full = {n: _fit(e, df) for n, e in members.items()}
+    meta = fit_cached(ridge(x, alpha, "__meta_x", label), x)
+    full = _fit_all(members, df)
     return StackedModel(full, meta, pred), oof
 
 
@@ -198,12 +206,12 @@ def blending(df: DataFrame, key: Sequence[str], label: str, members: Mapping[str
              pred: str = "prediction") -> StackedModel:
     """Members fitted on the base part only; ridge meta-model on the hold-out."""
     base, hold = train_test_split(df, list(key), holdout_fraction, salt)
-    fitted = {n: _fit(e, base) for n, e in members.items()}
+    fitted = _fit_all(members, base)
     h = hold
     for name, m in fitted.items():
         h = predict(m, h, name)
     x = VectorAssembler(inputCols=list(members), outputCol="__meta_x").transform(h)
-    meta = ridge(x, alpha, "__meta_x", label).fit(x)
+    meta = fit_cached(ridge(x, alpha, "__meta_x", label), x)
     return StackedModel(fitted, meta, pred)
 
 

@@ -32,6 +32,20 @@ def _stats(df: DataFrame, label: str) -> tuple[int, float]:
     return int(row["n"]), float(row["s"] or 0.0)
 
 
+def fit(estimator, df: DataFrame):
+    """Fit with the input persisted for the duration of the fit.
+
+    Tree learners and iterative solvers pass over their input many times;
+    without this every pass re-reads and re-derives it. The cache is
+    dropped right after (an executor loss only costs recomputation).
+    """
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return estimator.fit(cached)
+    finally:
+        cached.unpersist()
+
+
 # ------------------------------------------------------------ linear family (M1-M4)
 
 def linear_regression(features: str = FEATURES, label: str = LABEL,
@@ -121,7 +135,11 @@ class BaggedModel:
 def bagging(estimator, df: DataFrame, n_estimators: int = 10, seed: int = 42,
             pred: str = "prediction") -> BaggedModel:
     """M7 generic: each member sees ``sample(withReplacement=True, 1.0, seed+i)``."""
-    models = [estimator.fit(df.sample(True, 1.0, seed + i)) for i in range(n_estimators)]
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        models = [estimator.fit(cached.sample(True, 1.0, seed + i)) for i in range(n_estimators)]
+    finally:
+        cached.unpersist()
     return BaggedModel(models, pred)
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Any, Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -472,6 +473,14 @@ class FeaturePipeline:
     null_threshold: float | None = None
 
     def fit(self, df: DataFrame) -> FeaturePipelineModel:
+        """A few aggregates over the persisted training rows (dropped after)."""
+        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return self._fit(cached)
+        finally:
+            cached.unpersist()
+
+    def _fit(self, df: DataFrame) -> FeaturePipelineModel:
         numerical = list(self.spec.numerical)
         nominal = list(self.spec.nominal)
         ordinal = dict(self.spec.ordinal)

@@ -56,7 +56,7 @@ def _coef_frame(spark, name, model):
 def _linear_q(name, build):
     def run(spark, sf):
         df = _one_feature(spark, sf)
-        return _coef_frame(spark, name, build(df).fit(df))
+        return _coef_frame(spark, name, M.fit(build(df), df))
     QUERIES[name] = run
 
 
@@ -101,7 +101,7 @@ def _li_split(spark, sf):
 def _fit_predict(name, build):
     def run(spark, sf):
         train, test = _li_split(spark, sf)
-        model = build().fit(train)
+        model = M.fit(build(), train)
         return M.predict(model, test, "prediction").select(*KEY, "label", "prediction")
     QUERIES[name] = run
 
@@ -133,18 +133,20 @@ def svr_linear(spark, sf):
 def feature_importance(spark, sf):
     train, _ = _li_split(spark, sf)
     names = M.slot_names(train)
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     frames = [M.feature_importance(spark, M.random_forest(20, 5).fit(train), names, "random_forest"),
               M.feature_importance(spark, M.gbt("depthwise", n_estimators=10, max_depth=4)
                                    .fit(train), names, "gbt_depthwise"),
               M.feature_importance(spark, M.linear_regression().fit(train), names,
                                    "linear_regression")]
+    train.unpersist()
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
 @q("learning_curve")
 def learning_curve(spark, sf):
     train, test = _li_split(spark, sf)
-    model = M.gbt("histogram", n_estimators=10, max_depth=4).fit(train)
+    model = M.fit(M.gbt("histogram", n_estimators=10, max_depth=4), train)
     return M.learning_curve(spark, model, {"train": train, "test": test})
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tabreg.operators import profile as P
 from tabreg.operators.evaluate import metrics
-from tabreg.operators.models import linear_regression
+from tabreg.operators.models import fit, linear_regression
 from tabreg.operators.prep import FeaturePipeline, FeatureSpec, train_test_split
 from tabreg.plans.data import PRIORITY_ORDER, lineitem_net, orders_customers, orders_profiled
 from tabreg.plans.sql import LINEITEM_NET, ORDERS_PROFILED
@@ -36,7 +36,7 @@ def flagship(spark, sf):
                            dominance_threshold=0.7, null_threshold=0.7).fit(train)
     tr = pipe.transform(train, assemble_vector=True)
     te = pipe.transform(test, assemble_vector=True)
-    model = linear_regression().fit(tr)
+    model = fit(linear_regression(), tr)
     pred = model.transform(te)
     return metrics(pred, "label", {"linear_regression": "prediction"})
 
