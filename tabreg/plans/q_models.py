@@ -239,3 +239,28 @@ def stacking(spark, sf):
     train, test = train_test_split(_li_blend(spark, sf), KEY, 0.2)
     stacked, _ = N.stacking(train, KEY, "label", _blend_members(), k=3)
     return stacked.transform(test).select(*KEY, "label", "prediction")
+
+
+# ------------------------------------------------------------------ k nearest neighbours
+
+
+@q("knn_exact")
+def knn_exact(spark, sf):
+    """kNN regression (k = 5) of held-out embeddings on the rest; exact."""
+    from tabreg.operators.knn import knn_regress
+    e = read_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"])
+    train, test = train_test_split(e, "vec_id", 0.2)
+    out = knn_regress(train, test, "vec_id", "embedding", "label", k=5)
+    return out.select("vec_id", F.round("prediction", 9).alias("prediction"),
+                      F.round("kth_dist2", 6).alias("kth_dist2"))
+
+
+ORACLES["knn_exact"] = f"""
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label,
+                  {bucket('vec_id')} < 20 AS is_test FROM embeddings),
+tr AS (SELECT * FROM e WHERE NOT is_test), te AS (SELECT * FROM e WHERE is_test),
+p AS (SELECT te.vec_id AS q, tr.vec_id AS tid, tr.label,
+             round(power(list_distance(te.v, tr.v), 2), 9) AS d2 FROM te CROSS JOIN tr),
+r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY d2, tid) AS rn FROM p)
+SELECT q AS vec_id, round(avg(label), 9) AS prediction, round(max(d2), 6) AS kth_dist2
+FROM r WHERE rn <= 5 GROUP BY q"""
