@@ -268,23 +268,14 @@ class StandardScaler:
         return StandardScalerModel({c: (row[f"m_{c}"], row[f"s_{c}"]) for c in self.cols})
 
 
-def standard_scale_lazy(df: DataFrame, cols: Sequence[str],
-                        fit_on: DataFrame | None = None) -> DataFrame:
-    """F8/F14 without a driver round trip: statistics as scalar subqueries.
+def standard_scale_refit(df: DataFrame, cols: Sequence[str],
+                         fit_on: DataFrame | None = None) -> DataFrame:
+    """scale with statistics of ``fit_on`` (default: ``df`` itself).
 
-    ``fit_on=None`` re-fits on ``df`` itself (the reference's test-set
-    re-fit, F14); pass the training frame for the clean behaviour.
+    ``fit_on=None`` reproduces the reference's re-fit of the scaler on the
+    test set; pass the training frame for the clean behaviour (= F8).
     """
-    src = fit_on if fit_on is not None else df
-    stats = src.agg(*[f for c in cols for f in (
-        F.avg(F.col(c).cast("double")).alias(f"m_{c}"),
-        F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}"))])
-    out = {}
-    for c in cols:
-        m = stats.select(f"m_{c}").scalar()
-        s = stats.select(f"s_{c}").scalar()
-        out[c] = (F.col(c).cast("double") - m) / F.when(s > 0, s).otherwise(F.lit(1.0))
-    return df.withColumns(out)
+    return StandardScaler(cols).fit(fit_on if fit_on is not None else df).transform(df)
 
 
 @dataclass
@@ -373,23 +364,23 @@ def outlier_flags(df: DataFrame, col: str, method: str = "iqr", k: float = 1.5,
                   accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
     """flag rows outside the IQR fences (or beyond ``z`` std devs).
 
-    Fences are scalar subqueries over the same frame, so the plan stays
-    lazy; a null value is never an outlier.
+    Fences are two numbers from one aggregate; the flag is then a plain
+    projection. A null value is never an outlier.
     """
     x = _nan_to_null(df, col).cast("double")
     if method == "iqr":
         from tabreg.operators.profile import quantiles
-        q = quantiles(df, col, [0.25, 0.75], method=quantile_method, accuracy=accuracy)
-        q = q.sparkSession.createDataFrame([q.first()])  # two numbers, cut the plan
-        q1 = q.select("q0").scalar()
-        q3 = q.select("q1").scalar()
-        lo, hi = q1 - F.lit(k) * (q3 - q1), q3 + F.lit(k) * (q3 - q1)
+        r = quantiles(df, col, [0.25, 0.75], method=quantile_method, accuracy=accuracy).first()
+        q1, q3 = r["q0"], r["q1"]
+        lo = q1 - k * (q3 - q1) if q1 is not None else None
+        hi = q3 + k * (q3 - q1) if q1 is not None else None
     elif method == "zscore":
-        s = df.agg(F.avg(x).alias("m"), F.stddev_pop(x).alias("s"))
-        m, sd = s.select("m").scalar(), s.select("s").scalar()
-        lo, hi = m - F.lit(z) * sd, m + F.lit(z) * sd
+        r = df.agg(F.avg(x).alias("m"), F.stddev_pop(x).alias("s")).first()
+        lo = r["m"] - z * r["s"] if r["m"] is not None else None
+        hi = r["m"] + z * r["s"] if r["m"] is not None else None
     else:
         raise ValueError(method)
+    lo, hi = F.lit(lo).cast("double"), F.lit(hi).cast("double")
     return df.withColumn(out, F.coalesce((x < lo) | (x > hi), F.lit(False)))
 
 
@@ -462,7 +453,7 @@ class FeaturePipeline:
     ``>=`` and null share ``>`` thresholds, A3/A4), standard scaling of
     numerics, one-hot of nominals, explicit-order ordinal codes.
     ``refit_scaler_on_transform`` is not offered: re-fitting on the test
-    set (F14) is available as ``standard_scale_lazy(test, cols)``.
+    set (F14) is available as ``standard_scale_refit(test, cols)``.
     """
     spec: FeatureSpec
     key: Sequence[str] = ()

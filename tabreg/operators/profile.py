@@ -7,9 +7,9 @@ Every profile is computed with as few passes as possible:
   value (one value holding a third of the rows) before the shuffle;
 * moments of all columns come out of one wide ``agg`` (no shuffle at all,
   just one row of partial aggregates per task);
-* quantiles are exact by default through a distributed selection (range
-  shuffle + rank scan); ``method="approx"`` switches to the one-pass
-  ``percentile_approx`` sketch.
+* quantiles are exact by default through a distributed selection (a few
+  bucket-count aggregates narrowing an interval per target rank, no sort);
+  ``method="approx"`` switches to the one-pass ``percentile_approx`` sketch.
 """
 
 from __future__ import annotations
@@ -204,21 +204,21 @@ def _bin_expr(x: Column, lo: Column, hi: Column, bins: int) -> Column:
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     """Equal-width histogram over ``[min, max]``; empty bins included.
 
-    Bounds come from scalar subqueries (no driver round trip, no join);
-    counting is a grouped aggregate with partial aggregation. The last bin
-    is closed on the right, as ``numpy.histogram``.
+    Bounds are one small aggregate (two numbers to the driver), then the
+    counting is one grouped aggregate with partial aggregation over literal
+    bin edges. The last bin is closed on the right, as ``numpy.histogram``.
     """
     x = _nan_to_null(df, col).cast("double")
     vals = df.select(x.alias("x")).filter(F.col("x").isNotNull())
-    bounds = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    lo = bounds.select("lo").scalar()
-    hi = bounds.select("hi").scalar()
+    b = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+    spark = df.sparkSession
+    if b["lo"] is None:
+        return spark.createDataFrame([], "bin int, bin_lo double, bin_hi double, count long")
+    lo, hi = F.lit(float(b["lo"])), F.lit(float(b["hi"]))
     counts = vals.select(_bin_expr(F.col("x"), lo, hi, bins).alias("bin")) \
         .groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
     width = (hi - lo) / F.lit(float(bins))
-    # the bin grid only exists when there is at least one value
-    grid = bounds.filter(F.col("lo").isNotNull()).select(
-        F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    grid = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     return grid.join(counts, "bin", "left").select(
         "bin",
         (lo + F.col("bin") * width).alias("bin_lo"),
@@ -250,30 +250,77 @@ def feature_distributions(df: DataFrame, cols: Sequence[str],
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
-                    group_cols: Sequence[str] = ()) -> DataFrame:
+                    group_cols: Sequence[str] = (), buckets: int = 1024,
+                    final_rows: int = 50_000, max_rounds: int = 20) -> DataFrame:
     """Exact discrete quantiles per group: the value of rank ``ceil(q * n)``.
 
-    Distributed selection: a range-partitioned rank scan (no group is ever
-    held by a single task, see ``functions.scan``), a per-group count
-    (partial aggregation) and one grouped pick of the target ranks.
-    Memory is bounded for any group size, unlike the exact ``percentile``
+    Distributed selection, no sort of the data and no group in one task:
+
+    * one aggregate gives ``n, min, max`` per group, hence the target rank
+      of every (group, quantile) and a first interval ``[lo, hi]``;
+    * while an interval holds more than ``final_rows`` values, one
+      aggregate splits it into ``buckets`` equal-width buckets (count, min,
+      max per bucket, partial aggregation) and the bucket holding the target
+      rank becomes the next interval (a few rounds for any data size);
+    * the remaining <= ``final_rows`` values per target are ranked with a
+      window whose partitions are bounded by that size.
+
+    Memory stays bounded for any group size, unlike the exact ``percentile``
     aggregate, which keeps every distinct value of a group in one buffer.
     """
-    from tabreg.functions.scan import running_aggregate
+    from pyspark import StorageLevel
+    from pyspark.sql import Window
+    from tabreg.session import cut_lineage
     g = list(group_cols) or ["__all"]
     x = _nan_to_null(df, col).cast("double")
     keys = [F.col(c) for c in group_cols] or [F.lit(0).alias("__all")]
-    vals = df.select(*keys, x.alias("__x")).filter(F.col("__x").isNotNull())
-    ranked = running_aggregate(vals, g, ["__x"], "count", out="__rk")
-    counts = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("__n"))
-    targets = [F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * F.col("__n"))) for p in probs]
-    joined = ranked.join(counts, g)
-    wanted = targets[0] == F.col("__rk")
-    for t in targets[1:]:
-        wanted = wanted | (t == F.col("__rk"))
-    out = joined.filter(wanted).groupBy(*g).agg(*[
-        F.max(F.when(F.col("__rk") == t, F.col("__x"))).alias(f"q{i}")
-        for i, t in enumerate(targets)])
+    vals = df.select(*keys, x.alias("__x")).filter(F.col("__x").isNotNull()) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    stats = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("__n"), F.min("__x").alias("__lo"),
+                                 F.max("__x").alias("__hi"))
+    tgt = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("__t"),
+                 F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * F.col("__n"))).alias("__r"))
+        for i, p in enumerate(probs)]))
+    targets = cut_lineage(stats.select(*g, "__lo", "__hi", "__n", tgt.alias("tt")).select(
+        *g, "tt.__t", "tt.__r", "__lo", "__hi", F.lit(0).cast("long").alias("__below"),
+        F.col("__n").alias("__cnt")))
+    open_ = (F.col("__cnt") > final_rows) & (F.col("__lo") < F.col("__hi"))
+    for _ in range(max_rounds):
+        active = targets.filter(open_)
+        if active.limit(1).count() == 0:
+            break
+        j = vals.join(active.select(*g, "__t", "__lo", "__hi"), g) \
+            .filter((F.col("__x") >= F.col("__lo")) & (F.col("__x") <= F.col("__hi")))
+        width = (F.col("__hi") - F.col("__lo")) / F.lit(float(buckets))
+        b = F.least(F.floor((F.col("__x") - F.col("__lo")) / width), F.lit(buckets - 1))
+        h = j.groupBy(*g, "__t", b.cast("int").alias("__b")).agg(
+            F.count(F.lit(1)).alias("__c"), F.min("__x").alias("__bmin"),
+            F.max("__x").alias("__bmax"))
+        w = Window.partitionBy(*g, "__t").orderBy("__b")  # <= buckets rows each
+        h = h.withColumn("__cum", F.sum("__c").over(w))
+        picked = h.join(active.select(*g, "__t", "__r", "__below"), [*g, "__t"]) \
+            .filter((F.col("__below") + F.col("__cum") - F.col("__c") < F.col("__r")) &
+                    (F.col("__r") <= F.col("__below") + F.col("__cum"))) \
+            .select(*g, "__t", "__r", F.col("__bmin").alias("__lo"),
+                    F.col("__bmax").alias("__hi"),
+                    (F.col("__below") + F.col("__cum") - F.col("__c")).alias("__below"),
+                    F.col("__c").alias("__cnt"))
+        targets = cut_lineage(targets.filter(~open_).unionByName(picked))
+    # values of every target interval; equal-valued intervals need no ranking
+    single = targets.filter(F.col("__lo") == F.col("__hi")).select(
+        *g, "__t", F.col("__lo").alias("__q"))
+    multi = targets.filter(F.col("__lo") < F.col("__hi"))
+    cand = vals.join(multi.select(*g, "__t", "__r", "__lo", "__hi", "__below"), g) \
+        .filter((F.col("__x") >= F.col("__lo")) & (F.col("__x") <= F.col("__hi")))
+    wr = Window.partitionBy(*g, "__t").orderBy("__x")  # <= final_rows rows each
+    ranked = cand.withColumn("__rk", F.col("__below") + F.row_number().over(wr)) \
+        .filter(F.col("__rk") == F.col("__r")).select(*g, "__t", F.col("__x").alias("__q"))
+    picks = single.unionByName(ranked)
+    out = cut_lineage(picks.groupBy(*g).agg(*[
+        F.max(F.when(F.col("__t") == i, F.col("__q"))).alias(f"q{i}")
+        for i in range(len(probs))]))
+    vals.unpersist()
     return out.drop("__all") if not group_cols else out
 
 
@@ -297,7 +344,8 @@ def box_summary(df: DataFrame, col: str, group_cols: Sequence[str] = (),
 
     Two aggregates: quantiles per group, then whiskers/outlier counts over
     the rows joined to their group's fences (the fence table has one row
-    per group; AQE broadcasts it at run time).
+    per group; AQE broadcasts it at run time). Without groups the fences
+    are two literals.
     """
     g = list(group_cols)
     x = _nan_to_null(df, col).cast("double")
@@ -310,9 +358,10 @@ def box_summary(df: DataFrame, col: str, group_cols: Sequence[str] = (),
     if g:
         joined = vals.join(qs.select(*g, "lower_fence", "upper_fence"), g)
     else:
-        joined = vals.withColumns({
-            "lower_fence": qs.select("lower_fence").scalar(),
-            "upper_fence": qs.select("upper_fence").scalar()})
+        qs = df.sparkSession.createDataFrame([qs.first()], qs.schema)  # one row of numbers
+        f = qs.first()
+        joined = vals.withColumns({"lower_fence": F.lit(f["lower_fence"]).cast("double"),
+                                   "upper_fence": F.lit(f["upper_fence"]).cast("double")})
     inside = (F.col("x") >= F.col("lower_fence")) & (F.col("x") <= F.col("upper_fence"))
     wh = joined.groupBy(*g).agg(
         F.count(F.lit(1)).alias("n"),
@@ -321,8 +370,10 @@ def box_summary(df: DataFrame, col: str, group_cols: Sequence[str] = (),
         F.sum(F.when(inside, 0).otherwise(1)).cast("long").alias("n_outliers"))
     if g:
         return qs.join(wh, g)
-    return qs.withColumns({c: wh.select(c).scalar()
-                           for c in ["n", "whisker_lo", "whisker_hi", "n_outliers"]})
+    w = wh.first()
+    return qs.withColumns({c: F.lit(w[c]).cast(t) for c, t in
+                           [("n", "long"), ("whisker_lo", "double"), ("whisker_hi", "double"),
+                            ("n_outliers", "long")]})
 
 
 def skewness(df: DataFrame, col: str) -> DataFrame:

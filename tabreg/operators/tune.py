@@ -189,8 +189,12 @@ def param_importance(trials: DataFrame, bins: int = 10, study_cols: Sequence[str
                                   (F.var_pop(value_col) * F.count(value_col)).alias("sst"))
     cells = _binned(long, bins, by).groupBy(*by, "param", "bin").agg(
         F.count(F.lit(1)).alias("n"), F.avg(value_col).alias("m"))
-    eta = cells.join(tot, by) if by else cells.withColumns({
-        "mu": tot.select("mu").scalar(), "sst": tot.select("sst").scalar()})
+    if by:
+        eta = cells.join(tot, by)
+    else:
+        t = tot.first()
+        eta = cells.withColumns({"mu": F.lit(t["mu"]).cast("double"),
+                                 "sst": F.lit(t["sst"]).cast("double")})
     eta = eta.groupBy(*by, "param").agg(
         F.try_divide(F.sum(F.col("n") * (F.col("m") - F.col("mu")) ** 2),
                      F.first("sst")).alias("eta2"))
@@ -207,8 +211,8 @@ def param_contour(trials: DataFrame, a: str, b: str, bins: int = 10,
         .filter(F.col("xa").isNotNull() & F.col("xb").isNotNull())
     bounds = src.agg(F.min("xa").alias("la"), F.max("xa").alias("ha"),
                      F.min("xb").alias("lb"), F.max("xb").alias("hb"))
-    la, ha = bounds.select("la").scalar(), bounds.select("ha").scalar()
-    lb, hb = bounds.select("lb").scalar(), bounds.select("hb").scalar()
+    bnd = bounds.first()
+    la, ha, lb, hb = [F.lit(bnd[c]).cast("double") for c in ("la", "ha", "lb", "hb")]
 
     def binexpr(x, lo, hi):
         w = (hi - lo) / F.lit(float(bins))

@@ -109,6 +109,7 @@ def _fit_predict(name, build):
 _fit_predict("decision_tree", lambda: M.decision_tree(max_depth=5))
 _fit_predict("random_forest", lambda: M.random_forest(num_trees=20, max_depth=5))
 _fit_predict("bagging", lambda: M.bagging_trees(n_estimators=10, max_depth=5))
+_fit_predict("gbt_classic", lambda: M.gbt("classic", n_estimators=10))
 _fit_predict("gbt_depthwise", lambda: M.gbt("depthwise", n_estimators=10, max_depth=4))
 _fit_predict("gbt_histogram", lambda: M.gbt("histogram", n_estimators=10, max_depth=4))
 _fit_predict("gbt_binned", lambda: M.gbt("binned", iterations=10, depth=4, border_count=64))

@@ -210,7 +210,7 @@ FROM te, s"""
 @q("standard_scale_refit")
 def standard_scale_refit(spark, sf):
     _, test = _customer_split(spark, sf)
-    out = R.standard_scale_lazy(test, ["c_acctbal"])
+    out = R.standard_scale_refit(test, ["c_acctbal"])
     return out.select("c_custkey", F.round("c_acctbal", 9).alias("c_acctbal"))
 
 

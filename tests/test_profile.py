@@ -101,3 +101,17 @@ def test_result_independent_of_partitioning(spark):
     a = rows(P.column_profile(df.repartition(1), ["c", "x"]), "column", "n_distinct", "top_freq")
     b = rows(P.column_profile(df.repartition(17), ["c", "x"]), "column", "n_distinct", "top_freq")
     assert a == b
+
+
+def test_exact_quantiles_refinement_rounds(spark):
+    rng = np.random.default_rng(9)
+    g = np.where(rng.random(6000) < 0.8, 0, 1)       # one hot group
+    x = np.round(rng.lognormal(0, 2, 6000), 2)        # heavy tail, many ties
+    x[:900] = 7.0                                     # one hot value
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(g, x)], "g int, x double")
+    probs = [0.01, 0.25, 0.5, 0.75, 0.99]
+    got = {r.g: [r[f"q{i}"] for i in range(5)] for r in
+           P.exact_quantiles(df, "x", probs, ["g"], buckets=4, final_rows=50).collect()}
+    for k in (0, 1):
+        s = np.sort(x[g == k])
+        assert got[k] == [s[max(1, math.ceil(p * len(s))) - 1] for p in probs]
