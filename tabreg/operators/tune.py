@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from tabreg.functions.scan import running_aggregate
 from tabreg.operators.evaluate import metrics
 from tabreg.operators.models import predict
+from tabreg.session import spread
 
 
 # ------------------------------------------------------------------ search space (H1)
@@ -72,7 +73,7 @@ def random_search(spark: SparkSession, build: Callable[[dict], Any],
     ``timeout`` (seconds) is checked before each trial starts, as the
     reference's study does; trials that did not start are not recorded.
     """
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
     val = val.persist(StorageLevel.MEMORY_AND_DISK)
     start = time.time()
     param_sets = sample_params(space, n_trials, seed)
@@ -112,7 +113,11 @@ def grid_search_cv(spark: SparkSession, estimator, grid: Mapping[str, Sequence[A
                              predictionCol=estimator.getPredictionCol())
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=ev,
                         numFolds=k, foldCol=fold_col, parallelism=parallelism)
-    model = cv.fit(df)
+    cached = spread(df).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = cv.fit(cached)
+    finally:
+        cached.unpersist()
     rows = []
     for i, (pm, score) in enumerate(zip(maps, model.avgMetrics)):
         rows.append((i, float(score), {p.name: float(v) for p, v in pm.items()}, 0.0))
@@ -141,7 +146,8 @@ def refit_best(build: Callable[[dict], Any], trials: DataFrame, train: DataFrame
                direction: str = "maximize"):
     """H4: re-fit the best parameter map on the full training frame."""
     params = best_trial(trials, direction).first()["params"]
-    return build(dict(params)).fit(train)
+    from tabreg.operators.models import fit
+    return fit(build(dict(params)), train)
 
 
 # ------------------------------------------------------------------ trial analysis

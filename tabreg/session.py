@@ -69,3 +69,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives executor loss, truncates the plan."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core before an iterative fit.
+
+    Small inputs can arrive in fewer partitions than cores (one per parquet
+    row group); iterative learners then leave cores idle on every pass.
+    With enough partitions (any large input) this is a no-op, no shuffle.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
