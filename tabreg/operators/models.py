@@ -291,13 +291,19 @@ def feature_importance(spark, model, names: Sequence[str], model_name: str) -> D
     return spark.createDataFrame(rows, "model string, feature string, importance double")
 
 
-def learning_curve(spark, gbt_model, datasets: Mapping[str, DataFrame]) -> DataFrame:
-    """RMSE after each boosting round on each named dataset.
+def learning_curve(spark, gbt_model, datasets: Mapping[str, DataFrame],
+                   metrics: Mapping[str, str] | None = None) -> DataFrame:
+    """Error after each boosting round on each named dataset.
 
-    ``evaluateEachIteration`` is one distributed pass per dataset.
+    ``metrics`` maps a metric name to a Spark loss: ``rmse`` (sqrt of the
+    mean squared error) and ``mae`` (``absolute``). ``evaluateEachIteration``
+    is one distributed pass per dataset and metric.
     """
+    metrics = metrics or {"rmse": "squared"}
     rows = []
     for name, df in datasets.items():
-        losses = gbt_model.evaluateEachIteration(df, "squared")
-        rows += [(i, name, "rmse", float(math.sqrt(v))) for i, v in enumerate(losses)]
-    return spark.createDataFrame(rows, "round int, dataset string, metric string, rmse double")
+        for metric, loss in metrics.items():
+            losses = gbt_model.evaluateEachIteration(df, loss)
+            vals = [math.sqrt(v) if loss == "squared" else float(v) for v in losses]
+            rows += [(i, name, metric, float(v)) for i, v in enumerate(vals)]
+    return spark.createDataFrame(rows, "round int, dataset string, metric string, value double")

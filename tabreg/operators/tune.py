@@ -249,9 +249,14 @@ def early_stop(curve: DataFrame, group_cols: Sequence[str], round_col: str = "ro
     g = list(group_cols)
     cur = running_aggregate(curve, g, [round_col], "argmin", value=metric_col,
                             out="__best", at_col="__best_at")
-    stops = cur.groupBy(*g).agg(F.coalesce(
-        F.min(F.when(F.col(round_col) - F.col("__best_at") >= patience, F.col(round_col))),
-        F.max(round_col)).alias("stop_round"))
-    at_stop = cur.join(stops, g).filter(F.col(round_col) == F.col("stop_round"))
-    return at_stop.select(*g, "stop_round", F.col("__best_at").alias("best_round"),
-                          F.col("__best").alias(f"best_{metric_col}"))
+    # one grouped aggregate, no join back: min_by skips rows whose ordering
+    # is null, so it sees only the rounds where patience ran out
+    state = F.struct(F.col(round_col).alias("r"), F.col("__best_at").alias("at"),
+                     F.col("__best").alias("best"))
+    hit = F.col(round_col) - F.col("__best_at") >= patience
+    agg = cur.groupBy(*g).agg(
+        F.min_by(state, F.when(hit, F.col(round_col))).alias("__stop"),
+        F.max_by(state, F.col(round_col)).alias("__last"))
+    s = F.coalesce(F.col("__stop"), F.col("__last"))
+    return agg.select(*g, s["r"].alias("stop_round"), s["at"].alias("best_round"),
+                      s["best"].alias(f"best_{metric_col}"))

@@ -148,7 +148,8 @@ def feature_importance(spark, sf):
 def learning_curve(spark, sf):
     train, test = _li_split(spark, sf)
     model = M.fit(M.gbt("histogram", n_estimators=10, max_depth=4), train)
-    return M.learning_curve(spark, model, {"train": train, "test": test})
+    return M.learning_curve(spark, model, {"train": train, "test": test},
+                            {"rmse": "squared", "mae": "absolute"})
 
 
 @q("curve_metric_names")

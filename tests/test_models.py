@@ -69,8 +69,10 @@ def test_svr_beats_mean(one_feature):
 def test_learning_curve_and_importance(spark, one_feature):
     df, _, _ = one_feature
     m = M.fit(M.gbt("depthwise", n_estimators=6, max_depth=2), df)
-    curve = M.learning_curve(spark, m, {"train": df}).orderBy("round").collect()
-    assert len(curve) == 6 and curve[-1]["rmse"] < curve[0]["rmse"]
+    curve = M.learning_curve(spark, m, {"train": df}, {"rmse": "squared", "mae": "absolute"})
+    rm = curve.filter("metric = 'rmse'").orderBy("round").collect()
+    assert len(rm) == 6 and rm[-1]["value"] < rm[0]["value"]
+    assert {r.metric for r in curve.select("metric").distinct().collect()} == {"rmse", "mae"}
     imp = M.feature_importance(spark, m, M.slot_names(df), "gbt").collect()
     assert imp[0]["feature"] == "x" and math.isclose(imp[0]["importance"], 1.0)
 

@@ -100,3 +100,12 @@ def test_feature_pipeline_fit_once_apply_twice(spark):
     assert math.isclose(r["v"], (5.0 - mean) / std)
     vec = m.transform(test, assemble_vector=True).first()["features"]
     assert len(vec) == len(m.feature_columns)
+
+
+def test_one_hot_vector_chain_unseen_and_null(spark):
+    from pyspark.ml import Pipeline
+    train = spark.createDataFrame([("a",), ("b",), (None,)], "c string")
+    test = spark.createDataFrame([("a",), ("z",), (None,)], "c string")
+    model = Pipeline(stages=R.one_hot_vector_stages("c", "c_vec")).fit(train)
+    vecs = [r.c_vec.toArray().tolist() for r in model.transform(test).collect()]
+    assert vecs == [[1.0, 0.0, 0.0], [0.0, 0.0, 0.0], [0.0, 0.0, 1.0]]
