@@ -266,3 +266,31 @@ p AS (SELECT te.vec_id AS q, tr.vec_id AS tid, tr.label,
 r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY d2, tid) AS rn FROM p)
 SELECT q AS vec_id, round(avg(label), 9) AS prediction, round(max(d2), 6) AS kth_dist2
 FROM r WHERE rn <= 5 GROUP BY q"""
+
+
+# ------------------------------------------------------------------ leaderboard of fitted models
+
+
+@q("model_leaderboard")
+def model_leaderboard(spark, sf):
+    """Test metrics ranked by RMSE, fit seconds, train-test RMSE gap."""
+    import time
+    from tabreg.operators.evaluate import leaderboard, metrics
+    train, test = _li_split(spark, sf)
+    builds = {"linear_regression": M.linear_regression(),
+              "decision_tree": M.decision_tree(5),
+              "random_forest": M.random_forest(10, 4)}
+    fitted, seconds = {}, []
+    cached = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
+    for name, est in builds.items():
+        t0 = time.perf_counter()
+        fitted[name] = est.fit(cached)
+        seconds.append((name, time.perf_counter() - t0))
+    cached.unpersist()
+
+    def scored(df):
+        for name, m in fitted.items():
+            df = M.predict(m, df, name)
+        return metrics(df, "label", list(fitted))
+    fit_s = spark.createDataFrame(seconds, "model string, fit_seconds double")
+    return leaderboard(scored(test), fit_s, scored(train))
