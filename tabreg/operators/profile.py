@@ -6,7 +6,9 @@ Every profile is computed with as few passes as possible:
   ``groupBy(column, value)`` - map-side partial aggregation collapses a hot
   value (one value holding a third of the rows) before the shuffle;
 * moments of all columns come out of one wide ``agg`` (no shuffle at all,
-  just one row of partial aggregates per task);
+  just one row of partial aggregates per task); pairwise moments for the
+  correlation matrix are a vectorised partial aggregate (masked matrix
+  products per task, k^2 partial rows merged by a tiny grouped sum);
 * quantiles are exact by default through a distributed selection (a few
   bucket-count aggregates narrowing an interval per target rank, no sort);
   ``method="approx"`` switches to the one-pass ``percentile_approx`` sketch.
@@ -152,46 +154,81 @@ def distinct_sorted_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return out.distinct().orderBy("column", "sort_key", "value").drop("sort_key")
 
 
-def _pair_moments(x: Column, y: Column) -> tuple[Column, Column, Column]:
-    both = x.isNotNull() & y.isNotNull()
-    xb, yb = F.when(both, x), F.when(both, y)
-    return F.covar_pop(xb, yb), F.stddev_pop(xb), F.stddev_pop(yb)
+def _pair_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Pairwise-complete moment sums of every column pair, long form.
+
+    A vectorised partial aggregate: each task turns its Arrow batches into
+    masked k x k matrix products (counts, sums, squares, cross products of
+    the values shifted by the column means), emits k^2 partial rows, and a
+    grouped sum merges them (tiny shuffle). One aggregate per pair in SQL
+    would need ~10 buffer fields per pair and fall out of whole-stage
+    codegen beyond a handful of columns.
+    """
+    cols = list(cols)
+    k = len(cols)
+    means = df.agg(*[F.avg(_nan_to_null(df, c).cast("double")).alias(f"m{i}")
+                     for i, c in enumerate(cols)]).first()
+    shift = [float(means[f"m{i}"]) if means[f"m{i}"] is not None else 0.0 for i in range(k)]
+    src = df.select(*[(_nan_to_null(df, c).cast("double") - F.lit(shift[i])).alias(f"c{i}")
+                      for i, c in enumerate(cols)])
+
+    def partial(it):
+        import numpy as np
+        import pandas as pd
+        n = np.zeros((k, k)); sx = np.zeros((k, k)); sxx = np.zeros((k, k))
+        sxy = np.zeros((k, k))
+        for pdf in it:
+            x = pdf.to_numpy(dtype=np.float64, na_value=np.nan)
+            m = ~np.isnan(x)
+            mf = m.astype(np.float64)
+            xz = np.where(m, x, 0.0)
+            n += mf.T @ mf
+            sx += xz.T @ mf
+            sxx += (xz * xz).T @ mf
+            sxy += xz.T @ xz
+        ii, jj = np.meshgrid(np.arange(k), np.arange(k), indexing="ij")
+        yield pd.DataFrame({"i": ii.ravel().astype("int32"), "j": jj.ravel().astype("int32"),
+                            "n": n.ravel(), "sx": sx.ravel(), "sy": sx.T.ravel(),
+                            "sxx": sxx.ravel(), "syy": sxx.T.ravel(), "sxy": sxy.ravel()})
+
+    schema = ("i int, j int, n double, sx double, sy double, sxx double, syy double, "
+              "sxy double")
+    return src.mapInPandas(partial, schema).groupBy("i", "j").agg(
+        *[F.sum(c).alias(c) for c in ["n", "sx", "sy", "sxx", "syy", "sxy"]])
+
+
+def _corr_from_sums() -> Column:
+    n = F.col("n")
+    mx, my = F.col("sx") / n, F.col("sy") / n
+    vx = F.col("sxx") / n - mx * mx
+    vy = F.col("syy") / n - my * my
+    cxy = F.col("sxy") / n - mx * my
+    ok = (n > 0) & (vx > 0) & (vy > 0)
+    return F.when(ok & (F.col("i") == F.col("j")), F.lit(1.0)) \
+        .when(ok, cxy / (F.sqrt(vx) * F.sqrt(vy)))
 
 
 def corr_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A5 + A6: pairwise-complete Pearson matrix in long form.
 
-    One aggregate holds the upper triangle; the lower triangle is its
-    mirror. A constant column gives null (pandas gives NaN) instead of a
+    Rows where either value is null (or NaN) are left out pair by pair, as
+    pandas does; a constant column gives null (pandas: NaN) instead of a
     division-by-zero error.
     """
-    vals = {c: _nan_to_null(df, c).cast("double") for c in cols}
-    structs = []
-    for c in cols:
-        sd = F.stddev_pop(vals[c])
-        structs.append(F.struct(F.lit(c).alias("Feature1"), F.lit(c).alias("Feature2"),
-                                F.when(sd > 0, F.lit(1.0)).alias("Correlation")))
-    for a, b in combinations(cols, 2):
-        cov, sa, sb = _pair_moments(vals[a], vals[b])
-        r = F.try_divide(cov, sa * sb)
-        structs.append(F.struct(F.lit(a).alias("Feature1"), F.lit(b).alias("Feature2"),
-                                r.alias("Correlation")))
-        structs.append(F.struct(F.lit(b).alias("Feature1"), F.lit(a).alias("Feature2"),
-                                r.alias("Correlation")))
-    return df.agg(F.array(*structs).alias("s")).select(F.inline("s"))
+    names = F.array(*[F.lit(c) for c in cols])
+    return _pair_sums(df, cols).select(
+        F.element_at(names, F.col("i") + 1).alias("Feature1"),
+        F.element_at(names, F.col("j") + 1).alias("Feature2"),
+        _corr_from_sums().alias("Correlation"))
 
 
 def top_correlated(df: DataFrame, cols: Sequence[str], target: str,
                    k: int = 10) -> DataFrame:
     """S3: the k predictors most correlated with the target (|r| desc, name)."""
-    t = _nan_to_null(df, target).cast("double")
-    structs = []
-    for c in cols:
-        cov, sa, sb = _pair_moments(_nan_to_null(df, c).cast("double"), t)
-        structs.append(F.struct(F.lit(c).alias("feature"),
-                                F.try_divide(cov, sa * sb).alias("correlation")))
-    ranked = df.agg(F.array(*structs).alias("s")).select(F.inline("s")) \
-        .filter(F.col("correlation").isNotNull())
+    c = corr_long(df, [*cols, target])
+    ranked = c.filter((F.col("Feature2") == target) & (F.col("Feature1") != target)
+                      & F.col("Correlation").isNotNull()) \
+        .select(F.col("Feature1").alias("feature"), F.col("Correlation").alias("correlation"))
     return ranked.orderBy(F.abs("correlation").desc(), "feature").limit(k)
 
 

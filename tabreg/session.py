@@ -29,6 +29,7 @@ def get_spark(master: str | None = None, app: str = "tabreg",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": "16g",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
