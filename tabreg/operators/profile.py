@@ -70,11 +70,15 @@ def dominance(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def null_ratio(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """A2: share of null/NaN per column, all columns in one pass."""
-    stats = df.agg(*[
-        F.avg(F.when(_nan_to_null(df, c).isNull(), 1.0).otherwise(0.0)).alias(c)
-        for c in cols])
-    return stats.unpivot([], list(cols), "column", "nan_ratio")
+    """A2: share of null/NaN per column, all columns in one pass.
+
+    Computed on the unpivoted frame (``Expand`` + ``groupBy(column)``), so
+    the aggregate has two buffer fields whatever the number of columns and
+    stays in whole-stage codegen.
+    """
+    flags = df.select(*[_nan_to_null(df, c).isNull().cast("double").alias(c) for c in cols])
+    return flags.unpivot([], list(cols), "column", "is_null").groupBy("column").agg(
+        F.avg("is_null").alias("nan_ratio"))
 
 
 def low_information_columns(df: DataFrame, cols: Sequence[str],
@@ -105,26 +109,25 @@ def column_names(frame: DataFrame) -> list[str]:
 def column_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Null ratio, distinct count, dominance, min, max, mean, std per column.
 
-    Moments: one wide aggregate. Counts: one grouped aggregate. The two
+    Both parts run on the unpivoted frame: moments are one
+    ``groupBy(column)`` with six aggregates (codegen-friendly for any
+    number of columns), counts one ``groupBy(column, value)``. The two
     per-column results (one row per column each) are joined.
     """
-    structs = []
-    for c in cols:
-        v = _nan_to_null(df, c)
-        num = v.cast("double") if _is_numeric(df, c) else F.lit(None).cast("double")
-        structs.append(F.struct(
-            F.lit(c).alias("column"),
-            F.count(F.lit(1)).alias("n_rows"),
-            F.avg(F.when(v.isNull(), 1.0).otherwise(0.0)).alias("null_ratio"),
-            F.min(num).alias("min"),
-            F.max(num).alias("max"),
-            F.avg(num).alias("mean"),
-            F.stddev_samp(num).alias("std"),
-        ))
-    moments = df.agg(F.array(*structs).alias("s")).select(F.inline("s"))
-    counts = value_counts(df, cols).groupBy("column").agg(
-        F.count("value").alias("n_distinct"),
-        (F.max("cnt") / F.sum("cnt")).alias("top_freq"))
+    num = {c: (_nan_to_null(df, c).cast("double") if _is_numeric(df, c)
+               else F.lit(None).cast("double")) for c in cols}
+    pairs = df.select(*[F.struct(_as_text(df, c).alias("t"), num[c].alias("x")).alias(c)
+                        for c in cols])
+    long = pairs.unpivot([], list(cols), "column", "v").select(
+        "column", F.col("v.t").alias("t"), F.col("v.x").alias("x"))
+    moments = long.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.avg(F.col("t").isNull().cast("double")).alias("null_ratio"),
+        F.min("x").alias("min"), F.max("x").alias("max"),
+        F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"))
+    counts = long.groupBy("column", "t").agg(F.count(F.lit(1)).alias("cnt")) \
+        .groupBy("column").agg(F.count("t").alias("n_distinct"),
+                               (F.max("cnt") / F.sum("cnt")).alias("top_freq"))
     return moments.join(counts, "column", "left").select(
         "column", "n_rows", "null_ratio", "n_distinct", "top_freq",
         "min", "max", "mean", "std")

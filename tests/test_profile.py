@@ -115,3 +115,13 @@ def test_exact_quantiles_refinement_rounds(spark):
     for k in (0, 1):
         s = np.sort(x[g == k])
         assert got[k] == [s[max(1, math.ceil(p * len(s))) - 1] for p in probs]
+
+
+def test_wide_profile_eighty_columns(spark):
+    exprs = [((F.col("id") * (i + 1)) % 7).cast("double" if i % 2 else "string").alias(f"c{i}")
+             for i in range(80)]
+    df = spark.range(500).select(*exprs)
+    prof = P.column_profile(df, df.columns)
+    rows = prof.collect()
+    assert len(rows) == 80 and all(r.n_rows == 500 and r.n_distinct == 7 for r in rows)
+    assert P.null_ratio(df, df.columns).count() == 80
