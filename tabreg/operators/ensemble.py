@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tabreg.functions.rowwise import linear_combination, mean_of
 from tabreg.operators.models import fit as fit_cached, predict, ridge
 from tabreg.operators.prep import train_test_split, with_kfold
-from tabreg.session import cut_lineage, spread
+from tabreg.session import cut_lineage, persist_for_passes
 
 
 def simple_average(df: DataFrame, cols: Sequence[str], out: str = "avg_pred") -> DataFrame:
@@ -145,7 +145,7 @@ def _fit(factory, df: DataFrame):
 
 
 def _fit_all(members: Mapping[str, object], df: DataFrame) -> dict:
-    cached = spread(df).persist(StorageLevel.MEMORY_AND_DISK)
+    cached = persist_for_passes(df)
     try:
         return {n: _fit(e, cached) for n, e in members.items()}
     finally:
@@ -162,7 +162,7 @@ def out_of_fold(df: DataFrame, key: Sequence[str], label: str,
     """
     if fold_col not in df.columns:
         df = with_kfold(df, list(key), k, salt, fold_col)
-    base = spread(df).persist(StorageLevel.MEMORY_AND_DISK)
+    base = persist_for_passes(df)
     parts = []
     for f in range(k):
         train = base.filter(F.col(fold_col) != f)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabreg.functions.rowwise import linear_combination
-from tabreg.session import spread
+from tabreg.session import persist_for_passes
 
 FEATURES = "features"
 LABEL = "label"
@@ -40,7 +40,7 @@ def fit(estimator, df: DataFrame):
     without this every pass re-reads and re-derives it. The cache is
     dropped right after (an executor loss only costs recomputation).
     """
-    cached = spread(df).persist(StorageLevel.MEMORY_AND_DISK)
+    cached = persist_for_passes(df)
     try:
         return estimator.fit(cached)
     finally:
@@ -136,7 +136,7 @@ class BaggedModel:
 def bagging(estimator, df: DataFrame, n_estimators: int = 10, seed: int = 42,
             pred: str = "prediction") -> BaggedModel:
     """M7 generic: each member sees ``sample(withReplacement=True, 1.0, seed+i)``."""
-    cached = spread(df).persist(StorageLevel.MEMORY_AND_DISK)
+    cached = persist_for_passes(df)
     try:
         models = [estimator.fit(cached.sample(True, 1.0, seed + i)) for i in range(n_estimators)]
     finally:
@@ -227,7 +227,7 @@ def fit_linear_svr(df: DataFrame, feature_cols: Sequence[str], label: str,
     sd = {c: (moments[f"s_{c}"] or 1.0) or 1.0 for c in cols + [label]}
     z = [((F.col(c).cast("double") - mean[c]) / sd[c]).alias(f"z{i}") for i, c in enumerate(cols)]
     t = ((F.col(label).cast("double") - mean[label]) / sd[label]).alias("t")
-    data = spread(df.select(*z, t)).persist(StorageLevel.MEMORY_AND_DISK)
+    data = persist_for_passes(df.select(*z, t))
     eps = epsilon / sd[label]
     lam = 1.0 / (C * max(n, 1))
     k = len(cols)

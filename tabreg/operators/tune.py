@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tabreg.functions.scan import running_aggregate
 from tabreg.operators.evaluate import metrics
 from tabreg.operators.models import predict
-from tabreg.session import spread
+from tabreg.session import persist_for_passes
 
 
 # ------------------------------------------------------------------ search space (H1)
@@ -73,7 +73,7 @@ def random_search(spark: SparkSession, build: Callable[[dict], Any],
     ``timeout`` (seconds) is checked before each trial starts, as the
     reference's study does; trials that did not start are not recorded.
     """
-    train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
+    train = persist_for_passes(train)
     val = val.persist(StorageLevel.MEMORY_AND_DISK)
     start = time.time()
     param_sets = sample_params(space, n_trials, seed)
@@ -113,7 +113,7 @@ def grid_search_cv(spark: SparkSession, estimator, grid: Mapping[str, Sequence[A
                              predictionCol=estimator.getPredictionCol())
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=ev,
                         numFolds=k, foldCol=fold_col, parallelism=parallelism)
-    cached = spread(df).persist(StorageLevel.MEMORY_AND_DISK)
+    cached = persist_for_passes(df)
     try:
         model = cv.fit(cached)
     finally:

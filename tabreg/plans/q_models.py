@@ -15,7 +15,7 @@ from tabreg.operators import models as M
 from tabreg.operators.prep import train_test_split
 from tabreg.plans.data import lineitem_net, orders_customers
 from tabreg.plans.sql import LINEITEM_NET, ORDERS_CUSTOMERS, bucket
-from tabreg.session import shared_scratch, spread
+from tabreg.session import persist_for_passes, shared_scratch
 from tabreg.sources.tables import read_table
 from tabreg.sources.text import read_training_log, write_training_log
 
@@ -134,7 +134,7 @@ def svr_linear(spark, sf):
 def feature_importance(spark, sf):
     train, _ = _li_split(spark, sf)
     names = M.slot_names(train)
-    train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
+    train = persist_for_passes(train)
     frames = [M.feature_importance(spark, M.random_forest(20, 5).fit(train), names, "random_forest"),
               M.feature_importance(spark, M.gbt("depthwise", n_estimators=10, max_depth=4)
                                    .fit(train), names, "gbt_depthwise"),
@@ -281,7 +281,7 @@ def model_leaderboard(spark, sf):
               "decision_tree": M.decision_tree(5),
               "random_forest": M.random_forest(10, 4)}
     fitted, seconds = {}, []
-    cached = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
+    cached = persist_for_passes(train)
     for name, est in builds.items():
         t0 = time.perf_counter()
         fitted[name] = est.fit(cached)

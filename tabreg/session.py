@@ -72,14 +72,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """At least one partition per core before an iterative fit.
-
-    Small inputs can arrive in fewer partitions than cores (one per parquet
-    row group); iterative learners then leave cores idle on every pass.
-    With enough partitions (any large input) this is a no-op, no shuffle.
+def persist_for_passes(df: DataFrame) -> DataFrame:
+    """Persist an input that an iterative fit will read many times.
+
+    One ``count()`` fills the cache (the pass the fit would make first
+    anyway). Only then is the partition count read - from the cache, so no
+    upstream stage runs twice. Inputs that arrive in fewer partitions than
+    cores (small data: one partition per parquet row group) are spread
+    over all cores; large inputs are returned as cached, with no shuffle.
+    The caller unpersists the returned frame.
     """
+    from pyspark import StorageLevel
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    cached.count()
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    if cached.rdd.getNumPartitions() >= target:
+        return cached
+    spread = cached.repartition(target).persist(StorageLevel.MEMORY_AND_DISK)
+    spread.count()
+    cached.unpersist()
+    return spread
