@@ -1,7 +1,8 @@
 """Evaluation and diagnostic tables (E1-E17): the data behind each chart.
 
-All metrics of all models come from one aggregate over the prediction
-frame (one row of partial sums per task, no shuffle). R^2 is
+All metrics of all models come from one grouped aggregate over the
+unpivoted prediction columns (partial aggregation, one row per model and
+task is shuffled). R^2 is
 ``1 - SSE / SST`` with the total sum of squares taken centred
 (``var_pop * n``, a numerically stable moment), not ``regr_r2``.
 """
@@ -17,28 +18,30 @@ from tabreg.functions.rowwise import abs_error, least_of
 from tabreg.operators.profile import box_summary, histogram
 
 
-def _metric_struct(y: Column, p: Column, name: str) -> Column:
-    both = y.isNotNull() & p.isNotNull()
-    err = F.when(both, y - p)
+def metrics(df: DataFrame, label: str, preds: Sequence[str] | Mapping[str, str]) -> DataFrame:
+    """``model, n, mse, rmse, mae, r2``, one row per prediction column.
+
+    The prediction columns are unpivoted and aggregated per model: a few
+    buffer fields whatever the number of models (the aggregate stays in
+    whole-stage codegen), partial aggregation, a shuffle of one row per
+    model and task.
+    """
+    items = list(preds.items()) if isinstance(preds, Mapping) else [(p, p) for p in preds]
+    names = [n for n, _ in items]
+    wide = df.select(F.col(label).cast("double").alias("__y"),
+                     *[F.col(c).cast("double").alias(n) for n, c in items])
+    long = wide.unpivot(["__y"], names, "model", "__p")
+    both = F.col("__y").isNotNull() & F.col("__p").isNotNull()
+    err = F.when(both, F.col("__y") - F.col("__p"))
+    yb = F.when(both, F.col("__y"))
     sse = F.sum(err * err)
     n = F.count(err)
-    sst = F.var_pop(F.when(both, y)) * F.count(F.when(both, y))
-    return F.struct(
-        F.lit(name).alias("model"),
+    return long.groupBy("model").agg(
         n.alias("n"),
         (sse / n).alias("mse"),
         F.sqrt(sse / n).alias("rmse"),
         F.avg(F.abs(err)).alias("mae"),
-        (F.lit(1.0) - F.try_divide(sse, sst)).alias("r2"),
-    )
-
-
-def metrics(df: DataFrame, label: str, preds: Sequence[str] | Mapping[str, str]) -> DataFrame:
-    """``model, n, mse, rmse, mae, r2``, one row per prediction column."""
-    items = preds.items() if isinstance(preds, Mapping) else [(p, p) for p in preds]
-    y = F.col(label).cast("double")
-    structs = [_metric_struct(y, F.col(col).cast("double"), name) for name, col in items]
-    return df.agg(F.array(*structs).alias("m")).select(F.inline("m"))
+        (F.lit(1.0) - F.try_divide(sse, F.var_pop(yb) * F.count(yb))).alias("r2"))
 
 
 def metrics_long(df: DataFrame, label: str, preds: Sequence[str]) -> DataFrame:
