@@ -4,8 +4,8 @@ The reference aligns rows by position (``pd.concat(axis=1)``,
 ``np.column_stack``, Series minus array). Spark rows have no position, so
 every alignment here is by an explicit key, and the cheapest form is used:
 same-row columns when possible, one union + grouped aggregate (a single
-shuffle) for a horizontal concat of many frames, and a broadcast join only
-against a dictionary whose size is known up front.
+shuffle) for a horizontal concat of many frames; joins carry no broadcast
+hints, so the planner's size threshold decides (sort-merge join beyond it).
 """
 
 from __future__ import annotations
@@ -113,19 +113,25 @@ def dictionary_frame(spark: SparkSession,
                      entries: Sequence[tuple[str, str, str]]) -> DataFrame:
     """``column, code, meaning`` from a data dictionary (codes trimmed)."""
     if len(entries) > MAX_DICTIONARY_ROWS:
-        raise ValueError("dictionary too large to broadcast")
-    return spark.createDataFrame([(c, k.strip(), m) for c, k, m in entries],
-                                 "column string, code string, meaning string")
+        raise ValueError("dictionary too large; keep it as a table and join it")
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(k.strip()).alias("code"),
+                              F.lit(m).alias("meaning")) for c, k, m in entries])
+    # literal rows: the planner knows the size, so the join broadcasts it
+    return spark.range(1).select(F.inline(rows))
 
 
 def lookup(df: DataFrame, col: str, dictionary: DataFrame, out: str | None = None,
            column_name: str | None = None) -> DataFrame:
-    """Left join of a code column to its meaning (broadcast: the
-    dictionary is a literal of bounded size). Codes are compared trimmed."""
+    """Left join of a code column to its meaning; codes compared trimmed.
+
+    No broadcast hint: the planner broadcasts the dictionary when its size
+    is under the broadcast threshold (a literal dictionary always is) and
+    falls back to a sort-merge join for a large one.
+    """
     name = column_name or col
     d = dictionary.filter(F.col("column") == name).select(
         F.col("code").alias("__code"), F.col("meaning").alias(out or f"{col}_meaning"))
-    return df.join(F.broadcast(d), F.trim(F.col(col)) == F.col("__code"), "left") \
+    return df.join(d, F.trim(F.col(col)) == F.col("__code"), "left") \
         .drop("__code")
 
 
@@ -138,5 +144,4 @@ def out_of_domain(df: DataFrame, cols: Sequence[str], dictionary: DataFrame) ->
     long = df.select(*[F.trim(F.col(c)).alias(c) for c in cols]) \
         .unpivot([], list(cols), "column", "code").filter(F.col("code").isNotNull())
     counts = long.groupBy("column", "code").agg(F.count(F.lit(1)).alias("n"))
-    return counts.join(F.broadcast(dictionary.select("column", "code")),
-                       ["column", "code"], "left_anti")
+    return counts.join(dictionary.select("column", "code"), ["column", "code"], "left_anti")
