@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabreg.functions.attach import attach
 from tabreg.functions.rowwise import whole_number_text
 
 QUANTILE_ACCURACY = 100_000
@@ -270,13 +271,14 @@ def feature_distributions(df: DataFrame, cols: Sequence[str],
                           bins: int = 30) -> DataFrame:
     """One histogram per numeric column, through a single unpivot.
 
-    Per-column bounds are a grouped aggregate (one row per column); AQE
-    broadcasts that tiny side at run time when it joins back.
+    Per-column bounds are a grouped aggregate (one row per column),
+    attached to the rows as literals (no join on the column name, which
+    would send each column's rows to one reducer).
     """
     long = df.select(*[_nan_to_null(df, c).cast("double").alias(c) for c in cols]) \
         .unpivot([], list(cols), "column", "x").filter(F.col("x").isNotNull())
     bounds = long.groupBy("column").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    counts = long.join(bounds, "column") \
+    counts = attach(long, bounds, ["column"], ["lo", "hi"]) \
         .select("column", _bin_expr(F.col("x"), F.col("lo"), F.col("hi"), bins).alias("bin")) \
         .groupBy("column", "bin").agg(F.count(F.lit(1)).alias("count"))
     grid = bounds.select("column", "lo", "hi",
@@ -289,6 +291,26 @@ def feature_distributions(df: DataFrame, cols: Sequence[str],
         F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
 
 
+def _with_targets(vals: DataFrame, targets: DataFrame, g: list[str], n: int) -> DataFrame:
+    """Rows x their group's open targets, without a join on the group key.
+
+    The target table (at most ``n`` rows per group) is pivoted to one row
+    per group, attached as literals (see ``functions.attach``) and
+    exploded back into (row, target) pairs.
+    """
+    fields = ["__r", "__lo", "__hi", "__below"]
+    wide = targets.groupBy(*g).agg(*[
+        F.max(F.when(F.col("__t") == i, F.col(f))).alias(f"{f}_{i}")
+        for i in range(n) for f in fields])
+    cols = [f"{f}_{i}" for i in range(n) for f in fields]
+    rows = attach(vals, wide, g, cols)
+    per_target = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("__t"), *[F.col(f"{f}_{i}").alias(f) for f in fields])
+        for i in range(n)]))
+    return rows.select(*g, "__x", per_target.alias("__tt")).select(
+        *g, "__x", "__tt.*").filter(F.col("__lo").isNotNull())
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
                     group_cols: Sequence[str] = (), buckets: int = 1024,
                     final_rows: int = 50_000, max_rounds: int = 20) -> DataFrame:
@@ -330,7 +352,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
         active = targets.filter(open_)
         if active.limit(1).count() == 0:
             break
-        j = vals.join(active.select(*g, "__t", "__lo", "__hi"), g) \
+        j = _with_targets(vals, active, g, len(probs)) \
             .filter((F.col("__x") >= F.col("__lo")) & (F.col("__x") <= F.col("__hi")))
         width = (F.col("__hi") - F.col("__lo")) / F.lit(float(buckets))
         b = F.least(F.floor((F.col("__x") - F.col("__lo")) / width), F.lit(buckets - 1))
@@ -351,7 +373,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     single = targets.filter(F.col("__lo") == F.col("__hi")).select(
         *g, "__t", F.col("__lo").alias("__q"))
     multi = targets.filter(F.col("__lo") < F.col("__hi"))
-    cand = vals.join(multi.select(*g, "__t", "__r", "__lo", "__hi", "__below"), g) \
+    cand = _with_targets(vals, multi, g, len(probs)) \
         .filter((F.col("__x") >= F.col("__lo")) & (F.col("__x") <= F.col("__hi")))
     wr = Window.partitionBy(*g, "__t").orderBy("__x")  # <= final_rows rows each
     ranked = cand.withColumn("__rk", F.col("__below") + F.row_number().over(wr)) \
@@ -383,9 +405,9 @@ def box_summary(df: DataFrame, col: str, group_cols: Sequence[str] = (),
     """Quartiles, IQR fences and whiskers (extreme points inside the fences).
 
     Two aggregates: quantiles per group, then whiskers/outlier counts over
-    the rows joined to their group's fences (the fence table has one row
-    per group; AQE broadcasts it at run time). Without groups the fences
-    are two literals.
+    the rows with their group's fences attached (literals per group, no
+    shuffle by a low-cardinality group key). Without groups the fences are
+    two literals.
     """
     g = list(group_cols)
     x = _nan_to_null(df, col).cast("double")
@@ -396,7 +418,7 @@ def box_summary(df: DataFrame, col: str, group_cols: Sequence[str] = (),
         .withColumn("lower_fence", F.col("q1") - 1.5 * F.col("iqr")) \
         .withColumn("upper_fence", F.col("q3") + 1.5 * F.col("iqr"))
     if g:
-        joined = vals.join(qs.select(*g, "lower_fence", "upper_fence"), g)
+        joined = attach(vals, qs, g, ["lower_fence", "upper_fence"])
     else:
         qs = df.sparkSession.createDataFrame([qs.first()], qs.schema)  # one row of numbers
         f = qs.first()

@@ -22,6 +22,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabreg.functions.attach import attach
 from tabreg.functions.scan import running_aggregate
 from tabreg.operators.evaluate import metrics
 from tabreg.operators.models import predict
@@ -176,7 +177,7 @@ def _binned(long: DataFrame, bins: int, by: Sequence[str]) -> DataFrame:
                                             F.max("param_value").alias("hi"))
     w = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     b = F.when(w > 0, F.floor((F.col("param_value") - F.col("lo")) / w)).otherwise(F.lit(0))
-    return long.join(bounds, [*by, "param"]).withColumn(
+    return attach(long, bounds, [*by, "param"], ["lo", "hi"]).withColumn(
         "bin", F.least(b, F.lit(bins - 1)).cast("int"))
 
 
