@@ -13,9 +13,12 @@ Metric-space pruning with pivots (triangle inequality):
 4. A cell can only hold one of the k nearest points if
    ``d(q, p_c) - R_c <= U_q``; only those (query, cell) pairs are joined,
    and the distances there are computed exactly in Spark SQL.
-5. Cells are split into chunks of at most ``chunk_rows`` points, so a hot
-   cell (many identical or clustered points) never lands in one task; the
-   top-k is taken per (query, cell, chunk) and then per query.
+5. Cells are split into chunks of at most ``chunk_rows`` points, and the
+   queries that reach a cell into blocks of at most ``query_block_rows``
+   (each training chunk is repeated once per query block). A hot cell -
+   many identical or clustered points, or a third of all queries - is
+   spread over many bounded tiles, never one task. The top-k is taken per
+   (query, cell, chunk) and then per query.
 
 The result equals a brute-force search (ties broken by training id); only
 the amount of work depends on how well the data clusters.
@@ -53,7 +56,8 @@ def _pivot_distances(vecs: pd.Series, pivots: np.ndarray) -> np.ndarray:
 
 def knn_regress(train: DataFrame, query: DataFrame, id_col: str, vec_col: str,
                 label_col: str, k: int = 5, n_pivots: int | None = None,
-                chunk_rows: int = 20_000, out: str = "prediction") -> DataFrame:
+                chunk_rows: int = 20_000, query_block_rows: int = 20_000,
+                out: str = "prediction") -> DataFrame:
     """Mean label of the k nearest training points of every query row.
 
     Returns ``id_col, out, kth_dist2`` (squared distance to the k-th
@@ -117,21 +121,32 @@ def knn_regress(train: DataFrame, query: DataFrame, id_col: str, vec_col: str,
     q = query.select(F.col(id_col).alias("q_id"), F.col(vec_col).alias("q_vec"))
     q_schema = T.StructType(q.schema.fields + [
         T.StructField("cells", T.ArrayType(T.IntegerType()))])
-    qc = q.mapInPandas(candidates, q_schema).select(
-        "q_id", "q_vec", F.explode("cells").alias("cell"))
-
-    # -- 3. split cells into bounded chunks on both sides, join, exact distances
-    cmap = F.create_map(*[x for c, m in chunks.items() for x in (F.lit(c), F.lit(m))])
-    n_chunks = F.coalesce(F.element_at(cmap, F.col("cell")), F.lit(1))
-    qc = qc.withColumn("chunk", F.explode(F.sequence(F.lit(0), n_chunks - 1)))
-    tc = assigned.withColumn("chunk", F.pmod(F.xxhash64("t_id"), n_chunks).cast("int")) \
+    qc = cut_lineage(q.mapInPandas(candidates, q_schema).select(
+        "q_id", "q_vec", F.explode("cells").alias("cell")))  # counted, then joined
+    q_count = {int(r["cell"]): int(r["n"]) for r in
+               qc.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # <= P rows
+    blocks = {c: max(1, math.ceil(n / query_block_rows)) for c, n in q_count.items()}
+
+    # -- 3. split every cell into (query block x training chunk) tiles of at
+    #       most query_block_rows x chunk_rows pairs: a cell that draws a
+    #       third of all queries is spread over many tasks, not one
+    def cell_lookup(m: dict[int, int]) -> Column:
+        if not m:
+            return F.lit(1)
+        lm = F.create_map(*[x for c, v in m.items() for x in (F.lit(c), F.lit(v))])
+        return F.coalesce(F.element_at(lm, F.col("cell")), F.lit(1))
+    n_chunks, n_blocks = cell_lookup(chunks), cell_lookup(blocks)
+    qc = qc.withColumns({"qblock": F.pmod(F.xxhash64("q_id"), n_blocks).cast("int"),
+                         "chunk": F.explode(F.sequence(F.lit(0), n_chunks - 1))})
+    tc = assigned.withColumns({"chunk": F.pmod(F.xxhash64("t_id"), n_chunks).cast("int"),
+                               "qblock": F.explode(F.sequence(F.lit(0), n_blocks - 1))}) \
         .drop("d_cell")
-    pairs = qc.join(tc, ["cell", "chunk"]).select(
+    pairs = qc.join(tc, ["cell", "chunk", "qblock"]).select(
         "q_id", "cell", "chunk", "t_id", "t_label",
         F.round(squared_distance(F.col("q_vec"), F.col("t_vec")), 9).alias("d2"))
     w1 = Window.partitionBy("q_id", "cell", "chunk").orderBy("d2", "t_id")
     local = pairs.withColumn("rn", F.row_number().over(w1)).filter(F.col("rn") <= k)
-    w2 = Window.partitionBy("q_id").orderBy("d2", "t_id")
+    w2 = Window.partitionBy("q_id").orderBy("d2", "t_id")  # <= k rows per candidate tile
     top = local.withColumn("rn", F.row_number().over(w2)).filter(F.col("rn") <= k)
     return top.groupBy("q_id").agg(F.avg("t_label").alias(out),
                                    F.max("d2").alias("kth_dist2")) \
