@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 import itertools
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 from typing import Callable, Mapping, Sequence
@@ -23,10 +24,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabreg.functions.rowwise import linear_combination, mean_of
-from tabreg.operators.models import fit as fit_cached, predict, ridge
+from tabreg.operators.models import fit_built, predict, ridge
 from tabreg.operators.prep import train_test_split, with_kfold
 from tabreg.session import cut_lineage, persist_for_passes
 
+# Independent fits are submitted from driver threads (the reference runs its
+# stacking workers in parallel): on small inputs each fit is latency-bound,
+# on large ones the scheduler interleaves the tasks of concurrent fits.
+FIT_PARALLELISM = 4
+
 
 def simple_average(df: DataFrame, cols: Sequence[str], out: str = "avg_pred") -> DataFrame:
     """Unweighted mean of k prediction columns."""
@@ -56,9 +62,10 @@ class VotingModel:
 
 
 def voting(estimators: Mapping[str, object], df: DataFrame,
-           weights: Sequence[float] | None = None, pred: str = "prediction") -> VotingModel:
+           weights: Sequence[float] | None = None, pred: str = "prediction",
+           parallelism: int = FIT_PARALLELISM) -> VotingModel:
     """Fit every member on the same rows."""
-    return VotingModel(_fit_all(estimators, df), weights, pred)
+    return VotingModel(_fit_all(estimators, df, parallelism), weights, pred)
 
 
 # ------------------------------------------------------------------ optimal weights
@@ -144,34 +151,51 @@ def _fit(factory, df: DataFrame):
     return est.fit(df)
 
 
-def _fit_all(members: Mapping[str, object], df: DataFrame) -> dict:
+def _fit_many(jobs: Sequence[tuple[object, DataFrame]], parallelism: int) -> list:
+    if parallelism <= 1 or len(jobs) <= 1:
+        return [_fit(e, d) for e, d in jobs]
+    # one estimator object per job: concurrent fits never share JVM params
+    jobs = [(e.copy() if hasattr(e, "fit") and hasattr(e, "copy") else e, d) for e, d in jobs]
+    with ThreadPoolExecutor(min(parallelism, len(jobs))) as pool:
+        return list(pool.map(lambda j: _fit(*j), jobs))
+
+
+def _fit_all(members: Mapping[str, object], df: DataFrame,
+             parallelism: int = FIT_PARALLELISM) -> dict:
     cached = persist_for_passes(df)
     try:
-        return {n: _fit(e, cached) for n, e in members.items()}
+        fitted = _fit_many([(e, cached) for e in members.values()], parallelism)
+        return dict(zip(members, fitted))
     finally:
         cached.unpersist()
 
 
 def out_of_fold(df: DataFrame, key: Sequence[str], label: str,
                 members: Mapping[str, object], k: int = 10, fold_col: str = "fold",
-                salt: str = "fold") -> DataFrame:
+                salt: str = "fold", parallelism: int = FIT_PARALLELISM) -> DataFrame:
     """N4 level-1 data: every row predicted by members fitted without its fold.
 
     ``members`` maps a name to an estimator (or a factory taking the
-    training frame, for estimators that need its statistics).
+    training frame, for estimators that need its statistics). The
+    ``k x members`` fits are independent and run ``parallelism`` at a time.
     """
     if fold_col not in df.columns:
         df = with_kfold(df, list(key), k, salt, fold_col)
     base = persist_for_passes(df)
-    parts = []
-    for f in range(k):
-        train = base.filter(F.col(fold_col) != f)
-        hold = base.filter(F.col(fold_col) == f)
-        for name, est in members.items():
-            hold = predict(_fit(est, train), hold, name)
-        parts.append(hold.select(*key, fold_col, label, *members))
-    oof = cut_lineage(reduce(lambda a, b: a.unionByName(b), parts))
-    base.unpersist()
+    try:
+        jobs = [(f, name, est) for f in range(k) for name, est in members.items()]
+        fitted = _fit_many([(est, base.filter(F.col(fold_col) != f)) for f, _, est in jobs],
+                           parallelism)
+        models = {(f, name): m for (f, name, _), m in zip(jobs, fitted)}
+        parts = []
+        for f in range(k):
+            hold = base.filter(F.col(fold_col) == f)
+            for name in members:
+                hold = predict(models[(f, name)], hold, name)
+            parts.append(hold.select(*key, fold_col, label, *members))
+        oof = cut_lineage(reduce(lambda a, b: a.unionByName(b), parts))
+    finally:
+        base.unpersist()
     return oof
 
 
@@ -192,26 +216,27 @@ class StackedModel:
 
 def stacking(df: DataFrame, key: Sequence[str], label: str, members: Mapping[str, object],
              k: int = 10, alpha: float = 1.0, features: str = "features",
-             pred: str = "prediction") -> tuple[StackedModel, DataFrame]:
+             pred: str = "prediction",
+             parallelism: int = FIT_PARALLELISM) -> tuple[StackedModel, DataFrame]:
     """Ridge meta-model on out-of-fold predictions; members re-fitted on all rows."""
-    oof = out_of_fold(df, key, label, members, k)
+    oof = out_of_fold(df, key, label, members, k, parallelism=parallelism)
     x = VectorAssembler(inputCols=list(members), outputCol="__meta_x").transform(oof)
-    meta = fit_cached(ridge(x, alpha, "__meta_x", label), x)
-    full = _fit_all(members, df)
+    meta = fit_built(lambda d: ridge(d, alpha, "__meta_x", label), x)
+    full = _fit_all(members, df, parallelism)
     return StackedModel(full, meta, pred), oof
 
 
 def blending(df: DataFrame, key: Sequence[str], label: str, members: Mapping[str, object],
              holdout_fraction: float = 0.2, alpha: float = 1.0, salt: str = "blend",
-             pred: str = "prediction") -> StackedModel:
+             pred: str = "prediction", parallelism: int = FIT_PARALLELISM) -> StackedModel:
     """Members fitted on the base part only; ridge meta-model on the hold-out."""
     base, hold = train_test_split(df, list(key), holdout_fraction, salt)
-    fitted = _fit_all(members, base)
+    fitted = _fit_all(members, base, parallelism)
     h = hold
     for name, m in fitted.items():
         h = predict(m, h, name)
     x = VectorAssembler(inputCols=list(members), outputCol="__meta_x").transform(h)
-    meta = fit_cached(ridge(x, alpha, "__meta_x", label), x)
+    meta = fit_built(lambda d: ridge(d, alpha, "__meta_x", label), x)
     return StackedModel(fitted, meta, pred)
 
 

@@ -47,6 +47,17 @@ def fit(estimator, df: DataFrame):
         cached.unpersist()
 
 
+def fit_built(build, df: DataFrame):
+    """Fit ``build(df)`` for estimators that need statistics of their input
+    first (ridge, elastic net): the statistics pass and the fit both read the
+    same persisted frame, so the input is derived once, not twice."""
+    cached = persist_for_passes(df)
+    try:
+        return build(cached).fit(cached)
+    finally:
+        cached.unpersist()
+
+
 # ------------------------------------------------------------ linear family (M1-M4)
 
 def linear_regression(features: str = FEATURES, label: str = LABEL,

@@ -56,7 +56,7 @@ def _coef_frame(spark, name, model):
 def _linear_q(name, build):
     def run(spark, sf):
         df = _one_feature(spark, sf)
-        return _coef_frame(spark, name, M.fit(build(df), df))
+        return _coef_frame(spark, name, M.fit_built(build, df))
     QUERIES[name] = run
 
 
