@@ -15,7 +15,12 @@ across range partitions instead:
 4. The driver folds those totals into a carry per partition (again at most
    one entry per partition: only a partition's *first* group can continue
    from earlier partitions) and a single ``select`` combines the carry into
-   the rows of that first group. No join, no second shuffle.
+   the rows of that first group. No join, no second shuffle. Up to
+   ``MAX_LITERAL_CARRIES`` carries are a literal map inside the plan (stays
+   in whole-stage codegen); beyond that (a huge table in very many
+   partitions) the carry table is a broadcast variable - its size is
+   bounded by the partition count, not by the rows - applied by a
+   vectorised ``mapInPandas``, so the plan never grows with the data.
 """
 
 from __future__ import annotations
@@ -32,6 +37,7 @@ from tabreg.session import cut_lineage
 
 _OPS = ("count", "sum", "max", "min", "argmin", "argmax")
 _PID = "__pid"
+MAX_LITERAL_CARRIES = 2_000
 
 
 def _combine(op: str, carry, local):
@@ -164,6 +170,8 @@ def running_aggregate(df: DataFrame, group_cols: Sequence[str], order_cols: Sequ
 
     if not carries:
         return local.drop(_PID)
+    if len(carries) > MAX_LITERAL_CARRIES:
+        return _apply_carries_broadcast(local, carries, group_cols, op, out, at_col, schema)
     entries = []
     for pid, (g, (v, at)) in carries.items():
         payload = [F.struct(*[F.lit(x).alias(c) for x, c in zip(g, group_cols)]).alias("g"),
@@ -188,3 +196,44 @@ def running_aggregate(df: DataFrame, group_cols: Sequence[str], order_cols: Sequ
     # the at-column update above reads the old running value, so update it after
     local = local.withColumn(out, F.when(applies, new).otherwise(cur))
     return local.drop(_PID)
+
+
+def _apply_carries_broadcast(local: DataFrame, carries: dict, group_cols: list[str], op: str,
+                             out: str, at_col: str | None, schema: T.StructType) -> DataFrame:
+    """Apply per-partition carries from a broadcast table (one entry per
+    partition at most) with a vectorised pass over each partition's rows."""
+    bc = local.sparkSession.sparkContext.broadcast(carries)
+    out_schema = T.StructType([f for f in schema.fields if f.name != _PID])
+
+    def apply(it):
+        table = bc.value
+        for pdf in it:
+            if pdf.empty:
+                continue
+            pdf = pdf.copy()
+            pids = pdf[_PID].to_numpy()
+            for pid in np.unique(pids):
+                entry = table.get(int(pid))
+                if entry is None:
+                    continue
+                g, (v, at) = entry
+                mask = pids == pid
+                for c, gv in zip(group_cols, g):
+                    mask &= (pdf[c].isna() if gv is None else (pdf[c] == gv)).to_numpy()
+                if not mask.any():
+                    continue
+                cur = pdf.loc[mask, out].astype("float64")
+                if op in ("count", "sum"):
+                    new = cur + v
+                elif op == "max":
+                    new = np.maximum(cur, v)
+                elif op == "min":
+                    new = np.minimum(cur, v)
+                else:
+                    wins = (v <= cur) if op == "argmin" else (v >= cur)
+                    new = cur.where(~wins, v)
+                    idx = pdf.index[mask][wins.to_numpy()]
+                    pdf.loc[idx, at_col] = at
+                pdf.loc[mask, out] = new.astype(pdf[out].dtype).to_numpy()
+            yield pdf.drop(columns=[_PID])
+    return local.mapInPandas(apply, out_schema)

@@ -79,3 +79,17 @@ def test_random_search_records_trials(spark):
                              df, df, n_trials=3, parallelism=2)
     assert trials.count() == 3
     assert H.sample_params({"d": H.IntRange(1, 3)}, 3, 1) == H.sample_params({"d": H.IntRange(1, 3)}, 3, 1)
+
+
+@pytest.mark.parametrize("op", ["count", "sum", "argmin"])
+def test_broadcast_carries_equal_literal_carries(hot, op, monkeypatch):
+    import tabreg.functions.scan as S
+    df, _ = hot
+    lit = running_aggregate(df, ["g"], ["o"], op, value="v", out="r", at_col="at"
+                            if op == "argmin" else None).toPandas().sort_values("o")
+    monkeypatch.setattr(S, "MAX_LITERAL_CARRIES", 0)
+    bc = running_aggregate(df, ["g"], ["o"], op, value="v", out="r", at_col="at"
+                           if op == "argmin" else None).toPandas().sort_values("o")
+    np.testing.assert_allclose(bc["r"].to_numpy(), lit["r"].to_numpy(), rtol=1e-12)
+    if op == "argmin":
+        assert bc["at"].tolist() == lit["at"].tolist()
