@@ -69,7 +69,7 @@ def features_and_label(spark, sf):
 
 ORACLES["features_and_label"] = """
 SELECT o_orderkey, round(o_totalprice / 1000.0, 9) AS price_k,
-       CASE WHEN o_orderpriority = '1-URGENT' THEN 1.0 ELSE 0.0 END AS is_urgent,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_urgent,
        CAST(o_totalprice AS DOUBLE) AS label FROM orders"""
 
 

@@ -128,7 +128,7 @@ def _one_hot_sql(drop_first):
     return f"""
 WITH {ORDERS_YEARS}, k AS (SELECT * FROM cats {keep})
 SELECT te.o_orderkey, k.col || '_' || coalesce(k.v, 'nan') AS feature,
-       CASE WHEN {hit} THEN 1.0 ELSE 0.0 END AS value
+       CASE WHEN {hit} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS value
 FROM te CROSS JOIN k"""
 
 
@@ -376,9 +376,9 @@ tr AS (SELECT * FROM s WHERE NOT is_test), te AS (SELECT * FROM s WHERE is_test)
 m AS (SELECT avg(c_acctbal) AS mu, stddev_pop(c_acctbal) AS sd FROM tr)
 SELECT o_orderkey, round(o_totalprice, 9) AS label,
        round((c_acctbal - mu) / CASE WHEN sd > 0 THEN sd ELSE 1.0 END, 9) AS c_acctbal,
-       {', '.join(f"CASE WHEN o_orderstatus = '{v}' THEN 1.0 ELSE 0.0 END AS o_orderstatus_{v}"
+       {', '.join(f"CASE WHEN o_orderstatus = '{v}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS o_orderstatus_{v}"
                   for v in STATUSES)},
-       {', '.join(f"CASE WHEN c_mktsegment = '{v}' THEN 1.0 ELSE 0.0 END AS c_mktsegment_{v}"
+       {', '.join(f"CASE WHEN c_mktsegment = '{v}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS c_mktsegment_{v}"
                   for v in SEGMENTS)},
        CAST(coalesce(list_position({_ORDER_SQL}, o_orderpriority) - 1, -1) AS DOUBLE)
          AS ord_o_orderpriority
