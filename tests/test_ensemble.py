@@ -48,3 +48,17 @@ def test_voting_average(spark):
     v = N.voting({"a": M.linear_regression(), "b": M.linear_regression()}, df)
     out = v.transform(df, keep_members=True).first()
     assert math.isclose(out["prediction"], (out["a"] + out["b"]) / 2)
+
+
+def test_parallel_fold_fits_equal_sequential(spark):
+    df = spark.range(400).selectExpr("id AS k", "CAST(id % 23 AS DOUBLE) AS x",
+                                     "CAST(5 * (id % 23) + id % 7 AS DOUBLE) AS label")
+    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+    members = {"ols": M.linear_regression(), "tree": M.decision_tree(3)}
+    seq = {r.k: (r.ols, r.tree) for r in
+           N.out_of_fold(df, ["k"], "label", members, k=4, parallelism=1).collect()}
+    par = {r.k: (r.ols, r.tree) for r in
+           N.out_of_fold(df, ["k"], "label", members, k=4, parallelism=4).collect()}
+    assert seq.keys() == par.keys() and len(seq) == 400
+    for key, (a, b) in seq.items():
+        assert abs(par[key][0] - a) < 1e-9 and abs(par[key][1] - b) < 1e-9
