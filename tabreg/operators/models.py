@@ -223,36 +223,41 @@ def fit_linear_svr(df: DataFrame, feature_cols: Sequence[str], label: str,
                    step: float = 0.5, pred: str = "prediction") -> LinearSVRModel:
     """Epsilon-insensitive linear regression by full-batch subgradient steps.
 
-    Features and label are standardised with one aggregate; every step is
-    one aggregate of subgradient sums over the cached frame (the driver
-    holds only k+1 numbers). Objective (standardised units):
+    The input is persisted once; the standardising moments are one
+    aggregate over the cache, and every step is one aggregate of
+    subgradient sums over it (the driver holds only k+1 numbers). Objective (standardised units):
     ``mean(max(0, |r| - eps)) + ||w||^2 / (2 C n)``; the best iterate wins.
     """
     cols = list(feature_cols)
-    moments = df.agg(*[f for c in cols + [label] for f in (
-        F.avg(F.col(c).cast("double")).alias(f"m_{c}"),
-        F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}"))],
-        F.count(F.lit(1)).alias("n")).first()
-    n = int(moments["n"])
-    mean = {c: moments[f"m_{c}"] for c in cols + [label]}
-    sd = {c: (moments[f"s_{c}"] or 1.0) or 1.0 for c in cols + [label]}
-    z = [((F.col(c).cast("double") - mean[c]) / sd[c]).alias(f"z{i}") for i, c in enumerate(cols)]
-    t = ((F.col(label).cast("double") - mean[label]) / sd[label]).alias("t")
-    data = persist_for_passes(df.select(*z, t))
-    eps = epsilon / sd[label]
-    lam = 1.0 / (C * max(n, 1))
     k = len(cols)
-    w = np.zeros(k)
-    b = 0.0
-    best = (math.inf, w.copy(), b)
+    # persisted once: the moments and every step read the cached columns
+    data = persist_for_passes(df.select(
+        *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)],
+        F.col(label).cast("double").alias("y")))
     try:
+        names = [f"x{i}" for i in range(k)] + ["y"]
+        moments = data.agg(*[f for c in names for f in (
+            F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"))],
+            F.count(F.lit(1)).alias("n")).first()
+        n = int(moments["n"])
+        mean = {c: moments[f"m_{c}"] or 0.0 for c in names}
+        sd = {c: (moments[f"s_{c}"] or 1.0) or 1.0 for c in names}
+        z = [(F.col(f"x{i}") - mean[f"x{i}"]) / sd[f"x{i}"] for i in range(k)]
+        t = (F.col("y") - mean["y"]) / sd["y"]
+        eps = epsilon / sd["y"]
+        lam = 1.0 / (C * max(n, 1))
+        w = np.zeros(k)
+        b = 0.0
+        best = (math.inf, w.copy(), b)
         for it in range(max_iter):
-            r = F.col("t") - (linear_combination([f"z{i}" for i in range(k)], w) + F.lit(b)
-                              if k else F.lit(b))
+            fit_z = F.lit(b)
+            for i in range(k):
+                fit_z = fit_z + F.lit(float(w[i])) * z[i]
+            r = t - fit_z
             g = F.when(r > eps, -1.0).when(r < -eps, 1.0).otherwise(0.0)
             row = data.agg(F.sum(F.greatest(F.abs(r) - eps, F.lit(0.0))).alias("loss"),
                            F.sum(g).alias("gb"),
-                           *[F.sum(g * F.col(f"z{i}")).alias(f"g{i}") for i in range(k)]).first()
+                           *[F.sum(g * z[i]).alias(f"g{i}") for i in range(k)]).first()
             obj = row["loss"] / n + 0.5 * lam * float(w @ w)
             if obj < best[0]:
                 best = (obj, w.copy(), b)
@@ -264,9 +269,9 @@ def fit_linear_svr(df: DataFrame, feature_cols: Sequence[str], label: str,
     finally:
         data.unpersist()
     _, w, b = best
-    coef = [float(w[i] * sd[label] / sd[c]) for i, c in enumerate(cols)]
-    intercept = float(mean[label] + sd[label] * b
-                      - sum(coef[i] * mean[c] for i, c in enumerate(cols)))
+    sy = sd["y"]
+    coef = [float(w[i] * sy / sd[f"x{i}"]) for i in range(k)]
+    intercept = float(mean["y"] + sy * b - sum(coef[i] * mean[f"x{i}"] for i in range(k)))
     return LinearSVRModel(cols, coef, intercept, pred)
 
 
