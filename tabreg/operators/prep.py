@@ -337,12 +337,17 @@ class Imputer:
                            for c in self.cols]).first()
             return ImputerModel({c: row[c] for c in self.cols})
         if self.strategy == "median":
+            # all columns in one unpivoted, per-column grouped selection
             from tabreg.operators.profile import quantiles
-            return ImputerModel({c: quantiles(df, c, [0.5], method=self.method,
-                                              accuracy=self.accuracy).first()["q0"]
-                                 for c in self.cols})
+            cols = list(self.cols)
+            long = df.select(*[_nan_to_null(df, c).cast("double").alias(c) for c in cols]) \
+                .unpivot([], cols, "column", "x")
+            med = quantiles(long, "x", [0.5], ["column"], method=self.method,
+                            accuracy=self.accuracy).collect()  # one row per column
+            found = {r["column"]: r["q0"] for r in med}
+            return ImputerModel({c: found.get(c) for c in cols})
         if self.strategy == "mode":
-            return ImputerModel({c: mode_value(df, c) for c in self.cols})
+            return ImputerModel(mode_values(df, self.cols))
         raise ValueError(f"unknown strategy {self.strategy}")
 
 
@@ -357,6 +362,25 @@ def mode_value(df: DataFrame, col: str):
     return mode_frame(df, col).first()["mode"]
 
 
+def mode_values(df: DataFrame, cols: Sequence[str]) -> dict[str, Any]:
+    """Mode of many columns: one ``groupBy(column, value)`` per data type
+    (columns of one type share an unpivot, so ties still go to the smallest
+    value in the column's own order). Partial aggregation collapses a hot
+    value before the shuffle; one row per column reaches the driver."""
+    by_type: dict[str, list[str]] = {}
+    for c in cols:
+        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    out: dict[str, Any] = {c: None for c in cols}
+    for group in by_type.values():
+        long = df.select(*[_nan_to_null(df, c).alias(c) for c in group]) \
+            .unpivot([], group, "column", "v").filter(F.col("v").isNotNull())
+        counts = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+        best = counts.groupBy("column").agg(
+            F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias("mode"))
+        out.update({r["column"]: r["mode"] for r in best.collect()})  # one row per column
+    return out
+
+
 # ------------------------------------------------------------ outliers
 
 def outlier_flags(df: DataFrame, col: str, method: str = "iqr", k: float = 1.5,

@@ -109,3 +109,13 @@ def test_one_hot_vector_chain_unseen_and_null(spark):
     model = Pipeline(stages=R.one_hot_vector_stages("c", "c_vec")).fit(train)
     vecs = [r.c_vec.toArray().tolist() for r in model.transform(test).collect()]
     assert vecs == [[1.0, 0.0, 0.0], [0.0, 0.0, 0.0], [0.0, 0.0, 1.0]]
+
+
+def test_imputers_many_columns_in_one_pass(spark):
+    rows = [(1.0, 9, "b", None), (None, 9, "a", None), (3.0, 10, "a", None),
+            (float("nan"), 10, "b", None), (5.0, None, None, None)]
+    df = spark.createDataFrame(rows, "x double, n int, s string, e double")
+    med = R.Imputer(["x", "n", "e"], "median").fit(df).fill
+    assert med == {"x": 3.0, "n": 9.0, "e": None}
+    mode = R.Imputer(["n", "s", "x"], "mode").fit(df).fill
+    assert mode == {"n": 9, "s": "a", "x": 1.0}  # ties go to the smallest value
