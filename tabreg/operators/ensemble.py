@@ -12,7 +12,6 @@
 from __future__ import annotations
 
 import itertools
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 from typing import Callable, Mapping, Sequence
@@ -24,14 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabreg.functions.rowwise import linear_combination, mean_of
-from tabreg.operators.models import fit_built, predict, ridge
+from tabreg.operators.models import FIT_PARALLELISM, fit_built, fit_many, predict, ridge
 from tabreg.operators.prep import train_test_split, with_kfold
 from tabreg.session import cut_lineage, persist_for_passes
 
-# Independent fits are submitted from driver threads (the reference runs its
-# stacking workers in parallel): on small inputs each fit is latency-bound,
-# on large ones the scheduler interleaves the tasks of concurrent fits.
-FIT_PARALLELISM = 4
+# Independent fits (fold x member, members) run FIT_PARALLELISM at a time from
+# driver threads, as the reference runs its stacking workers in parallel.
 
 
 def simple_average(df: DataFrame, cols: Sequence[str], out: str = "avg_pred") -> DataFrame:
@@ -152,12 +149,7 @@ def _fit(factory, df: DataFrame):
 
 
 def _fit_many(jobs: Sequence[tuple[object, DataFrame]], parallelism: int) -> list:
-    if parallelism <= 1 or len(jobs) <= 1:
-        return [_fit(e, d) for e, d in jobs]
-    # one estimator object per job: concurrent fits never share JVM params
-    jobs = [(e.copy() if hasattr(e, "fit") and hasattr(e, "copy") else e, d) for e, d in jobs]
-    with ThreadPoolExecutor(min(parallelism, len(jobs))) as pool:
-        return list(pool.map(lambda j: _fit(*j), jobs))
+    return fit_many(jobs, parallelism, _fit)
 
 
 def _fit_all(members: Mapping[str, object], df: DataFrame,

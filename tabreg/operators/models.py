@@ -47,6 +47,28 @@ def fit(estimator, df: DataFrame):
         cached.unpersist()
 
 
+# Independent fits are submitted from driver threads: on small inputs each
+# fit is latency-bound, on large ones the scheduler interleaves the tasks of
+# concurrent fits.
+FIT_PARALLELISM = 4
+
+
+def fit_many(jobs, parallelism: int = FIT_PARALLELISM, fit_one=None) -> list:
+    """Fit ``(estimator, frame)`` pairs, ``parallelism`` at a time, in order.
+
+    Every job gets its own estimator copy, so concurrent fits never share
+    the parameters of one JVM object.
+    """
+    fit_one = fit_one or (lambda e, d: e.fit(d))
+    jobs = list(jobs)
+    if parallelism <= 1 or len(jobs) <= 1:
+        return [fit_one(e, d) for e, d in jobs]
+    jobs = [(e.copy() if hasattr(e, "fit") and hasattr(e, "copy") else e, d) for e, d in jobs]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(min(parallelism, len(jobs))) as pool:
+        return list(pool.map(lambda j: fit_one(*j), jobs))
+
+
 def fit_built(build, df: DataFrame):
     """Fit ``build(df)`` for estimators that need statistics of their input
     first (ridge, elastic net): the statistics pass and the fit both read the
@@ -145,11 +167,13 @@ class BaggedModel:
 
 
 def bagging(estimator, df: DataFrame, n_estimators: int = 10, seed: int = 42,
-            pred: str = "prediction") -> BaggedModel:
-    """M7 generic: each member sees ``sample(withReplacement=True, 1.0, seed+i)``."""
+            pred: str = "prediction", parallelism: int = FIT_PARALLELISM) -> BaggedModel:
+    """M7 generic: each member sees ``sample(withReplacement=True, 1.0, seed+i)``;
+    members are fitted concurrently over one cached frame."""
     cached = persist_for_passes(df)
     try:
-        models = [estimator.fit(cached.sample(True, 1.0, seed + i)) for i in range(n_estimators)]
+        models = fit_many([(estimator, cached.sample(True, 1.0, seed + i))
+                           for i in range(n_estimators)], parallelism)
     finally:
         cached.unpersist()
     return BaggedModel(models, pred)
