@@ -17,8 +17,10 @@ Metric-space pruning with pivots (triangle inequality):
    queries that reach a cell into blocks of at most ``query_block_rows``
    (each training chunk is repeated once per query block). A hot cell -
    many identical or clustered points, or a third of all queries - is
-   spread over many bounded tiles, never one task. The top-k is taken per
-   (query, cell, chunk) and then per query.
+   spread over many bounded tiles, never one task. Each tile is one
+   cogroup; numpy computes its distances (a matrix product shortlists, the
+   shortlist is recomputed exactly) and Spark ranks the shortlists per
+   query.
 
 The result equals a brute-force search (ties broken by training id); only
 the amount of work depends on how well the data clusters.
@@ -141,13 +143,71 @@ def knn_regress(train: DataFrame, query: DataFrame, id_col: str, vec_col: str,
     tc = assigned.withColumns({"chunk": F.pmod(F.xxhash64("t_id"), n_chunks).cast("int"),
                                "qblock": F.explode(F.sequence(F.lit(0), n_blocks - 1))}) \
         .drop("d_cell")
-    pairs = qc.join(tc, ["cell", "chunk", "qblock"]).select(
-        "q_id", "cell", "chunk", "t_id", "t_label",
-        F.round(squared_distance(F.col("q_vec"), F.col("t_vec")), 9).alias("d2"))
-    w1 = Window.partitionBy("q_id", "cell", "chunk").orderBy("d2", "t_id")
-    local = pairs.withColumn("rn", F.row_number().over(w1)).filter(F.col("rn") <= k)
-    w2 = Window.partitionBy("q_id").orderBy("d2", "t_id")  # <= k rows per candidate tile
-    top = local.withColumn("rn", F.row_number().over(w2)).filter(F.col("rn") <= k)
+    # every tile is one cogroup (bounded on both sides); distances run in
+    # numpy per tile and only each query's shortlist leaves the task
+    tile = ["cell", "chunk", "qblock"]
+    out_schema = T.StructType([T.StructField("q_id", q.schema["q_id"].dataType),
+                               T.StructField("t_id", t.schema["t_id"].dataType),
+                               T.StructField("t_label", T.DoubleType()),
+                               T.StructField("d2", T.DoubleType())])
+    short = qc.groupBy(*tile).cogroup(tc.groupBy(*tile)).applyInPandas(
+        _tile_shortlist(k), out_schema)
+    ranked = short.withColumn("d2", F.round("d2", 9))
+    w2 = Window.partitionBy("q_id").orderBy("d2", "t_id")  # <= shortlist rows per tile
+    top = ranked.withColumn("rn", F.row_number().over(w2)).filter(F.col("rn") <= k)
     return top.groupBy("q_id").agg(F.avg("t_label").alias(out),
                                    F.max("d2").alias("kth_dist2")) \
         .withColumnRenamed("q_id", id_col)
+
+
+_EPS = np.finfo(np.float64).eps
+_BLOCK_PAIRS = 4_000_000   # distance-matrix cells per numpy step (32 MB)
+
+
+def _tile_shortlist(k: int):
+    """Per tile: the training rows that can be among a query's k nearest.
+
+    ``|q|^2 + |t|^2 - 2 q.t`` (one matrix product) gives approximate
+    distances with a proven error bound; rows within the k-th smallest +
+    rounding step + twice that bound are recomputed exactly, summing
+    ``(q_i - t_i)^2`` left to right (as ``aggregate(zip_with(...))`` would).
+    Kept are the rows within one rounding step (1e-9) of the exact k-th
+    distance - only they can win once Spark ranks by the value rounded to 9
+    decimals - and of identical values only the k smallest ids (ties go by
+    id), so copies of one point never multiply the output.
+    """
+    def fn(qdf: pd.DataFrame, tdf: pd.DataFrame) -> pd.DataFrame:
+        cols = ["q_id", "t_id", "t_label", "d2"]
+        if qdf.empty or tdf.empty:
+            return pd.DataFrame({c: [] for c in cols})
+        Q = np.stack(qdf["q_vec"].to_numpy()).astype(np.float64)
+        Tm = np.stack(tdf["t_vec"].to_numpy()).astype(np.float64)
+        qn, tn = (Q * Q).sum(1), (Tm * Tm).sum(1)
+        d = Q.shape[1]
+        kk = min(k, len(Tm))
+        t_ids, t_lab = tdf["t_id"].to_numpy(), tdf["t_label"].to_numpy(dtype=np.float64)
+        q_ids = qdf["q_id"].to_numpy()
+        step = max(1, _BLOCK_PAIRS // len(Tm))
+        parts = []
+        for s0 in range(0, len(Q), step):
+            qb = Q[s0:s0 + step]
+            approx = qn[s0:s0 + step, None] + tn[None, :] - 2.0 * (qb @ Tm.T)
+            err = (2 * d + 8) * _EPS * (qn[s0:s0 + step] + tn.max())
+            kth = np.partition(approx, kk - 1, axis=1)[:, kk - 1]
+            rows, cand = np.nonzero(approx <= (kth + 2e-9 + 2.0 * err)[:, None])
+            diff = qb[rows] - Tm[cand]
+            c = pd.DataFrame({"row": rows, "t_id": t_ids[cand], "t_label": t_lab[cand],
+                              "d2": np.cumsum(diff * diff, axis=1)[:, -1]})
+            c = c.sort_values(["row", "d2", "t_id"], kind="stable")
+            rank = c.groupby("row").cumcount().to_numpy()
+            ek = c["d2"].to_numpy()[rank == kk - 1]        # exact k-th per query
+            limit = ek + 1e-9 + 1e-12 * np.abs(ek)
+            keep = (c["d2"].to_numpy() <= limit[c["row"].to_numpy()]) & \
+                (c.groupby(["row", "d2"]).cumcount().to_numpy() < k)
+            c = c[keep]
+            parts.append(pd.DataFrame({"q_id": q_ids[s0 + c["row"].to_numpy()],
+                                       "t_id": c["t_id"].to_numpy(),
+                                       "t_label": c["t_label"].to_numpy(),
+                                       "d2": c["d2"].to_numpy()}))
+        return pd.concat(parts, ignore_index=True)
+    return fn
