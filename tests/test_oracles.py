@@ -1,5 +1,8 @@
-"""Every registered query against its DuckDB oracle on the smallest data set."""
+"""Every registered query against its DuckDB oracle on the smallest data set,
+and every query's physical plan against patterns that do not scale."""
 
+import contextlib
+import io
 import math
 
 import duckdb
@@ -43,9 +46,29 @@ def test_every_query_has_an_oracle_or_is_a_model_fit():
     assert len(ORACLES) >= 75
 
 
+# all-pairs joins and row-at-a-time Python UDFs must never be planned
+_FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
+
+
+def _assert_plan_scales(sdf):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        sdf.explain()
+    plan = buf.getvalue()
+    assert not [f for f in _FORBIDDEN if f in plan], plan
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+def test_model_query_plan_scales(spark, name):
+    sdf = QUERIES[name](spark, SF_SMALL)
+    _assert_plan_scales(sdf)
+    assert sdf.count() >= 0
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, name):
     sdf = QUERIES[name](spark, SF_SMALL)
+    _assert_plan_scales(sdf)
     rel = con.sql(ORACLES[name])
     assert sorted(sdf.columns) == sorted(rel.columns)
     idx = [rel.columns.index(c) for c in sdf.columns]
