@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from tabreg.functions.hashing import hash_bucket
 from tabreg.operators.profile import (
-    QUANTILE_ACCURACY, _nan_to_null, long_values, low_information_columns,
+    QUANTILE_ACCURACY, _as_text, _nan_to_null, long_values, low_information_columns,
     excessive_null_columns,
 )
 
@@ -93,8 +93,14 @@ def fit_categories(df: DataFrame, cols: Sequence[str],
     One grouped aggregate; the driver receives at most ``max_categories``+1
     rows, and more than that is an error (use the vector encoder instead).
     """
-    pairs = long_values(df, cols).distinct()
-    rows = pairs.limit(max_categories + 1).collect()
+    return _categories_from_pairs(df, cols, long_values(df, cols).distinct(), max_categories)
+
+
+def _categories_from_pairs(df: DataFrame, cols: Sequence[str], pairs: DataFrame,
+                           max_categories: int) -> dict[str, list]:
+    """Typed, sorted category lists from distinct ``(column, value)`` text
+    pairs; at most ``max_categories`` + 1 rows are collected."""
+    rows = pairs.select("column", "value").limit(max_categories + 1).collect()
     if len(rows) > max_categories:
         raise ValueError(f"more than {max_categories} categories in {list(cols)}")
     cats: dict[str, list] = {c: [] for c in cols}
@@ -469,6 +475,35 @@ class FeaturePipelineModel:
         return out
 
 
+def _profile_aggregate(df: DataFrame, cat: Sequence[str], num: Sequence[str]) -> DataFrame:
+    """``kind, column, value, cnt, nx, mean, std`` in one grouped aggregate.
+
+    Categorical columns (kind ``c``) give one row per distinct value (text,
+    null kept as a value); numeric columns (kind ``n``) give one row each,
+    with the count of rows, of non-null values, their mean and population
+    std - the same expressions as ``StandardScaler``/``null_ratio``.
+    """
+    fields = []
+    for c in cat:
+        fields.append(F.struct(F.lit("c").alias("kind"), F.lit(c).alias("column"),
+                               _as_text(df, c).alias("value"),
+                               F.lit(None).cast("double").alias("x")))
+    for c in num:
+        fields.append(F.struct(F.lit("n").alias("kind"), F.lit(c).alias("column"),
+                               F.lit(None).cast("string").alias("value"),
+                               _nan_to_null(df, c).cast("double").alias("x")))
+    if not fields:
+        return df.sparkSession.createDataFrame(
+            [], "kind string, column string, value string, cnt long, nx long, "
+                "mean double, std double")
+    names = [f"__p{i}" for i in range(len(fields))]
+    long = df.select(*[f.alias(n) for f, n in zip(fields, names)]) \
+        .unpivot([], names, "__slot", "r").select("r.*")
+    return long.groupBy("kind", "column", "value").agg(
+        F.count(F.lit(1)).alias("cnt"), F.count("x").alias("nx"),
+        F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"))
+
+
 @dataclass
 class FeaturePipeline:
     """fit once on training rows, apply the same state to any frame.
@@ -488,34 +523,62 @@ class FeaturePipeline:
     null_threshold: float | None = None
 
     def fit(self, df: DataFrame) -> FeaturePipelineModel:
-        """A few aggregates over the persisted training rows (dropped after)."""
-        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            return self._fit(cached)
-        finally:
-            cached.unpersist()
-
-    def _fit(self, df: DataFrame) -> FeaturePipelineModel:
+        """One pass over the training rows.
+
+        A single ``groupBy(kind, column, value)`` over one unpivot holds
+        the count of every categorical value (null counted as a value) and,
+        for every numeric column, one group with its count, non-null count,
+        mean and population std. Partial aggregation collapses hot values
+        before the shuffle. Dominance, null shares, scaler moments and
+        category lists are all read from that small result (cached while
+        fitting); the training rows themselves are never cached.
+        """
         numerical = list(self.spec.numerical)
         nominal = list(self.spec.nominal)
         ordinal = dict(self.spec.ordinal)
-        dropped: list[str] = []
-        if self.dominance_threshold is not None or self.null_threshold is not None:
-            cat = sorted(set(nominal) | set(ordinal))
-            drop = set()
-            if self.dominance_threshold is not None and cat:
-                drop |= {r["column"] for r in low_information_columns(
-                    df, cat, self.dominance_threshold).collect()}
-            if self.null_threshold is not None:
-                allc = sorted(set(numerical) | set(cat))
-                drop |= {r["column"] for r in excessive_null_columns(
-                    df, allc, self.null_threshold).collect()}
-            dropped = sorted(drop)
-            numerical = [c for c in numerical if c not in drop]
-            nominal = [c for c in nominal if c not in drop]
-            ordinal = {c: o for c, o in ordinal.items() if c not in drop}
-        scaler = StandardScaler(numerical).fit(df) if (self.scale and numerical) else None
-        one_hot = OneHotEncoder(nominal, self.drop_first).fit(df) if nominal else None
-        ordm = OrdinalEncoder(ordinal).fit(df) if ordinal else None
+        cat = sorted(set(nominal) | set(ordinal))
+        num = numerical if (self.scale or self.null_threshold is not None) else []
+        profile = _profile_aggregate(df, cat, num).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return self._fit_from(df, profile, numerical, nominal, ordinal, cat, num)
+        finally:
+            profile.unpersist()
+
+    def _fit_from(self, df, profile, numerical, nominal, ordinal, cat, num):
+        per_col = {(r["kind"], r["column"]): r for r in profile.groupBy("kind", "column").agg(
+            (F.max("cnt") / F.sum("cnt")).alias("top_freq"),
+            (F.coalesce(F.sum(F.when(F.col("kind") == "c",
+                                     F.when(F.col("value").isNull(), F.col("cnt")))
+                              .otherwise(F.col("cnt") - F.col("nx"))), F.lit(0))
+             / F.sum("cnt")).alias("nan_ratio"),
+            F.max("mean").alias("mean"), F.max("std").alias("std")).collect()}  # one row per column
+        drop = set()
+        if self.dominance_threshold is not None:
+            drop |= {c for c in cat if per_col.get(("c", c)) is not None
+                     and per_col[("c", c)]["top_freq"] >= self.dominance_threshold}
+        if self.null_threshold is not None:
+            drop |= {c for c in cat if per_col.get(("c", c)) is not None
+                     and per_col[("c", c)]["nan_ratio"] > self.null_threshold}
+            drop |= {c for c in numerical if per_col.get(("n", c)) is not None
+                     and per_col[("n", c)]["nan_ratio"] > self.null_threshold}
+        dropped = sorted(drop)
+        numerical = [c for c in numerical if c not in drop]
+        nominal = [c for c in nominal if c not in drop]
+        ordinal = {c: o for c, o in ordinal.items() if c not in drop}
+        scaler = None
+        if self.scale and numerical:
+            scaler = StandardScalerModel({c: (per_col[("n", c)]["mean"], per_col[("n", c)]["std"])
+                                          if ("n", c) in per_col else (None, None)
+                                          for c in numerical})
+
+        def categories(cols):
+            pairs = profile.filter((F.col("kind") == "c") & F.col("column").isin(*cols))
+            return _categories_from_pairs(df, cols, pairs, MAX_CATEGORIES)
+        one_hot = OneHotModel(categories(nominal), self.drop_first) if nominal else None
+        auto = [c for c, o in ordinal.items() if o is None]
+        fitted = categories(auto) if auto else {}
+        ordm = OrdinalModel({c: (list(o) if o is not None
+                                 else [v for v in fitted[c] if v is not None])
+                             for c, o in ordinal.items()}) if ordinal else None
         return FeaturePipelineModel(list(self.key), self.label, numerical, scaler,
                                     one_hot, ordm, dropped)

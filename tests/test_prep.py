@@ -119,3 +119,22 @@ def test_imputers_many_columns_in_one_pass(spark):
     assert med == {"x": 3.0, "n": 9.0, "e": None}
     mode = R.Imputer(["n", "s", "x"], "mode").fit(df).fill
     assert mode == {"n": 9, "s": "a", "x": 1.0}  # ties go to the smallest value
+
+
+def test_pipeline_single_pass_fit_equals_separate_operators(spark):
+    from tabreg.operators import profile as P
+    rows = [(i, ["a", "b", "b", None][i % 4], ["x", "x", "x", "y"][i % 4],
+             float(i % 7) if i % 5 > 1 else None, ["L", "M", "H"][i % 3]) for i in range(60)]
+    df = spark.createDataFrame(rows, "k int, nom string, dom string, v double, o string")
+    spec = R.FeatureSpec(numerical=("v",), nominal=("nom", "dom"), ordinal={"o": None})
+    m = R.FeaturePipeline(spec, key=("k",), dominance_threshold=0.75, null_threshold=0.3).fit(df)
+    # dom: top share 0.75 (>=); v: 24/60 null (> 0.3); nom: 15/60 null, kept
+    expected = {r.column for r in P.low_information_columns(df, ["dom", "nom", "o"], 0.75)
+                .collect()} | {r.column for r in P.excessive_null_columns(
+                    df, ["v", "dom", "nom", "o"], 0.3).collect()}
+    assert m.dropped == sorted(expected) == ["dom", "v"]
+    assert m.one_hot.categories == R.OneHotEncoder(["nom"]).fit(df).categories
+    assert m.ordinal.orders == {"o": ["H", "L", "M"]}
+    got = R.FeaturePipeline(spec, key=("k",)).fit(df).scaler.stats["v"]
+    exp = R.StandardScaler(["v"]).fit(df).stats["v"]
+    assert all(abs(a - b) < 1e-12 for a, b in zip(got, exp))
