@@ -19,10 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabreg.functions.hashing import hash_bucket
-from tabreg.operators.profile import (
-    QUANTILE_ACCURACY, _as_text, _nan_to_null, long_values, low_information_columns,
-    excessive_null_columns,
-)
+from tabreg.operators.profile import QUANTILE_ACCURACY, _as_text, _nan_to_null, long_values
 
 MAX_CATEGORIES = 10_000
 
