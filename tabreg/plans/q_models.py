@@ -135,12 +135,14 @@ def feature_importance(spark, sf):
     train, _ = _li_split(spark, sf)
     names = M.slot_names(train)
     train = persist_for_passes(train)
-    frames = [M.feature_importance(spark, M.random_forest(20, 5).fit(train), names, "random_forest"),
-              M.feature_importance(spark, M.gbt("depthwise", n_estimators=10, max_depth=4)
-                                   .fit(train), names, "gbt_depthwise"),
-              M.feature_importance(spark, M.linear_regression().fit(train), names,
-                                   "linear_regression")]
-    train.unpersist()
+    builds = {"random_forest": M.random_forest(20, 5),
+              "gbt_depthwise": M.gbt("depthwise", n_estimators=10, max_depth=4),
+              "linear_regression": M.linear_regression()}
+    try:
+        fitted = M.fit_many([(b, train) for b in builds.values()])  # concurrent fits
+    finally:
+        train.unpersist()
+    frames = [M.feature_importance(spark, m, names, n) for n, m in zip(builds, fitted)]
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
