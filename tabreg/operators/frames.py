@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tabreg.functions.hashing import row_key
 
-MAX_DICTIONARY_ROWS = 100_000
+MAX_DICTIONARY_ROWS = 10_000  # literal rows in the plan; larger: a table, joined
 
 
 def select_group(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -113,7 +113,8 @@ def dictionary_frame(spark: SparkSession,
                      entries: Sequence[tuple[str, str, str]]) -> DataFrame:
     """``column, code, meaning`` from a data dictionary (codes trimmed)."""
     if len(entries) > MAX_DICTIONARY_ROWS:
-        raise ValueError("dictionary too large; keep it as a table and join it")
+        raise ValueError("dictionary too large for literal rows; read it as a table "
+                         "and pass that frame to lookup()")
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(k.strip()).alias("code"),
                               F.lit(m).alias("meaning")) for c, k, m in entries])
     # literal rows: the planner knows the size, so the join broadcasts it
