@@ -47,3 +47,9 @@ def test_training_log_tsv(spark):
         f.write("iter\tRMSE\n0\t70287.73361\n1\t68000.5\n")
     rows = [tuple(r) for r in read_training_log(spark, path).orderBy("iter").collect()]
     assert rows == [(0, 70287.73361), (1, 68000.5)]
+
+
+def test_literal_dictionary_is_bounded(spark):
+    n = J.MAX_DICTIONARY_ROWS + 1
+    with pytest.raises(ValueError):
+        J.dictionary_frame(spark, [("c", str(i), "m") for i in range(n)])
