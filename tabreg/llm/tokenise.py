@@ -15,17 +15,19 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces a worker remembers; beyond it the cache starts anew.
-CACHE_PIECES = 600_000
+#: Pieces in each of a worker's two cache generations: the young one takes
+#: what is used; when it is full it becomes the old one, whose rest is forgotten.
+CACHE_PIECES = 700_000
 _UNSAFE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] "
 _CUT = re.compile(r"(?<=\S) ")
-_WORD_MARKS = re.compile(r"( ?[^\W\d_]+)([.,;:!?|]+)")
+_MARKS = ".,;:!?|$%&#*"
 _encoders: dict[tuple[str, str], "Encoder"] = {}
 
 
@@ -45,30 +47,43 @@ class Encoder:
         self.mode = mode
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.cache: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def _encode(self, pieces: list[str]) -> None:
-        """Put the ids of pieces that the cache lacks into it."""
+    def _encode(self, pieces: list[str]) -> dict[str, bytes]:
         done = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        self.cache.update(zip(pieces, (np.array(e.ids, np.uint32).tobytes() for e in done)))
+        return dict(zip(pieces, (array("I", e.ids).tobytes() for e in done)))
 
     def pieces(self, pieces: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each piece."""
-        if len(self.cache) > CACHE_PIECES:
-            self.cache.clear()
-        got = list(map(self.cache.get, pieces))
+        if len(self.young) > CACHE_PIECES:
+            self.young, self.old = {}, self.young
+        young = self.young
+        got = list(map(young.get, pieces))
         missing = [i for i, x in enumerate(got) if x is None]
         if not missing:
             return got
-        # a word and the marks behind it are encoded apart: they never merge
-        split = {pieces[i]: m.groups() for i in missing if (m := _WORD_MARKS.fullmatch(pieces[i]))}
-        need = {p for i in missing for p in split.get(pieces[i], (pieces[i],))}
-        self._encode([p for p in need if p not in self.cache])
+        old, unknown = self.old, []
         for i in missing:
-            p = pieces[i]
-            if p in split:
-                self.cache[p] = b"".join(map(self.cache.__getitem__, split[p]))
-            got[i] = self.cache[p]
+            ids = old.get(p := pieces[i])
+            if ids is None:
+                unknown.append(i)
+            else:
+                got[i] = young[p] = ids
+        # a word and the marks behind it are encoded apart: they never merge
+        halves = {}
+        for i in unknown:
+            word = pieces[i].rstrip(_MARKS)
+            if word != pieces[i] and (word[1:] if word[:1] == " " else word).isalpha():
+                halves[i] = word
+        need = {halves.get(i, pieces[i]) for i in unknown} | {pieces[i][len(w):] for i, w in halves.items()}
+        fresh = {p: ids for p in need if (ids := young.get(p) or old.get(p)) is not None}
+        new = self._encode([p for p in need if p not in fresh])
+        young.update(new)
+        fresh.update(new)
+        for i in unknown:
+            w = halves.get(i)
+            got[i] = fresh[pieces[i]] if w is None else fresh[w] + fresh[pieces[i][len(w):]]
         return got
 
     def _key(self, pieces: list[str]) -> list[str]:
