@@ -124,8 +124,8 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, path: str | None =
                 "data": pa.array([data], pa.binary())})
 
         for whole in batches:
-            for lo in range(0, whole.num_rows, 3000):
-                batch = whole.slice(lo, 3000)
+            for lo in range(0, whole.num_rows, 2000):
+                batch = whole.slice(lo, 2000)
                 flat, at = enc.batch(batch.column(1))
                 for i, name in enumerate(batch.column(0).to_pylist()):
                     n = int(at[i + 1] - at[i]) + 1

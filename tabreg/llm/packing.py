@@ -42,8 +42,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path, "bytes")
         for whole in batches:
-            for lo in range(0, whole.num_rows, 3000):
-                batch = whole.slice(lo, 3000)
+            for lo in range(0, whole.num_rows, 2000):
+                batch = whole.slice(lo, 2000)
                 flat, at = enc.batch(batch.column(1))
                 out: dict[str, list] = {k: [] for k in ("i", "piece", "start", "length", "ids", "crc")}
                 for i in range(batch.num_rows):

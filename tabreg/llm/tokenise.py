@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 
 #: Pieces in each of a worker's two cache generations: the young one takes
 #: what is used; when it is full it becomes the old one, whose rest is forgotten.
-CACHE_PIECES = 700_000
+CACHE_PIECES = 350_000
 _UNSAFE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] "
 _CUT = re.compile(r"(?<=\S) ")
 _MARKS = ".,;:!?|$%&#*"
@@ -51,8 +51,12 @@ class Encoder:
         self.old: dict[str, bytes] = {}
 
     def _encode(self, pieces: list[str]) -> dict[str, bytes]:
-        done = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return dict(zip(pieces, (array("I", e.ids).tobytes() for e in done)))
+        out: dict[str, bytes] = {}
+        for lo in range(0, len(pieces), 20_000):  # the library's results are large
+            part = pieces[lo:lo + 20_000]
+            done = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            out.update(zip(part, (array("I", e.ids).tobytes() for e in done)))
+        return out
 
     def pieces(self, pieces: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each piece."""
