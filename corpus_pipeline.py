@@ -23,6 +23,8 @@ from tabreg.llm import exact_dedup, langid, mixing, packing, queries, simhash
 from tabreg.llm.common import stored, table
 
 TARGET_ENTROPY = 0.95
+#: The tokeniser's cache beside executors that still hold the earlier stages' heap.
+WORKER_CACHE = 250_000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +44,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    packed = packing.pack_documents(docs, queries.tokenizer("byte_bpe_50k.json"), with_ids=False)
+    packed = packing.pack_documents(docs, queries.tokenizer("byte_bpe_50k.json"), with_ids=False,
+                                    cache=WORKER_CACHE)
     return packed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32",
                          "sequence_id", "offset")
 

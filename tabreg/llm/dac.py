@@ -155,16 +155,15 @@ def read_documents(spark, path: str) -> DataFrame:
     """
     segs = segments(spark, path)
     sums = sorted((r["part"], r["n"]) for r in segs.groupBy("part").agg(F.sum("n_ids").alias("n")).collect())
-    before, base = [], 0
+    bases, base = {}, 0
     for part, n in sums:
-        before.append((part, base))
+        bases[part] = base
         base += n
-    bases = spark.createDataFrame(before, "part int, base long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, base, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                seg = Segment(data)
+            for part, first, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                seg, base = Segment(data), bases[part]
                 ids, at = seg.tokens().astype("<u4"), seg.offsets
                 names = [int(x) if h else None for x, h in zip(seg.doc_ids, seg.has_id)]
                 yield pa.RecordBatch.from_arrays([
@@ -173,7 +172,7 @@ def read_documents(spark, path: str) -> DataFrame:
                     pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.view("<i4")))],
                     names=["id", "start", "n_tokens", "ids_crc32", "ids"])
 
-    return segs.join(bases, "part").select("first", "base", "data").mapInArrow(
+    return segs.select("part", "first", "data").mapInArrow(
         run, "id long, start long, n_tokens long, ids_crc32 long, ids array<int>")
 
 

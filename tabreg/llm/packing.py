@@ -25,13 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabreg.llm.common import stored
-from tabreg.llm.tokenise import encoder
+from tabreg.llm.tokenise import CACHE_PIECES, encoder
 
 PIECES = "id long, piece int, start long, length long, ids array<int>, ids_crc32 long"
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 0,
-                 id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
+                 id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True,
+                 cache: int = CACHE_PIECES) -> DataFrame:
     """Pieces of at most ``size`` ids of every whole text with its end id.
 
     Only longer texts are cut; their pieces hold ``size`` ids but for the
@@ -40,7 +41,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id:
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer_path, "bytes")
+        enc = encoder(tokenizer_path, "bytes", cache)
         for whole in batches:
             for lo in range(0, whole.num_rows, 2000):
                 batch = whole.slice(lo, 2000)
@@ -140,10 +141,10 @@ def pack(items: DataFrame, size: int = 2048, nearly: int = 8, group_items: int =
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 0,
                    id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True,
-                   group_items: int = 20_000) -> DataFrame:
+                   group_items: int = 20_000, cache: int = CACHE_PIECES) -> DataFrame:
     """Pieces of all texts with their ``sequence_id`` and ``offset`` there."""
     # numbered once and written: the numbers hold when a task is run again
-    pieces = stored(token_pieces(docs, tokenizer_path, size, end_id, id_col, text_col, with_ids)
+    pieces = stored(token_pieces(docs, tokenizer_path, size, end_id, id_col, text_col, with_ids, cache)
                     .withColumn("item", F.monotonically_increasing_id()), "pieces")
     spots = pack(pieces, size, group_items=group_items)
     return pieces.join(spots, "item").select(

@@ -268,6 +268,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_
     if not ids:
         return None
     kind = docs.schema[id_col].dataType.simpleString()
+    # at most sample_docs ids: a proven bound for the broadcast below
     sample = docs.sparkSession.createDataFrame([(r["id"],) for r in ids], f"id {kind}")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -275,7 +276,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_
             yield pd.DataFrame({"region": [t[max(0, a - 1):b + 1] for t in pdf["text"] if isinstance(t, str)
                                            for a, b in regions(t) if b - a <= 400]}, dtype=object)
 
-    found = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(sample, "id")
+    found = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(sample), "id")
              .mapInPandas(cut, "region string").distinct()
              .orderBy(F.xxhash64("region", F.lit(seed)), "region").limit(SAMPLE_REGIONS).collect())
     samples = []

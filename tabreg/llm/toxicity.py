@@ -117,9 +117,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 rows.append((i, y, [x.decode("latin-1") for x in bag], list(bag.values())))
             yield pd.DataFrame(rows, columns=["id", "y", "words", "n"])
 
-    # the sample is a local table: the planner checks its size before it broadcasts it
+    # at most 2 * sample_rows ids: a proven bound for the broadcast
     bags = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(
-        sample, "id").mapInPandas(counted, "id long, y int, words array<string>, n array<long>").persist()
+        F.broadcast(sample), "id").mapInPandas(counted, "id long, y int, words array<string>, n array<long>").persist()
     try:
         n_docs = {r["y"]: r["count"] for r in bags.groupBy("y").count().collect()}
         if len(n_docs) < 2:
