@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text", shingle_words: int = 4
     return rest.mapInPandas(run, schema)
 
 
-def _band(fp, band: int, n_segments: int):
+def _band(fp, band: int):
     """Bit counts of a band's two-bit segments as one long, two bits each.
 
     x - ((x >> 1) & 0101..) leaves in every bit pair the count of its bits.
@@ -80,14 +80,10 @@ def _band(fp, band: int, n_segments: int):
     return half - F.shiftright(half, 1).bitwiseAND(F.lit(0x55555555))
 
 
-def _steps(n_segments: int, sign: int) -> list[int]:
-    return [sign * (1 << (2 * i)) for i in range(n_segments)]
-
-
 def _blocks(nodes: DataFrame, block: int) -> DataFrame:
     """(band, point, no, fps): the nodes of each point in salted blocks."""
     both = nodes.select(
-        "fp", F.explode(F.array(*[F.struct(F.lit(b).cast("byte").alias("band"), _band(F.col("fp"), b, 16).alias("point"))
+        "fp", F.explode(F.array(*[F.struct(F.lit(b).cast("byte").alias("band"), _band(F.col("fp"), b).alias("point"))
                                   for b in (0, 1)])).alias("x")).select("fp", "x.band", "x.point")
     size = both.groupBy("band", "point").count()
     crowded = size.filter(F.col("count") > block)
@@ -102,11 +98,11 @@ def _visits(blocks: DataFrame, signs: tuple[int, ...]) -> DataFrame:
     A segment's count runs from 0 to 2; steps that leave the range are left
     out. ``step`` is the change of the packed point.
     """
-    steps = F.lit(0)
     options = [F.array(F.lit(0).cast("long"))]
     for sign in signs:
         edge = 0 if sign < 0 else 2
-        for i, s in enumerate(_steps(16, sign)):
+        for i in range(16):
+            s = sign * (1 << (2 * i))
             count = F.shiftright(F.col("point"), 2 * i).bitwiseAND(F.lit(3))
             options.append(F.when(count != edge, F.array(F.lit(s).cast("long"))).otherwise(F.array().cast("array<long>")))
     steps = F.flatten(F.array(*options))
@@ -161,8 +157,9 @@ def _cross(max_bits: int):
 
 
 def links(nodes: DataFrame, max_bits: int = 4, block: int = 512) -> DataFrame:
-    """(a, b): enough links within ``max_bits`` bits between the different
-    fingerprints ``fp`` of ``nodes`` to connect all that are connected."""
+    """(a, b): between the different fingerprints ``fp`` of ``nodes``, so that
+    just those are connected that chains of steps within ``max_bits`` bits
+    connect. Within a block a member's link goes to the root of its tree."""
     if not 0 <= max_bits <= 5:
         raise ValueError("two bands with visits of one step find up to 5 bits")
     blocks = stored(_blocks(nodes, block), "simhash-blocks")
