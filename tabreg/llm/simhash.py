@@ -110,10 +110,16 @@ def _visits(blocks: DataFrame, signs: tuple[int, ...]) -> DataFrame:
         "cell", F.col("point") + F.col("step"))
 
 
+def _near(x: np.ndarray, y: np.ndarray, max_bits: int) -> np.ndarray:
+    """(x, y) matrix: within ``max_bits`` bits. Unsigned: of a negative number
+    numpy counts the bits of its absolute value."""
+    return np.bitwise_count(x.view(np.uint64)[:, None] ^ y.view(np.uint64)[None, :]) <= max_bits
+
+
 def _local_roots(fps: np.ndarray, max_bits: int) -> np.ndarray:
     """The smallest linked member's index for each member of a block."""
     n = len(fps)
-    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= max_bits
+    near = _near(fps, fps, max_bits)
     root = np.arange(n)
     while True:
         low = np.where(near, root[None, :], n).min(1)
@@ -145,7 +151,7 @@ def _cross(max_bits: int):
             a, b = [], []
             for x, y in zip(pdf["x_fps"], pdf["y_fps"]):
                 x, y = np.asarray(x, np.int64), np.asarray(y, np.int64)
-                i, j = np.nonzero(np.bitwise_count(x[:, None] ^ y[None, :]) <= max_bits)
+                i, j = np.nonzero(_near(x, y, max_bits))
                 if len(i) > 1:
                     rx, ry = x[_local_roots(x, max_bits)[i]], y[_local_roots(y, max_bits)[j]]
                     _, one = np.unique(np.stack([rx, ry]), axis=1, return_index=True)
