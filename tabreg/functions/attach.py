@@ -1,49 +1,33 @@
 """Attach per-group values (bounds, fences, targets) to the rows of a big frame.
 
-Joining a big frame to a small per-group table on a low-cardinality key
-(a model name, a column name, a handful of groups) would hash-partition
-the whole big side by that key: a few reducers receive everything. When
-the small table has at most ``max_rows`` rows (checked by collecting at
-most ``max_rows + 1`` rows), its values become a literal map and are looked
-up per row - no join, no shuffle. Beyond that there are many distinct keys
-and an ordinary join spreads well (AQE splits remaining skew).
+A null-safe equi-join in every case. A small table is broadcast once its
+size has been checked (at most ``max_rows`` rows are counted): the big side
+then keeps its partitioning, where a shuffle on a low-cardinality key would
+send everything to a few tasks. A larger table has many keys, which an
+ordinary join spreads well (AQE splits remaining skew).
 """
 
 from __future__ import annotations
 
-from typing import Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_LITERAL_ROWS = 10_000
+MAX_BROADCAST_ROWS = 10_000
 
 
 def attach(big: DataFrame, small: DataFrame, keys: Sequence[str], values: Sequence[str],
-           max_rows: int = MAX_LITERAL_ROWS) -> DataFrame:
-    """Inner-join semantics: rows of ``big`` whose key is in ``small`` get ``values``."""
+           max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Inner join: rows of ``big`` whose key is in ``small`` get ``values``.
+
+    A null key is a key like any other.
+    """
     keys, values = list(keys), list(values)
-    small = small.select(*keys, *values)
-    rows = small.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return big.join(small, keys)
-    rows = [r for r in rows if all(r[k] is not None for k in keys)]
-    if not rows:
-        return big.join(small, keys).limit(0)
-    vtypes = dict(small.dtypes)
-    ktypes = dict(big.dtypes)
-
-    def key_lit(r):
-        if len(keys) == 1:
-            return F.lit(r[keys[0]]).cast(ktypes[keys[0]])
-        return F.struct(*[F.lit(r[k]).cast(ktypes[k]).alias(k) for k in keys])
-
-    entries = []
-    for r in rows:
-        entries += [key_lit(r),
-                    F.struct(*[F.lit(r[v]).cast(vtypes[v]).alias(v) for v in values])]
-    m = F.create_map(*entries)
-    key_col = F.col(keys[0]) if len(keys) == 1 else F.struct(*[F.col(k).alias(k) for k in keys])
-    hit = F.try_element_at(m, key_col)
-    out = big.withColumn("__attached", hit).filter(F.col("__attached").isNotNull())
-    return out.withColumns({v: F.col("__attached")[v] for v in values}).drop("__attached")
+    table = small.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *values)
+    if table.limit(max_rows + 1).count() <= max_rows:
+        table = F.broadcast(table)
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & big[k].eqNullSafe(F.col(f"__k{i}"))
+    return big.join(table, on).drop(*[f"__k{i}" for i in range(len(keys))])

@@ -12,15 +12,15 @@ across range partitions instead:
    numbering stable through executor loss.
 3. One tiny aggregate gives, per partition, its first and last group and
    the last group's local total: at most one row per partition.
-4. The driver folds those totals into a carry per partition (again at most
-   one entry per partition: only a partition's *first* group can continue
-   from earlier partitions) and a single ``select`` combines the carry into
-   the rows of that first group. No join, no second shuffle. Up to
-   ``MAX_LITERAL_CARRIES`` carries are a literal map inside the plan (stays
-   in whole-stage codegen); beyond that (a huge table in very many
-   partitions) the carry table is a broadcast variable - its size is
-   bounded by the partition count, not by the rows - applied by a
-   vectorised ``mapInPandas``, so the plan never grows with the data.
+4. The driver folds those totals forward, once, into a carry per partition
+   (again at most one entry per partition: only a partition's *first* group
+   can continue from earlier partitions). The carry table is a broadcast
+   variable, bounded by the partition count, not by the rows, and a
+   vectorised ``mapInPandas`` combines it into the rows of that first
+   group. No join, no second shuffle.
+
+A null group is a group like any other. ``max``/``min``/``argmax``/``argmin``
+are null until the group has a value.
 """
 
 from __future__ import annotations
@@ -37,7 +37,6 @@ from tabreg.session import cut_lineage
 
 _OPS = ("count", "sum", "max", "min", "argmin", "argmax")
 _PID = "__pid"
-MAX_LITERAL_CARRIES = 2_000
 
 
 def _combine(op: str, carry, local):
@@ -55,18 +54,19 @@ def _local_scan_fn(group_cols: list[str], value: str | None, op: str, out: str,
     def scan(it):
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
-        prev_key = None
+        prev_key = before_key = None
+        before_seen = False
         prev_val = None
         prev_at = None
         for pdf in it:
             if pdf.empty:
                 continue
             kdf = pdf[group_cols]
-            new = (kdf != kdf.shift(1)).any(axis=1).to_numpy()
+            before = kdf.shift(1)
+            new = ((kdf != before) & ~(kdf.isna() & before.isna())).any(axis=1).to_numpy()
             new[0] = True
             gid = np.cumsum(new)
-            first_key = tuple(kdf.iloc[0])
-            last_key = tuple(kdf.iloc[-1])
+            first_key, last_key = (tuple(None if pd.isna(x) else x for x in kdf.iloc[i]) for i in (0, -1))
             g = pd.Series(gid, index=pdf.index)
             if op == "count":
                 local = g.groupby(g).cumcount().astype("int64") + 1
@@ -97,10 +97,18 @@ def _local_scan_fn(group_cols: list[str], value: str | None, op: str, out: str,
             prev_val = local.iloc[-1]
             if op in ("argmin", "argmax"):
                 prev_at = at.iloc[-1]
+            if op in ("count", "sum"):
+                seen = pd.Series(True, index=pdf.index)
+            else:  # null until the group has a value
+                seen = v.notna().groupby(g).cummax()
+                if first_key == before_key and before_seen:
+                    seen |= first
+                before_seen = bool(seen.iloc[-1])
+            before_key = last_key
             pdf = pdf.copy()
-            pdf[out] = local.values
+            pdf[out] = local.where(seen).values if not seen.all() else local.values
             if op in ("argmin", "argmax"):
-                pdf[at_col] = at.values
+                pdf[at_col] = at.where(seen).values if not seen.all() else at.values
             pdf[_PID] = pid
             yield pdf
     return scan
@@ -145,61 +153,35 @@ def running_aggregate(df: DataFrame, group_cols: Sequence[str], order_cols: Sequ
     ).collect()  # at most one row per partition
     parts = sorted(summary, key=lambda r: r[_PID])
 
+    # forward fold: what the group open at a partition's start has so far
     carries: dict[int, tuple] = {}
-    for i, r in enumerate(parts):
-        g = tuple(r["first"]["g"])
-        acc = None
-        j = i - 1
-        while j >= 0 and tuple(parts[j]["last"]["g"]) == g:
-            prev = parts[j]["last"]
-            cand = (prev["v"], prev["at"] if at_col else None)
-            if acc is None:
-                acc = cand
-            elif op in ("count", "sum"):
-                acc = (acc[0] + cand[0], None)
-            elif op in ("max", "min"):
-                acc = (_combine(op, acc[0], cand[0]), None)
-            else:  # earlier partition wins ties
-                better = cand[0] <= acc[0] if op == "argmin" else cand[0] >= acc[0]
-                acc = cand if better else acc
-            if tuple(parts[j]["first"]["g"]) != g:
-                break
-            j -= 1
-        if acc is not None:
-            carries[r[_PID]] = (g, acc)
-
+    open_group, acc = None, None
+    for r in parts:
+        first, last = tuple(r["first"]["g"]), tuple(r["last"]["g"])
+        ends = (r["last"]["v"], r["last"]["at"] if at_col else None)
+        if acc is not None and open_group == first:
+            carries[r[_PID]] = (first, acc)
+            acc = _merge(op, acc, ends) if first == last else ends
+        else:
+            acc = ends
+        open_group = last
     if not carries:
         return local.drop(_PID)
-    if len(carries) > MAX_LITERAL_CARRIES:
-        return _apply_carries_broadcast(local, carries, group_cols, op, out, at_col, schema)
-    entries = []
-    for pid, (g, (v, at)) in carries.items():
-        payload = [F.struct(*[F.lit(x).alias(c) for x, c in zip(g, group_cols)]).alias("g"),
-                   F.lit(v).cast(out_type).alias("v")]
-        if at_col:
-            payload.append(F.lit(at).cast(schema[at_col].dataType).alias("at"))
-        entries += [F.lit(pid), F.struct(*payload)]
-    c = F.element_at(F.create_map(*entries), F.col(_PID))
-    applies = c.isNotNull() & (c["g"] == gstruct)
-    cur = F.col(out)
-    if op in ("count", "sum"):
-        new = cur + c["v"]
-    elif op == "max":
-        new = F.greatest(cur, c["v"])
-    elif op == "min":
-        new = F.least(cur, c["v"])
-    else:
-        carry_wins = (c["v"] <= cur) if op == "argmin" else (c["v"] >= cur)
-        new = F.when(carry_wins, c["v"]).otherwise(cur)
-        new_at = F.when(carry_wins, c["at"]).otherwise(F.col(at_col))
-        local = local.withColumn(at_col, F.when(applies, new_at).otherwise(F.col(at_col)))
-    # the at-column update above reads the old running value, so update it after
-    local = local.withColumn(out, F.when(applies, new).otherwise(cur))
-    return local.drop(_PID)
-
-
-def _apply_carries_broadcast(local: DataFrame, carries: dict, group_cols: list[str], op: str,
-                             out: str, at_col: str | None, schema: T.StructType) -> DataFrame:
+    return _apply_carries(local, carries, group_cols, op, out, at_col, schema)
+
+
+def _merge(op: str, earlier: tuple, later: tuple) -> tuple:
+    """(value, at) of two neighbouring stretches of a group; ties stay earlier."""
+    if earlier[0] is None or later[0] is None:
+        return later if earlier[0] is None else earlier
+    if op in ("argmin", "argmax"):
+        wins = earlier[0] <= later[0] if op == "argmin" else earlier[0] >= later[0]
+        return earlier if wins else later
+    return _combine(op, earlier[0], later[0]), None
+
+
+def _apply_carries(local: DataFrame, carries: dict, group_cols: list[str], op: str,
+                   out: str, at_col: str | None, schema: T.StructType) -> DataFrame:
     """Apply per-partition carries from a broadcast table (one entry per
     partition at most) with a vectorised pass over each partition's rows."""
     bc = local.sparkSession.sparkContext.broadcast(carries)
@@ -220,17 +202,17 @@ def _apply_carries_broadcast(local: DataFrame, carries: dict, group_cols: list[s
                 mask = pids == pid
                 for c, gv in zip(group_cols, g):
                     mask &= (pdf[c].isna() if gv is None else (pdf[c] == gv)).to_numpy()
-                if not mask.any():
+                if v is None or not mask.any():
                     continue
                 cur = pdf.loc[mask, out].astype("float64")
                 if op in ("count", "sum"):
                     new = cur + v
                 elif op == "max":
-                    new = np.maximum(cur, v)
+                    new = np.fmax(cur, v)
                 elif op == "min":
-                    new = np.minimum(cur, v)
+                    new = np.fmin(cur, v)
                 else:
-                    wins = (v <= cur) if op == "argmin" else (v >= cur)
+                    wins = cur.isna() | ((v <= cur) if op == "argmin" else (v >= cur))
                     new = cur.where(~wins, v)
                     idx = pdf.index[mask][wins.to_numpy()]
                     pdf.loc[idx, at_col] = at

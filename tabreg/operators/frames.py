@@ -69,7 +69,8 @@ def keyed_concat(frames: Sequence[DataFrame], key: Sequence[str]) -> DataFrame:
 
     One ``unionByName`` and one grouped aggregate: a single shuffle for any
     number of frames (k - 1 full outer joins would shuffle k - 1 times).
-    Keys must be unique within each frame; other columns must not overlap.
+    Keys must be unique within each frame (a repeated key is an error when
+    its row is computed); other columns must not overlap.
     """
     key = list(key)
     value_cols: list[str] = []
@@ -81,14 +82,20 @@ def keyed_concat(frames: Sequence[DataFrame], key: Sequence[str]) -> DataFrame:
                 value_cols.append(c)
     types = {c: t for f in frames for c, t in f.dtypes}
     parts = []
-    for f in frames:
-        parts.append(f.select(*key, *[
+    for i, f in enumerate(frames):
+        parts.append(f.select(*key, F.lit(i).alias("__frame"), *[
             F.col(c) if c in f.columns else F.lit(None).cast(types[c]).alias(c)
             for c in value_cols]))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    return u.groupBy(*key).agg(*[F.max(c).alias(c) for c in value_cols])
+    merged = u.groupBy(*key).agg(
+        F.greatest(*[F.count(F.when(F.col("__frame") == i, 1)) for i in range(len(frames))], F.lit(0)).alias("__most"),
+        *[F.first(c, ignorenulls=True).alias(c) for c in value_cols])
+    unique = F.col("__most") <= 1
+    return merged.select(*key, *[
+        F.when(unique, F.col(c)).otherwise(F.raise_error(F.lit("keyed_concat: repeated key")).cast(types[c])).alias(c)
+        for c in value_cols])
 
 
 def stack_predictions(a: DataFrame, b: DataFrame, key: Sequence[str],

@@ -126,11 +126,21 @@ def elastic_net(df: DataFrame, alpha: float = 1.0, l1_ratio: float = 0.5,
 
 # ------------------------------------------------------------ trees
 
+MAX_TREE_DEPTH = 30  # Spark's own limit
+
+
+def tree_depth(depth: int) -> int:
+    """The depth as given; one that Spark can't build is an error, never cut."""
+    if not 0 <= depth <= MAX_TREE_DEPTH:
+        raise ValueError(f"tree depth {depth}: 0 to {MAX_TREE_DEPTH} can be built")
+    return depth
+
+
 def decision_tree(max_depth: int = 5, seed: int = 42, features: str = FEATURES,
                   label: str = LABEL, pred: str = "prediction", max_bins: int = 32):
-    """M5: CART regression tree (Spark caps depth at 30)."""
+    """M5: CART regression tree."""
     return DecisionTreeRegressor(featuresCol=features, labelCol=label, predictionCol=pred,
-                                 maxDepth=min(max_depth, 30), seed=seed, maxBins=max_bins)
+                                 maxDepth=tree_depth(max_depth), seed=seed, maxBins=max_bins)
 
 
 def random_forest(num_trees: int = 100, max_depth: int = 5, seed: int = 42,
@@ -138,7 +148,7 @@ def random_forest(num_trees: int = 100, max_depth: int = 5, seed: int = 42,
                   feature_subset: str = "all"):
     """M6: forest; all features per split as in the reference's default."""
     return RandomForestRegressor(featuresCol=features, labelCol=label, predictionCol=pred,
-                                 numTrees=num_trees, maxDepth=min(max_depth, 30), seed=seed,
+                                 numTrees=num_trees, maxDepth=tree_depth(max_depth), seed=seed,
                                  featureSubsetStrategy=feature_subset, bootstrap=True,
                                  subsamplingRate=1.0)
 
@@ -222,7 +232,7 @@ def gbt(preset: str = "depthwise", features: str = FEATURES, label: str = LABEL,
     """``GBTRegressor`` with a preset plus translated overrides."""
     conf = dict(GBT_PRESETS[preset])
     conf.update(gbt_params(params))
-    conf["maxDepth"] = min(int(conf["maxDepth"]), 30)
+    conf["maxDepth"] = tree_depth(int(conf["maxDepth"]))
     conf.setdefault("seed", seed)
     return GBTRegressor(featuresCol=features, labelCol=label, predictionCol=pred, **conf)
 

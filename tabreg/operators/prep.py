@@ -125,35 +125,50 @@ class OneHotModel:
     drop_first: bool = False
     handle_unknown: str = "ignore"
 
-    def output_columns(self) -> list[str]:
-        names = []
+    def _names(self) -> dict[str, list[tuple[Any, str]]]:
+        """(category, output name) per column. A name that is taken (the text
+        "nan" beside null, or ``a_b`` + ``c`` beside ``a`` + ``b_c``) gets a number."""
+        taken: set[str] = set()
+        out: dict[str, list[tuple[Any, str]]] = {}
         for c, cats in self.categories.items():
-            kept = cats[1:] if self.drop_first else cats
-            names += [f"{c}_{_render(v)}" for v in kept]
-        return names
+            out[c] = []
+            for v in cats[1:] if self.drop_first else cats:
+                base = name = f"{c}_{_render(v)}"
+                n = 1
+                while name in taken:
+                    n += 1
+                    name = f"{base}__{n}"
+                taken.add(name)
+                out[c].append((v, name))
+        return out
+
+    def output_columns(self) -> list[str]:
+        return [name for pairs in self._names().values() for _, name in pairs]
 
     def columns(self) -> list[Column]:
         exprs = []
+        names = self._names()
         for c, cats in self.categories.items():
             col = F.col(c)
-            kept = cats[1:] if self.drop_first else cats
-            for v in kept:
+            known = [v for v in cats if v is not None]
+            bad = col.isNull() if None not in cats else F.lit(False)
+            bad = bad | (col.isNotNull() & ~col.isin(*known) if known else col.isNotNull())
+            for v, name in names[c]:
                 hit = col.isNull() if v is None else (col == F.lit(v))
-                exprs.append(F.when(hit, 1.0).otherwise(0.0).alias(f"{c}_{_render(v)}"))
-            if self.handle_unknown == "error":
-                known = [v for v in cats if v is not None]
-                bad = col.isNotNull() & ~col.isin(*known) if known else col.isNotNull()
-                exprs.append(F.when(bad, F.raise_error(
-                    F.concat(F.lit(f"unknown category in {c}: "), col.cast("string"))))
-                    .alias(f"__check_{c}"))
+                flag = F.when(hit, 1.0)
+                if self.handle_unknown == "error":
+                    # part of the value itself: a separate check would be pruned
+                    flag = flag.when(bad, F.raise_error(F.concat(
+                        F.lit(f"unknown category in {c}: "), F.coalesce(col.cast("string"), F.lit("null"))))
+                        .cast("double"))
+                exprs.append(flag.otherwise(0.0).alias(name))
         return exprs
 
     def transform(self, df: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
         """Replace the encoded columns by 0/1 doubles named ``column_value``."""
         enc = set(self.categories)
         keep = [c for c in df.columns if c not in enc] if keep is None else list(keep)
-        out = df.select(*[F.col(c) for c in keep], *self.columns())
-        return out.drop(*[c for c in out.columns if c.startswith("__check_")])
+        return df.select(*[F.col(c) for c in keep], *self.columns())
 
 
 @dataclass
@@ -466,7 +481,6 @@ class FeaturePipelineModel:
             exprs += [ordinal_expr(c, o).alias(f"ord_{c}")
                       for c, o in self.ordinal.orders.items()]
         out = df.select(*exprs)
-        out = out.drop(*[c for c in out.columns if c.startswith("__check_")])
         if assemble_vector:
             out = assemble(out, self.feature_columns)
         return out

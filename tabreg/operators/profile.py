@@ -141,7 +141,7 @@ def distinct_sorted_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     with billions of distinct values is still a distributed distinct and a
     range-partitioned sort. Whole-number floats print as integers.
     """
-    frames = []
+    pairs = []
     for c in cols:
         v = _nan_to_null(df, c)
         if _is_numeric(df, c):
@@ -150,11 +150,10 @@ def distinct_sorted_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             key = v.cast("double")
         else:
             text, key = v.cast("string"), F.lit(None).cast("double")
-        frames.append(df.select(F.lit(c).alias("column"), key.alias("sort_key"),
-                                text.alias("value")).filter(F.col("value").isNotNull()))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
+        pairs.append(F.struct(key.alias("sort_key"), text.alias("value")).alias(c))
+    # all columns in one scan
+    out = df.select(*pairs).unpivot([], list(cols), "column", "v").select(
+        "column", "v.sort_key", "v.value").filter(F.col("value").isNotNull())
     return out.distinct().orderBy("column", "sort_key", "value").drop("sort_key")
 
 
@@ -312,23 +311,26 @@ def _with_targets(vals: DataFrame, targets: DataFrame, g: list[str], n: int) ->
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
-                    group_cols: Sequence[str] = (), buckets: int = 1024,
-                    final_rows: int = 50_000, max_rounds: int = 20) -> DataFrame:
-    """Exact discrete quantiles per group: the value of rank ``ceil(q * n)``.
+                    group_cols: Sequence[str] = (), buckets: int = 64,
+                    final_rows: int = 50_000, linear: bool = False) -> DataFrame:
+    """Exact quantiles per group: the value of rank ``ceil(q * n)``, or with
+    ``linear`` the interpolation between the two ranks around ``(n - 1) * q``.
 
     Distributed selection, no sort of the data and no group in one task:
 
     * one aggregate gives ``n, min, max`` per group, hence the target rank
       of every (group, quantile) and a first interval ``[lo, hi]``;
-    * while an interval holds more than ``final_rows`` values, one
-      aggregate splits it into ``buckets`` equal-width buckets (count, min,
-      max per bucket, partial aggregation) and the bucket holding the target
-      rank becomes the next interval (a few rounds for any data size);
-    * the remaining <= ``final_rows`` values per target are ranked with a
-      window whose partitions are bounded by that size.
-
-    Memory stays bounded for any group size, unlike the exact ``percentile``
-    aggregate, which keeps every distinct value of a group in one buffer.
+    * while an interval holds more than ``final_rows`` values that differ,
+      a sketch gives ``buckets`` edges of about equal *rank* inside it and one
+      aggregate counts the values between and exactly at the edges; the
+      bucket with the target rank is the next interval. Values of an edge
+      are a bucket of their own, so whatever repeats often is settled and
+      what remains shrinks by about ``buckets`` a round, however the values
+      spread (infinities are values like others);
+    * the remaining values per target are ranked with a window whose
+      partitions are bounded by ``final_rows``.
+
+    Null and NaN are left out; a null group is a group.
     """
     from pyspark import StorageLevel
     from pyspark.sql import Window
@@ -338,50 +340,67 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     keys = [F.col(c) for c in group_cols] or [F.lit(0).alias("__all")]
     vals = df.select(*keys, x.alias("__x")).filter(F.col("__x").isNotNull()) \
         .persist(StorageLevel.MEMORY_AND_DISK)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     stats = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("__n"), F.min("__x").alias("__lo"),
                                  F.max("__x").alias("__hi"))
-    tgt = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("__t"),
-                 F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * F.col("__n"))).alias("__r"))
-        for i, p in enumerate(probs)]))
+    if linear:
+        at = [(F.col("__n") - 1) * F.lit(float(p)) for p in probs]
+        ranks = [r for h in at for r in (F.floor(h) + 1, F.ceil(h) + 1)]
+    else:
+        ranks = [F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * F.col("__n"))) for p in probs]
+    tgt = F.explode(F.array(*[F.struct(F.lit(i).alias("__t"), r.cast("long").alias("__r"))
+                              for i, r in enumerate(ranks)]))
     targets = cut_lineage(stats.select(*g, "__lo", "__hi", "__n", tgt.alias("tt")).select(
         *g, "tt.__t", "tt.__r", "__lo", "__hi", F.lit(0).cast("long").alias("__below"),
         F.col("__n").alias("__cnt")))
     open_ = (F.col("__cnt") > final_rows) & (F.col("__lo") < F.col("__hi"))
-    for _ in range(max_rounds):
+    while not targets.filter(open_).isEmpty():
         active = targets.filter(open_)
-        if active.limit(1).count() == 0:
-            break
-        j = _with_targets(vals, active, g, len(probs)) \
+        inside = _with_targets(vals, active, g, len(ranks)) \
             .filter((F.col("__x") >= F.col("__lo")) & (F.col("__x") <= F.col("__hi")))
-        width = (F.col("__hi") - F.col("__lo")) / F.lit(float(buckets))
-        b = F.least(F.floor((F.col("__x") - F.col("__lo")) / width), F.lit(buckets - 1))
-        h = j.groupBy(*g, "__t", b.cast("int").alias("__b")).agg(
-            F.count(F.lit(1)).alias("__c"), F.min("__x").alias("__bmin"),
-            F.max("__x").alias("__bmax"))
-        w = Window.partitionBy(*g, "__t").orderBy("__b")  # <= buckets rows each
+        edges = cut_lineage(inside.groupBy(*g, "__t").agg(F.array_distinct(F.percentile_approx(
+            "__x", [i / buckets for i in range(1, buckets)], 20 * buckets)).alias("__e")).coalesce(parts))
+        dealt = attach(inside, edges, [*g, "__t"], ["__e"])
+        below = F.size(F.filter("__e", lambda e: e < F.col("__x")))
+        hit = F.array_contains("__e", F.col("__x")).cast("int")
+        h = dealt.groupBy(*g, "__t", (2 * below + hit).alias("__b")).agg(
+            F.count(F.lit(1)).alias("__c"), F.min("__x").alias("__bmin"), F.max("__x").alias("__bmax"))
+        w = Window.partitionBy(*g, "__t").orderBy("__b")  # at most 2 * buckets rows each
         h = h.withColumn("__cum", F.sum("__c").over(w))
-        picked = h.join(active.select(*g, "__t", "__r", "__below"), [*g, "__t"]) \
-            .filter((F.col("__below") + F.col("__cum") - F.col("__c") < F.col("__r")) &
-                    (F.col("__r") <= F.col("__below") + F.col("__cum"))) \
+        picked = attach(h, active.select(*g, "__t", "__r", "__below"), [*g, "__t"], ["__r", "__below"]) \
+            .filter((F.col("__below") + F.col("__cum") - F.col("__c") < F.col("__r"))
+                    & (F.col("__r") <= F.col("__below") + F.col("__cum"))) \
             .select(*g, "__t", "__r", F.col("__bmin").alias("__lo"),
                     F.col("__bmax").alias("__hi"),
                     (F.col("__below") + F.col("__cum") - F.col("__c")).alias("__below"),
                     F.col("__c").alias("__cnt"))
-        targets = cut_lineage(targets.filter(~open_).unionByName(picked))
+        # as many partitions every round
+        targets = cut_lineage(targets.filter(~open_).unionByName(picked).coalesce(parts))
     # values of every target interval; equal-valued intervals need no ranking
     single = targets.filter(F.col("__lo") == F.col("__hi")).select(
         *g, "__t", F.col("__lo").alias("__q"))
     multi = targets.filter(F.col("__lo") < F.col("__hi"))
-    cand = _with_targets(vals, multi, g, len(probs)) \
+    cand = _with_targets(vals, multi, g, len(ranks)) \
         .filter((F.col("__x") >= F.col("__lo")) & (F.col("__x") <= F.col("__hi")))
     wr = Window.partitionBy(*g, "__t").orderBy("__x")  # <= final_rows rows each
     ranked = cand.withColumn("__rk", F.col("__below") + F.row_number().over(wr)) \
         .filter(F.col("__rk") == F.col("__r")).select(*g, "__t", F.col("__x").alias("__q"))
     picks = single.unionByName(ranked)
-    out = cut_lineage(picks.groupBy(*g).agg(*[
-        F.max(F.when(F.col("__t") == i, F.col("__q"))).alias(f"q{i}")
-        for i in range(len(probs))]))
+
+    def found(i: int):
+        return F.max(F.when(F.col("__t") == i, F.col("__q")))
+
+    wide = picks.groupBy(*g).agg(*[found(i).alias(f"v{i}") for i in range(len(ranks))])
+    if linear:
+        wide = attach(wide, stats.select(*g, "__n"), g, ["__n"])
+        cols = []
+        for i, p in enumerate(probs):
+            low, high = F.col(f"v{2 * i}"), F.col(f"v{2 * i + 1}")
+            h = (F.col("__n") - 1) * F.lit(float(p))
+            cols.append(F.when(low == high, low).otherwise(low + (high - low) * (h - F.floor(h))).alias(f"q{i}"))
+    else:
+        cols = [F.col(f"v{i}").alias(f"q{i}") for i in range(len(probs))]
+    out = cut_lineage(wide.select(*g, *cols))
     vals.unpersist()
     return out.drop("__all") if not group_cols else out
 
@@ -390,10 +409,13 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float],
               group_cols: Sequence[str] = (), method: str = "exact",
               accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
     """Quantiles per group: ``exact`` (distributed selection, rank
-    ``ceil(q * n)``) or ``approx`` (``percentile_approx`` sketch, one pass,
-    rank error at most ``n / accuracy``)."""
-    if method == "exact":
-        return exact_quantiles(df, col, probs, group_cols)
+    ``ceil(q * n)``), ``linear`` (exact, interpolated between ranks) or
+    ``approx`` (``percentile_approx`` sketch, one pass, rank error at most
+    ``n / accuracy``)."""
+    if method in ("exact", "linear"):
+        return exact_quantiles(df, col, probs, group_cols, linear=method == "linear")
+    if method != "approx":
+        raise ValueError(method)
     x = _nan_to_null(df, col).cast("double")
     q = F.percentile_approx(x, list(probs), accuracy)
     agg = df.groupBy(*group_cols).agg(q.alias("q")) if group_cols else df.agg(q.alias("q"))
@@ -431,7 +453,7 @@ def box_summary(df: DataFrame, col: str, group_cols: Sequence[str] = (),
         F.max(F.when(inside, F.col("x"))).alias("whisker_hi"),
         F.sum(F.when(inside, 0).otherwise(1)).cast("long").alias("n_outliers"))
     if g:
-        return qs.join(wh, g)
+        return attach(qs, wh, g, ["n", "whisker_lo", "whisker_hi", "n_outliers"])
     w = wh.first()
     return qs.withColumns({c: F.lit(w[c]).cast(t) for c, t in
                            [("n", "long"), ("whisker_lo", "double"), ("whisker_hi", "double"),

@@ -65,14 +65,14 @@ def weighted_row_sum(spark, sf):
     full = sum_skipnull(["q_null", "l_tax"])
     half = sum_skipnull(["disc_null", "tax_null"])
     return df.select("l_orderkey", "l_linenumber",
-                     F.round(full + half * 0.5, 9).alias("totalbathreoams"))
+                     F.round(full + half * 0.5, 9).alias("weighted_total"))
 
 
 ORACLES["weighted_row_sum"] = f"""
 WITH {LI_NULLS}
 SELECT l_orderkey, l_linenumber,
        round(coalesce(q_null, 0.0) + coalesce(l_tax, 0.0)
-             + (coalesce(disc_null, 0.0) + coalesce(tax_null, 0.0)) * 0.5, 9) AS totalbathreoams
+             + (coalesce(disc_null, 0.0) + coalesce(tax_null, 0.0)) * 0.5, 9) AS weighted_total
 FROM ln"""
 
 
