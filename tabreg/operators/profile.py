@@ -290,14 +290,15 @@ def feature_distributions(df: DataFrame, cols: Sequence[str],
         F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
 
 
-def _with_targets(vals: DataFrame, targets: DataFrame, g: list[str], n: int) -> DataFrame:
-    """Rows x their group's open targets, without a join on the group key.
+def _with_targets(vals: DataFrame, targets: DataFrame, g: list[str], n: int,
+                  more: Sequence[str] = ()) -> DataFrame:
+    """Rows x their group's open targets.
 
     The target table (at most ``n`` rows per group) is pivoted to one row
-    per group, attached as literals (see ``functions.attach``) and
-    exploded back into (row, target) pairs.
+    per group, attached (see ``functions.attach``) and exploded back into
+    (row, target) pairs.
     """
-    fields = ["__r", "__lo", "__hi", "__below"]
+    fields = ["__r", "__lo", "__hi", "__below", *more]
     wide = targets.groupBy(*g).agg(*[
         F.max(F.when(F.col("__t") == i, F.col(f))).alias(f"{f}_{i}")
         for i in range(n) for f in fields])
@@ -321,12 +322,14 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     * one aggregate gives ``n, min, max`` per group, hence the target rank
       of every (group, quantile) and a first interval ``[lo, hi]``;
     * while an interval holds more than ``final_rows`` values that differ,
-      a sketch gives ``buckets`` edges of about equal *rank* inside it and one
-      aggregate counts the values between and exactly at the edges; the
-      bucket with the target rank is the next interval. Values of an edge
-      are a bucket of their own, so whatever repeats often is settled and
-      what remains shrinks by about ``buckets`` a round, however the values
-      spread (infinities are values like others);
+      a sketch gives edges of about equal *rank* inside it (every
+      ``buckets``-th of the values), and one aggregate counts the values
+      below, at, between, at and above the two edges around the target rank;
+      the part with the target rank is the next interval. Values of an edge
+      are a part of their own, so whatever repeats often is settled, every
+      round leaves out a value at least, and about ``4 / buckets`` of the
+      rows remain, however the values spread (infinities are values like
+      others);
     * the remaining values per target are ranked with a window whose
       partitions are bounded by ``final_rows``.
 
@@ -358,14 +361,22 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
         active = targets.filter(open_)
         inside = _with_targets(vals, active, g, len(ranks)) \
             .filter((F.col("__x") >= F.col("__lo")) & (F.col("__x") <= F.col("__hi")))
-        edges = cut_lineage(inside.groupBy(*g, "__t").agg(F.array_distinct(F.percentile_approx(
-            "__x", [i / buckets for i in range(1, buckets)], 20 * buckets)).alias("__e")).coalesce(parts))
-        dealt = attach(inside, edges, [*g, "__t"], ["__e"])
-        below = F.size(F.filter("__e", lambda e: e < F.col("__x")))
-        hit = F.array_contains("__e", F.col("__x")).cast("int")
-        h = dealt.groupBy(*g, "__t", (2 * below + hit).alias("__b")).agg(
-            F.count(F.lit(1)).alias("__c"), F.min("__x").alias("__bmin"), F.max("__x").alias("__bmax"))
-        w = Window.partitionBy(*g, "__t").orderBy("__b")  # at most 2 * buckets rows each
+        sketch = inside.groupBy(*g, "__t").agg(F.percentile_approx(
+            "__x", [i / buckets for i in range(1, buckets)], 20 * buckets).alias("__e"))
+        # the edges around the target rank, one more on each side for the sketch's error
+        j = F.floor((F.col("__r") - F.col("__below") - 1) * F.lit(float(buckets)) / F.col("__cnt")).cast("int")
+        active = cut_lineage(attach(active, sketch, [*g, "__t"], ["__e"]).select(
+            *g, "__t", "__r", "__lo", "__hi", "__below",
+            F.get("__e", F.greatest(j - 2, F.lit(0))).alias("__from"),
+            F.get("__e", F.least(j + 1, F.lit(buckets - 2))).alias("__to")).coalesce(parts))
+        x_, from_, to_ = F.col("__x"), F.col("__from"), F.col("__to")
+        bucket = (F.when(x_ < from_, 0).when(x_ == from_, 1).when(x_ < to_, 2)
+                  .when(x_ == to_, 3).otherwise(4))
+        h = _with_targets(vals, active, g, len(ranks), ("__from", "__to")) \
+            .filter((x_ >= F.col("__lo")) & (x_ <= F.col("__hi"))) \
+            .groupBy(*g, "__t", bucket.alias("__b")).agg(
+                F.count(F.lit(1)).alias("__c"), F.min("__x").alias("__bmin"), F.max("__x").alias("__bmax"))
+        w = Window.partitionBy(*g, "__t").orderBy("__b")  # five rows each
         h = h.withColumn("__cum", F.sum("__c").over(w))
         picked = attach(h, active.select(*g, "__t", "__r", "__below"), [*g, "__t"], ["__r", "__below"]) \
             .filter((F.col("__below") + F.col("__cum") - F.col("__c") < F.col("__r"))
