@@ -18,14 +18,16 @@ MAX_BROADCAST_ROWS = 10_000
 
 
 def attach(big: DataFrame, small: DataFrame, keys: Sequence[str], values: Sequence[str],
-           max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+           max_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
     """Inner join: rows of ``big`` whose key is in ``small`` get ``values``.
 
-    A null key is a key like any other.
+    A null key is a key like any other. With ``max_rows`` None nothing is
+    counted and the join is the planner's: for a ``big`` that is itself small,
+    or a ``small`` that is dear to compute twice.
     """
     keys, values = list(keys), list(values)
     table = small.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *values)
-    if table.limit(max_rows + 1).count() <= max_rows:
+    if max_rows is not None and table.limit(max_rows + 1).count() <= max_rows:
         table = F.broadcast(table)
     on = F.lit(True)
     for i, k in enumerate(keys):

@@ -357,15 +357,19 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
         *g, "tt.__t", "tt.__r", "__lo", "__hi", F.lit(0).cast("long").alias("__below"),
         F.col("__n").alias("__cnt")))
     open_ = (F.col("__cnt") > final_rows) & (F.col("__lo") < F.col("__hi"))
+    whole = True
     while not targets.filter(open_).isEmpty():
         active = targets.filter(open_)
-        inside = _with_targets(vals, active, g, len(ranks)) \
+        # at first all targets of a group share its whole range: one sketch
+        by = g if whole else [*g, "__t"]
+        inside = vals if whole else _with_targets(vals, active, g, len(ranks)) \
             .filter((F.col("__x") >= F.col("__lo")) & (F.col("__x") <= F.col("__hi")))
-        sketch = inside.groupBy(*g, "__t").agg(F.percentile_approx(
+        whole = False
+        sketch = inside.groupBy(*by).agg(F.percentile_approx(
             "__x", [i / buckets for i in range(1, buckets)], 20 * buckets).alias("__e"))
         # the edges around the target rank, one more on each side for the sketch's error
         j = F.floor((F.col("__r") - F.col("__below") - 1) * F.lit(float(buckets)) / F.col("__cnt")).cast("int")
-        active = cut_lineage(attach(active, sketch, [*g, "__t"], ["__e"]).select(
+        active = cut_lineage(attach(active, sketch, by, ["__e"], max_rows=None).select(
             *g, "__t", "__r", "__lo", "__hi", "__below",
             F.get("__e", F.greatest(j - 2, F.lit(0))).alias("__from"),
             F.get("__e", F.least(j + 1, F.lit(buckets - 2))).alias("__to")).coalesce(parts))
@@ -378,7 +382,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
                 F.count(F.lit(1)).alias("__c"), F.min("__x").alias("__bmin"), F.max("__x").alias("__bmax"))
         w = Window.partitionBy(*g, "__t").orderBy("__b")  # five rows each
         h = h.withColumn("__cum", F.sum("__c").over(w))
-        picked = attach(h, active.select(*g, "__t", "__r", "__below"), [*g, "__t"], ["__r", "__below"]) \
+        picked = attach(h, active.select(*g, "__t", "__r", "__below"), [*g, "__t"], ["__r", "__below"], max_rows=None) \
             .filter((F.col("__below") + F.col("__cum") - F.col("__c") < F.col("__r"))
                     & (F.col("__r") <= F.col("__below") + F.col("__cum"))) \
             .select(*g, "__t", "__r", F.col("__bmin").alias("__lo"),
@@ -403,7 +407,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
 
     wide = picks.groupBy(*g).agg(*[found(i).alias(f"v{i}") for i in range(len(ranks))])
     if linear:
-        wide = attach(wide, stats.select(*g, "__n"), g, ["__n"])
+        wide = attach(wide, stats.select(*g, "__n"), g, ["__n"], max_rows=None)
         cols = []
         for i, p in enumerate(probs):
             low, high = F.col(f"v{2 * i}"), F.col(f"v{2 * i + 1}")
@@ -464,7 +468,7 @@ def box_summary(df: DataFrame, col: str, group_cols: Sequence[str] = (),
         F.max(F.when(inside, F.col("x"))).alias("whisker_hi"),
         F.sum(F.when(inside, 0).otherwise(1)).cast("long").alias("n_outliers"))
     if g:
-        return attach(qs, wh, g, ["n", "whisker_lo", "whisker_hi", "n_outliers"])
+        return attach(qs, wh, g, ["n", "whisker_lo", "whisker_hi", "n_outliers"], max_rows=None)
     w = wh.first()
     return qs.withColumns({c: F.lit(w[c]).cast(t) for c, t in
                            [("n", "long"), ("whisker_lo", "double"), ("whisker_hi", "double"),
