@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 #: Pieces in each of a worker's two cache generations (about 200 bytes each):
 #: the young one takes what is used; when it is full it becomes the old one,
 #: whose rest is forgotten. It changes speed and memory, never the ids.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 250_000
 _UNSAFE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] "
 _CUT = re.compile(r"(?<=\S) ")
 _MARKS = ".,;:!?|$%&#*"
