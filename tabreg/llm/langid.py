@@ -28,11 +28,12 @@ WINDOW = 96
 SAMPLE_WINDOWS = 4
 BATCH = 2048  # windows computed at once
 UNDECIDED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
+def has_letter(text: str) -> bool:
+    """Signs such as a superscript two are neither digits nor letters."""
+    return any(c.isalpha() for m in _LETTERS.finditer(text) for c in m[0])
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -209,7 +210,7 @@ def predict(docs: DataFrame, model: BiGru | None, id_col: str = "doc_id", text_c
             for lo in range(0, len(whole), 1000):
                 pdf = whole.iloc[lo:lo + 1000]
                 texts = [t if isinstance(t, str) else "" for t in pdf["_text"]]
-                known = [model is not None and _LETTER.search(t) is not None for t in texts]
+                known = [model is not None and has_letter(t) for t in texts]
                 lang, score = np.full(len(pdf), UNDECIDED, object), np.zeros(len(pdf))
                 if any(known):
                     where = np.flatnonzero(known)
@@ -236,7 +237,7 @@ def accepted_documents(docs: DataFrame, model: BiGru | None, min_score: float =
             for lo in range(0, len(whole), 1000):
                 pdf = whole.iloc[lo:lo + 1000]
                 texts = [t if isinstance(t, str) else "" for t in pdf.iloc[:, at]]
-                keep = np.array([_LETTER.search(t) is not None for t in texts], bool)
+                keep = np.array([has_letter(t) for t in texts], bool)
                 if model is not None and keep.any():
                     where = np.flatnonzero(keep)
                     p = model.documents([texts[i].encode() for i in where]).max(1)

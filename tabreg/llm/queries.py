@@ -130,7 +130,7 @@ OP10_SQL = r"""
 WITH p AS (
   SELECT page_id, CASE WHEN instr(coalesce(url, ''), '://') > 0
                        THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
-u AS (SELECT page_id, lower(regexp_extract(rest, '^[^/?#]*')) AS host,
+u AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
              regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
 r(rule, r_host, r_path, r_verdict) AS (VALUES
   ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),

@@ -534,3 +534,22 @@ def test_pipeline_stages(spark, given, odd, empty):
         for _, stage in corpus_pipeline.STAGES:
             out = stage(spark, out, SF_SMALL)
         assert (out.count() > 0) == (frame is odd)
+
+
+def test_letters():
+    assert not any(map(langid.has_letter, ("", "12 _ ?", "²", "Ⅷ")))
+    assert all(map(langid.has_letter, ("a", "1 é", "中")))
+
+
+def test_encoder_forgets():
+    """Ids don't depend on what the bounded cache still holds."""
+    texts = pa.array([f"alpha beta{i}, gamma{i % 7}. \tdelta  Epsilon!" for i in range(300)] + ["", None])
+    path = queries.tokenizer("byte_bpe_50k.json")
+    small, large = tokenise.Encoder(path, "bytes"), tokenise.Encoder(path, "bytes")
+    small.limit = 20
+    for lo in (*range(0, 302, 10), 0):
+        part = texts.slice(lo, 10)
+        (a, x), (b, y) = small.batch(part), large.batch(part)
+        assert a.tolist() == b.tolist() and x.tolist() == y.tolist()
+        whole = [small.tokenizer.encode(t.as_py() or "", add_special_tokens=False).ids for t in part]
+        assert [a[i:j].tolist() for i, j in zip(x, x[1:])] == whole
