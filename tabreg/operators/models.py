@@ -10,15 +10,16 @@ with another engine is impossible, the contract is the operator's shape.
 from __future__ import annotations
 
 import math
+import warnings
 from dataclasses import dataclass
 from typing import Any, Mapping, Sequence
 
 import numpy as np
-from pyspark import StorageLevel
+import pandas as pd
 from pyspark.ml.regression import (
     DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabreg.functions.rowwise import linear_combination
@@ -176,13 +177,31 @@ class BaggedModel:
         return out.withColumn(self.pred, mean).drop(*names)
 
 
-def bagging(estimator, df: DataFrame, n_estimators: int = 10, seed: int = 42,
+# P(Poisson(1) <= k) for k = 0, 1, ...: how often a row is drawn in a bootstrap
+# sample of a large table, as thresholds of a uniform number.
+_POISSON_CDF = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(15)]).tolist()
+
+
+def bootstrap_weight(key: Sequence[str], seed: int) -> Column:
+    """Times a row is drawn, from a hash of its key: the same after any
+    repartitioning or recomputation, with no shuffle and no copied rows."""
+    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in key])
+    u = F.pmod(h, F.lit(1 << 52)) / F.lit(float(1 << 52))
+    return sum((F.when(u >= t, 1.0).otherwise(0.0) for t in _POISSON_CDF), F.lit(0.0))
+
+
+def bagging(estimator, df: DataFrame, key: Sequence[str], n_estimators: int = 10, seed: int = 42,
             pred: str = "prediction", parallelism: int = FIT_PARALLELISM) -> BaggedModel:
-    """M7 generic: each member sees ``sample(withReplacement=True, 1.0, seed+i)``;
-    members are fitted concurrently over one cached frame."""
+    """M7 generic: member i sees every row ``bootstrap_weight(key, seed + i)``
+    times, as its weight; members are fitted concurrently over one cached
+    frame. The estimator must take row weights."""
+    if not hasattr(estimator, "weightCol"):
+        raise ValueError(f"{type(estimator).__name__} takes no row weights")
+    weight = "__bag_weight"
+    member = estimator.copy({estimator.weightCol: weight})
     cached = persist_for_passes(df)
     try:
-        models = fit_many([(estimator, cached.sample(True, 1.0, seed + i))
+        models = fit_many([(member, cached.withColumn(weight, bootstrap_weight(key, seed + i)).filter(F.col(weight) > 0))
                            for i in range(n_estimators)], parallelism)
     finally:
         cached.unpersist()
@@ -245,6 +264,8 @@ class LinearSVRModel:
     coefficients: list[float]
     intercept: float
     pred: str = "prediction"
+    objective: float = math.nan
+    converged: bool = True
 
     def transform(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.pred, linear_combination(
@@ -252,61 +273,104 @@ class LinearSVRModel:
             if self.intercept else linear_combination(self.feature_cols, self.coefficients))
 
 
+def _svr_sums(data: DataFrame, center: np.ndarray, scale: np.ndarray, theta: np.ndarray,
+              eps: float, mu: float) -> tuple[float, float, np.ndarray, np.ndarray]:
+    """Exact loss, smoothed loss, gradient and Hessian sums in one pass.
+
+    A task reduces its Arrow batches to one row of (k + 1)^2 + k + 3 numbers;
+    those are summed by position, so the driver gets as many numbers whatever
+    the number of rows or tasks.
+    """
+    k = len(theta) - 1
+
+    def partial(batches):
+        total = np.zeros(2 + (k + 1) + (k + 1) ** 2)
+        for pdf in batches:
+            m = (pdf.to_numpy(np.float64) - center) / scale
+            x = np.hstack([m[:, :k], np.ones((len(m), 1))])
+            r = m[:, k] - x @ theta
+            d = np.abs(r) - eps
+            slope = np.clip(d / mu, 0, 1)
+            smooth = np.where(d >= mu, d - mu / 2, 0.5 * mu * slope * slope)
+            curved = x[(d > 0) & (d < mu)]
+            total += np.concatenate([[np.maximum(d, 0).sum(), smooth.sum()],
+                                     -(slope * np.sign(r)) @ x, ((curved.T @ curved) / mu).ravel()])
+        yield pd.DataFrame({"s": [total.tolist()]})
+
+    rows = (data.mapInPandas(partial, "s array<double>").select(F.posexplode("s").alias("i", "v"))
+            .groupBy("i").agg(F.sum("v").alias("v")).collect())
+    v = np.zeros(2 + (k + 1) + (k + 1) ** 2)
+    for r in rows:
+        v[r["i"]] = r["v"]
+    return v[0], v[1], v[2:k + 3], v[k + 3:].reshape(k + 1, k + 1)
+
+
 def fit_linear_svr(df: DataFrame, feature_cols: Sequence[str], label: str,
-                   epsilon: float = 0.1, C: float = 1.0, max_iter: int = 60,
-                   step: float = 0.5, pred: str = "prediction") -> LinearSVRModel:
-    """Epsilon-insensitive linear regression by full-batch subgradient steps.
-
-    The input is persisted once; the standardising moments are one
-    aggregate over the cache, and every step is one aggregate of
-    subgradient sums over it (the driver holds only k+1 numbers). Objective (standardised units):
-    ``mean(max(0, |r| - eps)) + ||w||^2 / (2 C n)``; the best iterate wins.
+                   epsilon: float = 0.1, C: float = 1.0, max_iter: int = 200,
+                   tol: float = 1e-3, pred: str = "prediction") -> LinearSVRModel:
+    """Epsilon-insensitive linear regression, fitted to convergence.
+
+    Objective (standardised units): ``mean(max(0, |r| - eps)) + ||w||^2 / (2 C n)``.
+    The kink of the loss is rounded by a parabola of width ``mu``, which
+    changes the objective by ``mu / 2`` at most. Damped Newton steps (one pass
+    each over the persisted input, k^2 numbers to the driver) solve for one
+    ``mu``, then ``mu`` is quartered, until the rounding is below ``tol`` times
+    the objective. Rows with a null feature or label are left out. A fit that
+    needs more than ``max_iter`` passes warns and has ``converged`` false.
     """
     cols = list(feature_cols)
     k = len(cols)
-    # persisted once: the moments and every step read the cached columns
     data = persist_for_passes(df.select(
         *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)],
-        F.col(label).cast("double").alias("y")))
+        F.col(label).cast("double").alias("y")).dropna())
     try:
         names = [f"x{i}" for i in range(k)] + ["y"]
         moments = data.agg(*[f for c in names for f in (
             F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"))],
             F.count(F.lit(1)).alias("n")).first()
-        n = int(moments["n"])
-        mean = {c: moments[f"m_{c}"] or 0.0 for c in names}
-        sd = {c: (moments[f"s_{c}"] or 1.0) or 1.0 for c in names}
-        z = [(F.col(f"x{i}") - mean[f"x{i}"]) / sd[f"x{i}"] for i in range(k)]
-        t = (F.col("y") - mean["y"]) / sd["y"]
-        eps = epsilon / sd["y"]
-        lam = 1.0 / (C * max(n, 1))
-        w = np.zeros(k)
-        b = 0.0
-        best = (math.inf, w.copy(), b)
-        for it in range(max_iter):
-            fit_z = F.lit(b)
-            for i in range(k):
-                fit_z = fit_z + F.lit(float(w[i])) * z[i]
-            r = t - fit_z
-            g = F.when(r > eps, -1.0).when(r < -eps, 1.0).otherwise(0.0)
-            row = data.agg(F.sum(F.greatest(F.abs(r) - eps, F.lit(0.0))).alias("loss"),
-                           F.sum(g).alias("gb"),
-                           *[F.sum(g * z[i]).alias(f"g{i}") for i in range(k)]).first()
-            obj = row["loss"] / n + 0.5 * lam * float(w @ w)
-            if obj < best[0]:
-                best = (obj, w.copy(), b)
-            gw = np.array([row[f"g{i}"] for i in range(k)]) / n + lam * w
-            gb = row["gb"] / n
-            eta = step / math.sqrt(it + 1)
-            w = w - eta * gw
-            b = b - eta * gb
+        n = max(int(moments["n"]), 1)
+        center = np.array([moments[f"m_{c}"] or 0.0 for c in names])
+        scale = np.array([moments[f"s_{c}"] or 1.0 for c in names])
+        eps = epsilon / scale[-1]
+        penalty = np.full(k + 1, 1.0 / (C * n))
+        penalty[k] = 0.0
+
+        def at(theta, mu):
+            exact, smooth, g, h = _svr_sums(data, center, scale, theta, eps, mu)
+            own = 0.5 * float(penalty @ (theta * theta))
+            return exact / n + own, smooth / n + own, g / n + penalty * theta, h / n + np.diag(penalty)
+
+        theta, mu, damping, passes, converged = np.zeros(k + 1), 1.0, 1e-8, 1, False
+        exact, smooth, g, h = at(theta, mu)
+        best = (exact, theta)
+        while passes < max_iter:
+            step = np.linalg.solve(h + damping * np.eye(k + 1), -g)
+            gain = -0.5 * float(g @ step)
+            if gain <= 0.1 * tol * smooth or damping > 1e8:
+                if mu <= tol * exact or exact <= 1e-12:
+                    converged = True
+                    break
+                mu, damping = mu / 4, max(damping / 100, 1e-8)
+                exact, smooth, g, h = at(theta, mu)
+                passes += 1
+                continue
+            new = at(theta + step, mu)
+            passes += 1
+            if new[1] < smooth - 1e-4 * gain:
+                theta, damping = theta + step, max(damping / 10, 1e-8)
+                exact, smooth, g, h = new
+                if exact < best[0]:
+                    best = (exact, theta)
+            else:
+                damping = max(damping * 10, 1e-6)
     finally:
         data.unpersist()
-    _, w, b = best
-    sy = sd["y"]
-    coef = [float(w[i] * sy / sd[f"x{i}"]) for i in range(k)]
-    intercept = float(mean["y"] + sy * b - sum(coef[i] * mean[f"x{i}"] for i in range(k)))
-    return LinearSVRModel(cols, coef, intercept, pred)
+    if not converged:
+        warnings.warn(f"linear SVR not converged after {passes} passes")
+    objective, theta = best
+    coef = theta[:k] * scale[-1] / scale[:k]
+    intercept = center[-1] + scale[-1] * theta[k] - float(coef @ center[:k])
+    return LinearSVRModel(cols, coef.tolist(), float(intercept), pred, float(objective), converged)
 
 
 # ------------------------------------------------------------ predictions, importances

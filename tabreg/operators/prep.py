@@ -9,6 +9,7 @@ a streaming DataFrame.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass, field
 from typing import Any, Mapping, Sequence
 
@@ -87,8 +88,9 @@ def fit_categories(df: DataFrame, cols: Sequence[str],
                    max_categories: int = MAX_CATEGORIES) -> dict[str, list]:
     """A10: sorted distinct values per column, null last as its own category.
 
-    One grouped aggregate; the driver receives at most ``max_categories``+1
-    rows, and more than that is an error (use the vector encoder instead).
+    One grouped aggregate. A column of more than ``max_categories`` values is
+    an error (use the vector encoder instead), so the driver receives at most
+    ``max_categories`` values for each column, and one more.
     """
     return _categories_from_pairs(df, cols, long_values(df, cols).distinct(), max_categories)
 
@@ -96,10 +98,13 @@ def fit_categories(df: DataFrame, cols: Sequence[str],
 def _categories_from_pairs(df: DataFrame, cols: Sequence[str], pairs: DataFrame,
                            max_categories: int) -> dict[str, list]:
     """Typed, sorted category lists from distinct ``(column, value)`` text
-    pairs; at most ``max_categories`` + 1 rows are collected."""
-    rows = pairs.select("column", "value").limit(max_categories + 1).collect()
-    if len(rows) > max_categories:
-        raise ValueError(f"more than {max_categories} categories in {list(cols)}")
+    pairs; ``max_categories`` is the limit of each column."""
+    most = max_categories * max(len(cols), 1)
+    rows = pairs.select("column", "value").limit(most + 1).collect()
+    per_column = Counter(r["column"] for r in rows)
+    over = sorted(c for c, n in per_column.items() if n > max_categories)
+    if over:
+        raise ValueError(f"more than {max_categories} categories in {over}")
     cats: dict[str, list] = {c: [] for c in cols}
     for r in rows:
         cats[r["column"]].append(r["value"])
@@ -457,6 +462,7 @@ class FeaturePipelineModel:
     one_hot: OneHotModel | None
     ordinal: OrdinalModel | None
     dropped: list[str]
+    derive: Mapping[str, Column] = field(default_factory=dict)
 
     @property
     def feature_columns(self) -> list[str]:
@@ -468,7 +474,9 @@ class FeaturePipelineModel:
         return cols
 
     def transform(self, df: DataFrame, assemble_vector: bool = False) -> DataFrame:
-        """One projection: key, label, scaled numerics, one-hot, ordinal codes."""
+        """One projection: key, label, scaled numerics, one-hot, ordinal codes
+        (of derived columns too)."""
+        df = _with_derived(df, self.derive)
         exprs: list[Column] = [F.col(k) for k in self.key]
         if self.label and self.label in df.columns:
             exprs.append(F.col(self.label).cast("double").alias("label"))
@@ -515,11 +523,20 @@ def _profile_aggregate(df: DataFrame, cat: Sequence[str], num: Sequence[str]) ->
         F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"))
 
 
+def _with_derived(df: DataFrame, derive: Mapping[str, Column]) -> DataFrame:
+    """One column after the other, so that one may use those before it."""
+    for name, expr in derive.items():
+        df = df.withColumn(name, expr)
+    return df
+
+
 @dataclass
 class FeaturePipeline:
     """fit once on training rows, apply the same state to any frame.
 
-    Steps (reference order): optional profile-driven drops (dominance
+    Steps (reference order): derived columns (``derive``: name -> expression,
+    which the groups of ``spec`` may name) and columns that give way to them
+    (``drop``: taken out of the groups), optional profile-driven drops (dominance
     ``>=`` and null share ``>`` thresholds, A3/A4), standard scaling of
     numerics, one-hot of nominals, explicit-order ordinal codes.
     ``refit_scaler_on_transform`` is not offered: re-fitting on the test
@@ -532,6 +549,8 @@ class FeaturePipeline:
     drop_first: bool = False
     dominance_threshold: float | None = None
     null_threshold: float | None = None
+    derive: Mapping[str, Column] = field(default_factory=dict)
+    drop: Sequence[str] = ()
 
     def fit(self, df: DataFrame) -> FeaturePipelineModel:
         """One pass over the training rows.
@@ -544,9 +563,11 @@ class FeaturePipeline:
         category lists are all read from that small result (cached while
         fitting); the training rows themselves are never cached.
         """
-        numerical = list(self.spec.numerical)
-        nominal = list(self.spec.nominal)
-        ordinal = dict(self.spec.ordinal)
+        df = _with_derived(df, self.derive)
+        gone = set(self.drop)
+        numerical = [c for c in self.spec.numerical if c not in gone]
+        nominal = [c for c in self.spec.nominal if c not in gone]
+        ordinal = {c: o for c, o in self.spec.ordinal.items() if c not in gone}
         cat = sorted(set(nominal) | set(ordinal))
         num = numerical if (self.scale or self.null_threshold is not None) else []
         profile = _profile_aggregate(df, cat, num).persist(StorageLevel.MEMORY_AND_DISK)
@@ -592,4 +613,4 @@ class FeaturePipeline:
                                  else [v for v in fitted[c] if v is not None])
                              for c, o in ordinal.items()}) if ordinal else None
         return FeaturePipelineModel(list(self.key), self.label, numerical, scaler,
-                                    one_hot, ordm, dropped)
+                                    one_hot, ordm, dropped, dict(self.derive))

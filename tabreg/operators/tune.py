@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tabreg.functions.attach import attach
 from tabreg.functions.scan import running_aggregate
 from tabreg.operators.evaluate import metrics
-from tabreg.operators.models import predict
+from tabreg.operators.models import learning_curve, predict
 from tabreg.session import persist_for_passes
 
 
@@ -261,3 +261,27 @@ def early_stop(curve: DataFrame, group_cols: Sequence[str], round_col: str = "ro
     s = F.coalesce(F.col("__stop"), F.col("__last"))
     return agg.select(*g, s["r"].alias("stop_round"), s["at"].alias("best_round"),
                       s["best"].alias(f"best_{metric_col}"))
+
+
+def fit_early_stopped(spark: SparkSession, estimator, train: DataFrame, val: DataFrame,
+                      patience: int = 30, loss: str = "squared"):
+    """M11 + W2: boosting that keeps the rounds up to its best one.
+
+    Fits all rounds, takes the error on ``val`` after each, finds where
+    training with ``patience`` would have stopped and fits again with as many
+    rounds as the best one needs (same seed, hence the same first trees).
+    Returns ``(model, curve, stop)``: ``curve`` has round, dataset, metric and
+    value, ``stop`` one row with stop_round, best_round and best_value.
+    """
+    train = persist_for_passes(train)
+    val = val.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        curve = learning_curve(spark, estimator.fit(train), {"validation": val},
+                               {"rmse" if loss == "squared" else "mae": loss})
+        stop = early_stop(curve, ["dataset"], "round", "value", patience)
+        best = int(stop.first()["best_round"])  # rounds count from 0
+        model = estimator.copy({estimator.maxIter: best + 1}).fit(train)
+    finally:
+        train.unpersist()
+        val.unpersist()
+    return model, curve, stop.drop("dataset")

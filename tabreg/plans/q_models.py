@@ -60,7 +60,13 @@ def _linear_q(name, build):
     QUERIES[name] = run
 
 
-_linear_q("ols_one_feature", lambda df: M.linear_regression("x", "net"))
+@q("ols_one_feature")
+def ols_one_feature(spark, sf):
+    """The normal equations are one pass: nothing is cached."""
+    model = M.linear_regression("x", "net").fit(_one_feature(spark, sf))
+    return _coef_frame(spark, "ols_one_feature", model)
+
+
 _linear_q("ridge_one_feature", lambda df: M.ridge(df, RIDGE_ALPHA, "x", "net"))
 _linear_q("lasso_one_feature", lambda df: M.lasso(df, LASSO_ALPHA, "x", "net"))
 _linear_q("elastic_net_one_feature",
@@ -89,6 +95,42 @@ ORACLES["elastic_net_one_feature"] = _closed_form(
     "elastic_net_one_feature",
     f"{_soft('cxy', ENET_ALPHA * ENET_RHO)} / (vxx + {ENET_ALPHA * (1 - ENET_RHO)})")
 
+# ------------------------------------------------------------------ linear family, two features of unlike scale
+
+TWO = ["l_extendedprice", "l_discount"]
+TWO_ALPHA = 100.0  # of the order of the discount's sum of squares: only that coefficient shrinks
+
+
+def _two_features(name, build):
+    def run(spark, sf):
+        df = VectorAssembler(inputCols=TWO, outputCol="x").transform(lineitem_net(spark, sf))
+        m = build(df).fit(df)
+        return spark.createDataFrame(
+            [(float(m.coefficients[0]), float(m.coefficients[1]), float(m.intercept))],
+            "a1 double, a2 double, b double").select(
+            F.round("a1", 6).alias("a1"), F.round("a2", 2).alias("a2"), F.round("b", 2).alias("b"))
+    QUERIES[name] = run
+
+
+_two_features("ols_two_features", lambda df: M.linear_regression("x", "net"))
+_two_features("ridge_two_features", lambda df: M.ridge(df, TWO_ALPHA, "x", "net"))
+
+
+def _two_oracle(alpha):
+    return f"""
+WITH {LINEITEM_NET}, m AS (
+  SELECT avg({TWO[0]}) AS m1, avg({TWO[1]}) AS m2, avg(net) AS my,
+         var_pop({TWO[0]}) + {alpha} / count(*) AS v1, var_pop({TWO[1]}) + {alpha} / count(*) AS v2,
+         covar_pop({TWO[0]}, {TWO[1]}) AS c12, covar_pop({TWO[0]}, net) AS c1,
+         covar_pop({TWO[1]}, net) AS c2 FROM li),
+w AS (SELECT *, (c1 * v2 - c2 * c12) / (v1 * v2 - c12 * c12) AS a1,
+             (c2 * v1 - c1 * c12) / (v1 * v2 - c12 * c12) AS a2 FROM m)
+SELECT round(a1, 6) AS a1, round(a2, 2) AS a2, round(my - a1 * m1 - a2 * m2, 2) AS b FROM w"""
+
+
+ORACLES["ols_two_features"] = _two_oracle(0.0)
+ORACLES["ridge_two_features"] = _two_oracle(TWO_ALPHA)
+
 # ------------------------------------------------------------------ trees, boosting, SVR (rows-only)
 
 
@@ -107,8 +149,8 @@ def _fit_predict(name, build):
 
 
 _fit_predict("decision_tree", lambda: M.decision_tree(max_depth=5))
-_fit_predict("random_forest", lambda: M.random_forest(num_trees=20, max_depth=5))
-_fit_predict("bagging", lambda: M.bagging_trees(n_estimators=10, max_depth=5))
+_fit_predict("random_forest", lambda: M.random_forest(num_trees=100, max_depth=5))
+_fit_predict("bagging", lambda: M.bagging_trees(n_estimators=50, max_depth=5))
 _fit_predict("gbt_classic", lambda: M.gbt("classic", n_estimators=10))
 _fit_predict("gbt_depthwise", lambda: M.gbt("depthwise", n_estimators=10, max_depth=4))
 _fit_predict("gbt_histogram", lambda: M.gbt("histogram", n_estimators=10, max_depth=4))
@@ -119,14 +161,14 @@ _fit_predict("gbt_binned", lambda: M.gbt("binned", iterations=10, depth=4, borde
 def bagging_generic(spark, sf):
     """M7 with a non-tree base learner: OLS members on bootstrap samples."""
     train, test = _li_split(spark, sf)
-    bag = M.bagging(M.linear_regression(), train, n_estimators=5)
+    bag = M.bagging(M.linear_regression(), train, KEY, n_estimators=10)
     return M.predict(bag, test, "prediction").select(*KEY, "label", "prediction")
 
 
 @q("svr_linear")
 def svr_linear(spark, sf):
     train, test = _li_split(spark, sf)
-    model = M.fit_linear_svr(train, LI_FEATURES, "label", epsilon=0.1, C=1.0, max_iter=30)
+    model = M.fit_linear_svr(train, LI_FEATURES, "label", epsilon=0.1, C=1.0)
     return M.predict(model, test, "prediction").select(*KEY, "label", "prediction")
 
 
@@ -156,8 +198,13 @@ def learning_curve(spark, sf):
 
 @q("curve_metric_names")
 def curve_metric_names(spark, sf):
+    """E17 on the curves of events: an event's type is the metric it records."""
     from tabreg.operators.evaluate import curve_metric_names as names
-    return names(learning_curve(spark, sf))
+    ev = read_table(spark, sf, "events", ["event_type"])
+    return names(ev.withColumnRenamed("event_type", "metric"))
+
+
+ORACLES["curve_metric_names"] = "SELECT DISTINCT event_type AS metric FROM events"
 
 # ------------------------------------------------------------------ training log TSV (IO5)
 
@@ -241,7 +288,7 @@ def meta_weights(spark, sf):
 @q("stacking")
 def stacking(spark, sf):
     train, test = train_test_split(_li_blend(spark, sf), KEY, 0.2)
-    stacked, _ = N.stacking(train, KEY, "label", _blend_members(), k=3)
+    stacked, _ = N.stacking(train, KEY, "label", _blend_members(), k=10)
     return stacked.transform(test).select(*KEY, "label", "prediction")
 
 

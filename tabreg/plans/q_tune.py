@@ -181,7 +181,7 @@ def random_search_minimize(spark, sf):
     """H3: minimise validation MSE with a time budget."""
     df = _li_three_way(spark, sf)
     return H.random_search(spark, _tree, TREE_SPACE, df.filter("split = 'train'"),
-                           df.filter("split = 'val'"), n_trials=4, metric="mse",
+                           df.filter("split = 'val'"), n_trials=30, metric="mse",
                            direction="minimize", timeout=600, parallelism=4)
 
 
@@ -205,3 +205,17 @@ def refit_best(spark, sf):
     model = H.refit_best(_tree, trials, df.filter("split <> 'test'"), "minimize")
     return M.predict(model, df.filter("split = 'test'"), "prediction").select(
         *KEY, "label", "prediction")
+
+
+@q("early_stopped_boosting")
+def early_stopped_boosting(spark, sf):
+    """M11 + W2: boosting with an evaluation set; the model has the rounds of
+    the best one. The refitted model's own validation error stands beside it."""
+    df = _li_three_way(spark, sf)
+    val = df.filter("split = 'val'")
+    model, _, stop = H.fit_early_stopped(
+        spark, M.gbt("binned", iterations=20, depth=4, learning_rate=0.3, border_count=64),
+        df.filter("split = 'train'"), val, patience=5)
+    from tabreg.operators.evaluate import metrics
+    refit = metrics(M.predict(model, val, "m"), "label", ["m"]).first()["rmse"]
+    return stop.withColumn("refit_value", F.lit(float(refit)))

@@ -62,7 +62,8 @@ def test_tree_models_beat_mean(one_feature, build):
 
 def test_svr_beats_mean(one_feature):
     df, _, _ = one_feature
-    m = M.fit_linear_svr(df, ["x"], "label", max_iter=40)
+    m = M.fit_linear_svr(df, ["x"], "label")
+    assert m.converged
     assert metrics(M.predict(m, df, "p"), "label", ["p"]).first()["r2"] > 0.5
 
 
@@ -83,3 +84,49 @@ def test_gbt_param_translation():
     assert p == {"maxIter": 300, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8}
     with pytest.raises(ValueError):
         M.gbt_params({"reg_lambda": 1.0})
+
+
+def test_svr_reaches_the_minimum(spark):
+    """With outliers: the objective of any point near the solution is no lower."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 1, (600, 3)) * [1.0, 50.0, 0.01]
+    y = x @ [2.0, 0.1, 300.0] + rng.normal(0, 0.3, 600)
+    y[::17] += 40
+    df = spark.createDataFrame([(*map(float, a), float(b)) for a, b in zip(x, y)],
+                               "a double, b double, c double, label double")
+    m = M.fit_linear_svr(df, ["a", "b", "c"], "label", epsilon=0.1, C=1.0, tol=1e-4)
+    sx, sy = x.std(0), y.std()
+
+    def objective(w, b):
+        r = np.abs(y - x @ w - b) / sy
+        own = w * sx / sy
+        return np.maximum(r - 0.1 / sy, 0).mean() + own @ own / (2 * len(y))
+    w, b = np.array(m.coefficients), m.intercept
+    least = objective(w, b)
+    assert m.converged and math.isclose(least, m.objective, rel_tol=1e-6)
+    for _ in range(300):
+        size = 10.0 ** rng.uniform(-4, 0)
+        assert objective(w + rng.normal(0, size, 3) * sy / sx, b + rng.normal(0, size) * sy) >= least * (1 - 2e-3)
+    np.testing.assert_allclose(w, [2.0, 0.1, 300.0], rtol=0.05)
+
+
+def test_svr_leaves_out_null_rows_and_warns_unconverged(spark):
+    rows = [(float(i), 2.0 * i + 1) for i in range(50)]
+    schema = "x double, label double"
+    whole = M.fit_linear_svr(spark.createDataFrame(rows, schema), ["x"], "label")
+    holes = M.fit_linear_svr(spark.createDataFrame(rows + [(None, 5.0), (3.0, None)], schema), ["x"], "label")
+    assert math.isclose(whole.coefficients[0], holes.coefficients[0], rel_tol=1e-9)
+    with pytest.warns(UserWarning, match="not converged"):
+        assert not M.fit_linear_svr(spark.createDataFrame(rows, schema), ["x"], "label", max_iter=2).converged
+
+
+def test_bagging_is_independent_of_the_layout(spark):
+    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(
+        spark.range(500).selectExpr("id", "CAST(id % 37 AS DOUBLE) AS x", "CAST(3 * (id % 37) + id % 5 AS DOUBLE) AS label"))
+    sums = [M.bagging(M.linear_regression(), df.repartition(n), ["id"], n_estimators=3).transform(df)
+            .groupBy().sum("prediction").first()[0] for n in (3, 11)]
+    assert math.isclose(sums[0], sums[1], rel_tol=1e-9)
+    w = df.select(M.bootstrap_weight(["id"], 1).alias("w")).agg({"w": "avg"}).first()[0]
+    assert 0.85 < w < 1.15
+    with pytest.raises(ValueError):
+        M.bagging(object(), df, ["id"])

@@ -1,5 +1,6 @@
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from tabreg.functions.rowwise import sum_skipnull
@@ -138,3 +139,24 @@ def test_pipeline_single_pass_fit_equals_separate_operators(spark):
     got = R.FeaturePipeline(spec, key=("k",)).fit(df).scaler.stats["v"]
     exp = R.StandardScaler(["v"]).fit(df).stats["v"]
     assert all(abs(a - b) < 1e-12 for a, b in zip(got, exp))
+
+
+def test_category_limit_is_per_column(spark):
+    df = spark.createDataFrame([(i, i) for i in range(8)], "a int, b int")
+    assert len(R.OneHotEncoder(["a", "b"], max_categories=8).fit(df).output_columns()) == 16
+    with pytest.raises(ValueError, match="categories in"):
+        R.OneHotEncoder(["a", "b"], max_categories=7).fit(df)
+
+
+def test_pipeline_derives_and_drops(spark):
+    train = spark.createDataFrame([(1, 1.0, 2.0, 3.0), (2, 3.0, 4.0, 5.0)], "id int, w double, h double, z double")
+    test = spark.createDataFrame([(3, 5.0, 6.0, 7.0)], "id int, w double, h double, z double")
+    pipe = R.FeaturePipeline(
+        R.FeatureSpec(numerical=("w", "h", "z", "total", "twice"), nominal=("big",)), key=["id"],
+        derive={"total": F.col("w") + F.col("h"), "twice": F.col("total") * 2, "big": F.col("total") > 5},
+        drop=["w", "h"])
+    m = pipe.fit(train)
+    assert m.numerical == ["z", "total", "twice"]
+    r = m.transform(test).first()
+    assert "w" not in r.asDict() and math.isclose(r["total"], (11 - 5) / 2.0) and math.isclose(r["twice"], (22 - 10) / 4.0)
+    assert r["id"] == 3

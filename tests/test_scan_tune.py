@@ -99,3 +99,24 @@ def test_null_groups_and_leading_nulls(spark, op):
         assert r["r"] == want
         if op == "argmin":
             assert r["at"] == min(seen, default=(None, None))[1]
+
+
+def test_early_stopped_fit_keeps_the_best_rounds(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from tabreg.operators import models as M
+    rng = np.random.default_rng(5)
+    x = rng.random(300)
+    y = np.where(x > 0.5, 1.0, 0.0) + rng.normal(0, 1.0, 300)
+    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(
+        spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, label double"))
+    train, val = df.filter("x * 1000 % 3 >= 1"), df.filter("x * 1000 % 3 < 1")
+    model, curve, stop = H.fit_early_stopped(
+        spark, M.gbt("binned", iterations=12, depth=4, learning_rate=0.5), train, val, patience=3)
+    rows = [r["value"] for r in curve.orderBy("round").collect()]
+    best, at = min(rows), rows.index(min(rows))
+    s = stop.first()
+    if s["stop_round"] == len(rows) - 1:
+        assert (s["best_round"], s["best_value"]) == (at, best)
+    assert s["best_round"] < 11 and model.getNumTrees == s["best_round"] + 1
+    refit = M.learning_curve(spark, model, {"v": val}).orderBy("round").collect()
+    assert abs(refit[-1]["value"] - s["best_value"]) < 1e-9
