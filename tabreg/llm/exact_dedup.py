@@ -73,8 +73,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sole = winners.filter("n_contents = 1").drop("n_contents", "content")
     shared = winners.filter("n_contents > 1").drop("n_contents")
     small = rows.select("id", "n", "digest")
-    found = small.join(sole, "digest").unionByName(
-        rows.join(shared, ["digest", "content"]).drop("content"))
+    found = small.join(sole, "digest")
+    if not shared.isEmpty():  # else the join would shuffle all contents to meet no row
+        found = found.unionByName(rows.join(shared, ["digest", "content"]).drop("content"))
     found = stored(found.withColumn("row", F.monotonically_increasing_id())
                    .withColumn("best", F.col("id").eqNullSafe(F.col("keep_id"))
                                & (F.col("n") == F.col("keep_n"))), "dedup-rows")
