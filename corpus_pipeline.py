@@ -8,9 +8,9 @@ is written as Parquet in the shared folder before the next one reads it.
 2. exact: of texts equal but for white space the longest stays,
 3. near: of documents linked by SimHash (4-word shingles, at most 4 bits) that
    of the smallest id stays,
-4. mix: sources are drawn to flattened weights. The exponent meets 95 % of the
-   largest entropy; the budget is the largest that repeats no document, since
-   repeats would undo the stages before,
+4. mix: sources are drawn to flattened weights. The budget is all tokens that
+   are left; the exponent meets 95 % of the largest entropy and repeats no
+   source more than twice, so a tiny source shrinks no other,
 5. pack: pieces of at most 2048 tokens, best fit, in training sequences.
 """
 
@@ -23,6 +23,8 @@ from tabreg.llm import exact_dedup, langid, mixing, packing, queries, simhash
 from tabreg.llm.common import stored, table
 
 TARGET_ENTROPY = 0.95
+#: The mixture's tokens as a multiple of those that are left.
+BUDGET_EPOCHS = 1.0
 #: The tokeniser's cache beside executors that still hold the earlier stages' heap.
 WORKER_CACHE = 250_000
 
@@ -40,7 +42,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed_documents(docs, target_entropy=TARGET_ENTROPY)
+    return mixing.mixed_documents(docs, budget_epochs=BUDGET_EPOCHS, target_entropy=TARGET_ENTROPY,
+                                  max_repeats=queries.MAX_REPEATS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

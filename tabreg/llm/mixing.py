@@ -102,15 +102,17 @@ def weights(sources: DataFrame, exponent: float, z: float, budget: float | None)
 
 
 def schedule(rows: DataFrame, budget: float | None = None, target_entropy: float | None = None,
-             max_repeats: float | None = None, seed: int = 7) -> DataFrame:
+             max_repeats: float | None = None, seed: int = 7, budget_epochs: float | None = None) -> DataFrame:
     """(id, source, tokens) -> one row for each drawn copy: id, source, tokens,
     weight, epochs, pass_no, block, place.
 
-    ``place`` (0 to 1) is where the copy's block begins in the run: sorted by
+    ``budget_epochs`` gives the budget as a multiple of all tokens. ``place`` (0 to 1) is where the copy's block begins in the run: sorted by
     it, the sources interleave at their weights all along.
     """
     rows = stored(rows, "mix-rows")
     sources = stored(source_table(rows), "mix-sources")
+    if budget_epochs is not None:
+        budget = budget_epochs * (sources.agg(F.sum("tokens").cast("double")).first()[0] or 0.0)
     exponent, z = fit_exponent(sources, budget, target_entropy, max_repeats)
     plan = stored(weights(sources, exponent, z, budget).withColumn(
         "n_blocks", F.ceil(F.sqrt("n_docs"))), "mix-plan").withColumnRenamed("source", "p_source")
@@ -151,9 +153,10 @@ def rows_of(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
 
 def mixed_documents(docs: DataFrame, budget: float | None = None, target_entropy: float | None = None,
                     max_repeats: float | None = None, id_col: str = "doc_id", source_col: str = "source",
-                    text_col: str = "text", seed: int = 7) -> DataFrame:
+                    text_col: str = "text", seed: int = 7, budget_epochs: float | None = None) -> DataFrame:
     """The mixture as rows of ``docs`` with all their columns, one for each copy."""
-    drawn = schedule(rows_of(docs, id_col, source_col, text_col), budget, target_entropy, max_repeats, seed)
+    drawn = schedule(rows_of(docs, id_col, source_col, text_col), budget, target_entropy, max_repeats, seed,
+                     budget_epochs)
     copies = drawn.groupBy(F.col("id").alias("m_id"), F.col("source").alias("m_source"),
                            F.col("tokens").alias("m_tokens")).agg(F.count("*").alias("m_copies"))
     tokens, again = free_name(docs, "_tokens"), free_name(docs, "_again")

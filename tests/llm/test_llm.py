@@ -536,6 +536,19 @@ def test_pipeline_stages(spark, given, odd, empty):
         assert (out.count() > 0) == (frame is odd)
 
 
+@pytest.mark.parametrize("tiny", [0, 1])
+def test_pipeline_mix_keeps_sources_beside_a_tiny_one(spark, tiny):
+    # a hot source of a third, 19 equal ones, and one (null) of a single short document
+    data = [(i, "w " * 10, "hot" if i % 3 == 0 else f"s{i % 19}") for i in range(11400)]
+    data += [(-1, "w", None)] * tiny
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    n = Counter(r["source"] for r in docs.collect())
+    drawn = Counter((r["source"], r["doc_id"]) for r in corpus_pipeline.mix(spark, docs, "").collect())
+    kept = Counter(s for s, _ in drawn)
+    assert max(drawn.values()) <= 2 and 0.99 * len(data) < sum(drawn.values()) <= len(data)
+    assert all(kept[s] == n[s] for s in n if s != "hot") and kept["hot"] > 0.6 * n["hot"]
+
+
 def test_letters():
     assert not any(map(langid.has_letter, ("", "12 _ ?", "²", "Ⅷ")))
     assert all(map(langid.has_letter, ("a", "1 é", "中")))
