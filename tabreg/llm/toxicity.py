@@ -8,9 +8,12 @@ labelled documents. The result is the expected severity, sum of P(grade > k).
 
 Labels say toxic or not; the grade of a toxic document follows from how many
 hits of telling features it has, in thirds of the sample's toxic documents, so
-thresholds are learned from graded data. Fitted on a bounded sample of labelled rows: at most
-``sample_rows`` toxic and ``sample_rows`` other documents, by hash; the others
-are weighted by what they stand for.
+thresholds are learned from graded data. Fitted on a bounded sample of labelled documents: about
+``sample_rows`` toxic and ``sample_rows`` other documents, by hash, dealt evenly
+to strata of languages (hashes of ``lang``), so a rare language has its rows.
+Features are chosen in each stratum by a likelihood-ratio test and dealt evenly
+too. In the fit a stratum counts as its sampled rows, toxic to others as among
+all its labels.
 
 Defined cases: a null or empty text has no features. Null labels are left
 out. Without both kinds of labels every severity is 0. Several labels of one
@@ -25,17 +28,28 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabreg.llm.common import stored
+
 GRADES = 4
 PREFIXES = (4, 5, 6, 7, 8)
-#: Lower-cases ASCII letters, keeps bytes above 127, blanks out all else.
+STRATA = 64
+#: Least likelihood-ratio statistic of a feature: one in a thousand by chance.
+#: Noise that passes is left to the regression's penalty.
+LEAST_RATIO = 10.83
+LEAST_DOCS = 3
+#: Features that each stratum can have at least.
+STRATUM_FEATURES = 60
+#: The penalty on all rows: more rows outweigh it, so rare words keep their weight.
+PRIOR = 0.4
+#: Keeps lower-cased ASCII letters and bytes above 127, blanks out all else.
 _LETTERS = bytes(b | 32 if 65 <= b <= 90 or 97 <= b <= 122 else b if b > 127 else 32 for b in range(256))
 
 
 def words(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8").translate(_LETTERS).split()
+    return (text or "").lower().encode("utf-8").translate(_LETTERS).split()
 
 
 def features(word: bytes) -> list[bytes]:
@@ -94,63 +108,100 @@ def train(x: np.ndarray, grade: np.ndarray, weight: np.ndarray, l2: float = 1e-3
     return p[:-m], np.cumsum(np.concatenate([p[-m:-m + 1], np.exp(p[-m + 1:])]))
 
 
+def _rates(counts: dict[int, int], rows: int) -> dict[int, float]:
+    """The part of each stratum to draw: ``rows`` dealt evenly, what a small
+    stratum leaves goes to the others."""
+    rates, left = {}, rows
+    for i, (k, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        take = min(n, left / (len(counts) - i))
+        rates[k], left = take / n, left - take
+    return rates
+
+
+def _ratio(t: Column, c: Column, n1: Column, n0: Column) -> Column:
+    """Likelihood-ratio statistic (G) of a feature in t of n1 toxic and c - t
+    of n0 other documents."""
+    n = n1 + n0
+    cells = ((t, c * n1), (c - t, c * n0), (n1 - t, (n - c) * n1), (n0 - c + t, (n - c) * n0))
+    return 2 * sum(F.when(o > 0, o * F.log(o * n / e)).otherwise(F.lit(0.0)) for o, e in cells)
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", sample_rows: int = 3000, max_features: int = 500,
-        seed: int = 3) -> CumulativeLink | None:
-    known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("id"), (F.col(label_col) > 0).cast("int").alias("y"))
-    total = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
-    if len(total) < 2:
-        return None
-    chosen = []
-    for y in (0, 1):
-        chosen += known.filter(F.col("y") == y).orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(sample_rows).collect()
+        seed: int = 3, lang_col: str = "lang") -> CumulativeLink | None:
     spark = docs.sparkSession
-    sample = spark.createDataFrame([(r["id"], r["y"]) for r in chosen], "id long, y int")
+    stratum = F.pmod(F.xxhash64(lang_col), F.lit(STRATA)).cast("int") if lang_col in docs.columns else F.lit(0)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), stratum.alias("s"))
+    known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(
+        F.col(id_col).alias("id"), (F.col(label_col) > 0).cast("int").alias("y")).agg(F.count("*").alias("m"))
+    known = stored(known.join(texts.select("id", "s").distinct(), "id"), "toxicity-labels")
+    counts = known.groupBy("s", "y").agg(F.count("*").alias("n"), F.sum("m").alias("m")).collect()
+    if len({r["y"] for r in counts}) < 2:
+        return None
+    total = {(r["s"], r["y"]): r["m"] for r in counts}
+    rate = {(k, y): v for y in (0, 1)
+            for k, v in _rates({r["s"]: r["n"] for r in counts if r["y"] == y}, sample_rows).items()}
+    rates = spark.createDataFrame([(*k, float(v)) for k, v in rate.items()], "s int, y int, rate double")
+    u = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 31)) / F.lit(float(1 << 31))
+    sample = spark.createDataFrame(
+        known.join(rates, ["s", "y"]).filter(u < F.col("rate")).select("id", "s", "y", "m").collect(),
+        "id long, s int, y int, m long")
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for i, y, text in zip(pdf["id"], pdf["y"], pdf["text"]):
+            for s, y, m, text in zip(pdf["s"], pdf["y"], pdf["m"], pdf["text"]):
                 bag = Counter(f for w in words(text if isinstance(text, str) else "") for f in features(w))
                 # bytes as Latin-1: a beginning may end within a character
-                rows.append((i, y, [x.decode("latin-1") for x in bag], list(bag.values())))
-            yield pd.DataFrame(rows, columns=["id", "y", "words", "n"])
+                rows.append((s, y, m, [x.decode("latin-1") for x in bag], list(bag.values())))
+            yield pd.DataFrame(rows, columns=["s", "y", "m", "words", "n"])
 
-    # at most 2 * sample_rows ids: a proven bound for the broadcast
-    bags = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(
-        F.broadcast(sample), "id").mapInPandas(counted, "id long, y int, words array<string>, n array<long>").persist()
+    # about 2 * sample_rows ids at most: a bound for the broadcast
+    bags = texts.join(F.broadcast(sample), ["id", "s"]).select("s", "y", "m", "text").mapInPandas(
+        counted, "s int, y int, m long, words array<string>, n array<long>").persist()
     try:
-        n_docs = {r["y"]: r["count"] for r in bags.groupBy("y").count().collect()}
-        if len(n_docs) < 2:
+        drawn = {(r["s"], r["y"]): r["m"] for r in bags.groupBy("s", "y").agg(F.sum("m").alias("m")).collect()}
+        if len({y for _, y in drawn}) < 2:
             return None
-        n1, n0 = n_docs[1], n_docs[0]
-        # words that are significantly more frequent in toxic documents, or less
-        a, b = F.col("t") + 0.5, F.col("c") - F.col("t") + 0.5
-        odds = F.log(a / (n1 + 1 - a)) - F.log(b / (n0 + 1 - b))
-        told = (bags.select("y", F.explode("words").alias("word")).groupBy("word")
-                .agg(F.sum("y").alias("t"), F.count("*").alias("c"))
-                .withColumn("z", odds / F.sqrt(1 / a + 1 / b))
-                .filter("abs(z) > 4 and c >= 5").orderBy(F.abs("z").desc(), "word").limit(max_features).collect())
-        if not told:
+        strata = sorted({k for k, _ in drawn})
+        sizes = spark.createDataFrame([(k, float(drawn.get((k, 1), 0)), float(drawn.get((k, 0), 0))) for k in strata],
+                                      "s int, n1 double, n0 double").filter("n1 > 0 and n0 > 0")
+        # words that are significantly more frequent in a stratum's toxic documents, or less
+        turn = Window.partitionBy("s").orderBy(F.desc("ratio"), "word")
+        limit = max(max_features, STRATUM_FEATURES * len(strata))
+        found = (bags.select("s", "y", "m", F.explode("words").alias("word")).groupBy("s", "word")
+                 .agg(F.sum(F.col("y") * F.col("m")).alias("t"), F.sum("m").alias("c"))
+                 .filter(F.col("c") >= LEAST_DOCS).join(sizes, "s")
+                 .withColumn("ratio", _ratio(*[F.col(x) for x in ("t", "c", "n1", "n0")]))
+                 .filter(F.col("ratio") > LEAST_RATIO)
+                 .withColumn("turn", F.row_number().over(turn))
+                 .withColumn("more", F.col("t") * F.col("n0") > (F.col("c") - F.col("t")) * F.col("n1"))
+                 .orderBy("turn", F.desc("ratio"), "word").limit(limit).select("word", "more").collect())
+        if not found:
             return None
-        names = [r["word"] for r in told]
-        telling = {r["word"] for r in told if r["z"] > 0}
-        index = F.array(*[F.lit(w) for w in names])
-        rows = bags.select("y", F.filter(F.arrays_zip("words", "n"), lambda x: F.array_contains(index, x["words"]))
-                           .alias("hits")).collect()
+        names = list(dict.fromkeys(r["word"] for r in found))
+        telling = {r["word"] for r in found if r["more"]}
+        at = {w: i for i, w in enumerate(names)}
+
+        def hit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                own = [[(at[w], k) for w, k in zip(ws, ns) if w in at] for ws, ns in zip(pdf["words"], pdf["n"])]
+                yield pdf[["s", "y", "m"]].assign(at=[[i for i, _ in x] for x in own], n=[[k for _, k in x] for x in own])
+
+        rows = bags.mapInPandas(hit, "s int, y int, m long, at array<int>, n array<long>").collect()
     finally:
         bags.unpersist()
-    at = {w: i for i, w in enumerate(names)}
     x, hits, y = np.zeros((len(rows), len(names))), np.zeros(len(rows)), np.array([r["y"] for r in rows])
     for i, r in enumerate(rows):
-        for h in r["hits"]:
-            x[i, at[h["words"]]] = np.log1p(h["n"])
-            hits[i] += h["n"] if h["words"] in telling else 0
+        for j, n in zip(r["at"], r["n"]):
+            x[i, j] = np.log1p(n)
+            hits[i] += n if names[j] in telling else 0
     steps = np.quantile(hits[y > 0], np.arange(1, GRADES - 1) / (GRADES - 1))
     grade = np.where(y > 0, 1 + (hits[:, None] > steps).sum(1), 0)
-    weight = np.where(grade > 0, total[1] / n1, total[0] / n0)
-    w, thresholds = train(x, grade, weight)
+    both = {k: (sum(drawn.get((k, v), 0) for v in (0, 1)), sum(total.get((k, v), 0) for v in (0, 1))) for k in strata}
+    weight = np.array([r["m"] * total[r["s"], r["y"]] / drawn[r["s"], r["y"]] * both[r["s"]][0] / both[r["s"]][1]
+                       for r in rows])
+    w, thresholds = train(x, grade, weight, l2=PRIOR / len(rows))
     return CumulativeLink({n.encode("latin-1"): float(v) for n, v in zip(names, w)}, thresholds)
 
 

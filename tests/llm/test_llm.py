@@ -383,6 +383,25 @@ def test_toxicity(spark, empty):
     assert toxicity.predict(empty, None).count() == 0
 
 
+def test_toxicity_of_rare_languages(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/../sf0.01/documents.parquet")
+    labels = spark.read.parquet(f"{SF_SMALL}/../sf0.01/labels.parquet")
+    found = toxicity.predict(docs, toxicity.fit(docs, labels)).filter("toxic").select("doc_id").collect()
+    flagged = {r["doc_id"] for r in found}
+    by = defaultdict(list)
+    for r in docs.join(labels.filter("toxic = 1"), "doc_id").collect():
+        by[r["lang"]].append(r["doc_id"] in flagged)
+    assert len(by) == 4 and all(np.mean(x) > 0.7 for x in by.values())
+    # one in a hundred documents is of another language; the sample holds few rows
+    data = [(i, f"{'slur ' if i % 5 == 0 else ''}aa bb w{i % 7} w{i % 11}", "a") for i in range(4000)]
+    data += [(5000 + i, f"{'mauvais ' if i % 4 == 0 else ''}xx yy w{i % 7}", "b") for i in range(40)]
+    few = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    marks = few.selectExpr("doc_id", "int(text rlike 'slur|mauvais') toxic")
+    model = toxicity.fit(few, marks, sample_rows=60)
+    got = toxicity.predict(few, model).withColumnRenamed("toxic", "flag").join(marks, "doc_id")
+    assert got.filter("flag != (toxic = 1)").count() == 0
+
+
 # --- winnowing, mixing, URLs ------------------------------------------------
 
 def _winnow(hashes, window=8):
