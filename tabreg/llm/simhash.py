@@ -29,12 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabreg.llm.common import free_name, stored
+from tabreg.llm.common import free_name, stored, text_or_empty
 from tabreg.llm.components import connected_components
-from tabreg.llm.exact_dedup import one_row_each
 
 BITS = 64
 
@@ -184,9 +183,9 @@ def links(nodes: DataFrame, max_bits: int = 4, block: int = 512) -> DataFrame:
     return forest.unionByName(met.mapInPandas(_cross(max_bits), "a long, b long"))
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-            shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
-    """One row for each row of ``docs``: ``id``, ``fp``, ``component_id``."""
+def _rooted(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, max_bits: int) -> DataFrame:
+    """One row for each row of ``docs``: ``id``, ``fp``, ``root`` (one for each
+    class, a fingerprint), ``component_id``."""
     fps = stored(fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
                               "text", shingle_words), "simhash-fps")
     nodes = fps.groupBy("fp").agg(F.min("id").alias("id"))
@@ -195,17 +194,36 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "fp", "id", F.coalesce("root", "fp").alias("root"))
     named = stored(named, "simhash-roots")
     ids = named.groupBy("root").agg(F.min("id").alias("component_id"))
-    return fps.join(named.select("fp", "root").join(ids, "root").drop("root"), "fp").select(
-        "id", "fp", "component_id")
+    return fps.join(named.select("fp", "root").join(ids, "root"), "fp").select("id", "fp", "root", "component_id")
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
+    """One row for each row of ``docs``: ``id``, ``fp``, ``component_id``."""
+    return _rooted(docs, id_col, text_col, shingle_words, max_bits).drop("root")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
-    """The rows of ``docs`` that stay: one for each class, that of the smallest
-    id. In a class without any id every row stays that has another text."""
-    stay = (classes(docs, id_col, text_col, shingle_words, max_bits)
-            .filter(F.col("id").eqNullSafe(F.col("component_id"))).select("id").distinct())
-    tag = free_name(docs, "_sha")
-    hit = docs.join(stay, docs[id_col].eqNullSafe(stay["id"]), "left_semi").withColumn(
-        tag, F.when(F.col(id_col).isNull(), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)))
-    return one_row_each(hit, [id_col, tag]).drop(tag)
+    """The rows of ``docs`` that stay: one for each class, of its smallest id,
+    of that id's fingerprints the smallest, of its texts the first by hash."""
+    found = _rooted(docs, id_col, text_col, shingle_words, max_bits)
+    stay = stored(found.filter(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
+        F.min("id").alias("id"), F.min("fp").alias("fp")).select("id", "fp"), "simhash-stay")
+    # ids that don't tell the class: without one, or with several fingerprints
+    several = found.filter(F.col("id").isNotNull()).groupBy("id").agg(
+        F.min("fp").alias("a"), F.max("fp").alias("b")).filter("a != b").select("id")
+    several = stored(several.unionByName(stay.filter("id is null").select("id").distinct()), "simhash-several")
+    fp, rank = free_name(docs, "_fp"), free_name(docs, "_rank")
+    sole = stay.join(several, stay["id"].eqNullSafe(several["id"]), "left_anti").select(F.col("id").alias("s_id"))
+    hit = docs.join(sole, docs[id_col] == F.col("s_id"), "left_semi").withColumn(fp, F.lit(None).cast("long"))
+    if not several.isEmpty():
+        finger = F.pandas_udf(lambda texts: texts.map(lambda t: text_fingerprint(t, shingle_words)).astype("int64"), "long")
+        unsure = docs.join(several, docs[id_col].eqNullSafe(several["id"]), "left_semi").withColumn(
+            fp, finger(F.col(f"`{text_col}`")))
+        kept = stay.select(F.col("id").alias("s_id"), F.col("fp").alias("s_fp"))
+        hit = hit.unionByName(unsure.join(
+            kept, unsure[id_col].eqNullSafe(F.col("s_id")) & (unsure[fp] == F.col("s_fp")), "left_semi"))
+    text = text_or_empty(f"`{text_col}`")
+    turn = Window.partitionBy(F.col(f"`{id_col}`"), fp).orderBy(F.xxhash64(text), text)
+    return hit.withColumn(rank, F.row_number().over(turn)).filter(F.col(rank) == 1).drop(fp, rank)

@@ -274,6 +274,17 @@ def test_near_dedup(odd, empty):
     assert simhash.near_dedup(empty).count() == simhash.classes(empty).count() == 0
 
 
+def test_near_dedup_keeps_one_row_of_each_class(spark):
+    other = "a wholly different line about ships and harbours in the cold north sea at night before the storm"
+    third = "the committee met on monday to read accounts and plan next year's budget for schools and roads"
+    texts = [(1, BASE), (1, other), (2, BASE), (3, other), (3, BASE.upper()), (4, third), (4, third.upper()),
+             (None, third), (None, "one two three four five six seven"), (None, "ONE two three four five six seven")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    kept = [(r["doc_id"], r["text"].lower()) for r in simhash.near_dedup(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(1, BASE), (1, other), (4, third),
+                                            (None, "one two three four five six seven")], key=str)
+
+
 # --- PII -------------------------------------------------------------------
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
