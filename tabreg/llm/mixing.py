@@ -4,7 +4,10 @@ A source's share of all tokens is raised to an exponent between 0 (all
 sources alike) and 1 (as they are) and normalised. The exponent is bisected
 on aggregates of the source table: the smallest one whose mixture has at most
 the target entropy and repeats no source more than ``max_repeats`` times
-within the budget.
+within the budget. With both limits the exponent is the larger of the two they
+need. A target below the entropy of the sources as they are is out of reach: the
+exponent is 1, the sources stay as they are, and a warning says so.
+``halfway_entropy`` gives a target within reach of any sources that differ.
 
 The weights are realised as budgeted block permutations. A source's documents
 are hashed to blocks of about the square root of its size; every pass over
@@ -21,6 +24,7 @@ one by one; an empty table gives an empty mixture.
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,7 +84,21 @@ def fit_exponent(sources: DataFrame, budget: float | None = None, target_entropy
         # what is met stays met as the exponent grows
         i = done.index(True) if True in done else len(inner)
         low, high = ([low] + inner)[i], (inner + [high])[i]
-    return high, state([high])[0][0]
+    last = state([high])[0]
+    if not meets(last):
+        warnings.warn(f"mixing: the limits (entropy {target_entropy}, repeats {max_repeats}) are out of reach; "
+                      "the sources stay as they are", stacklevel=2)
+    return high, last[0]
+
+
+def halfway_entropy(sources: DataFrame) -> float:
+    """As a part of the largest one, the entropy halfway between that of the
+    sources as they are and the largest; 1 for a single source or none."""
+    total = sources.agg(F.sum("tokens").cast("double").alias("t"), F.count("*").alias("n")).first()
+    if total["n"] < 2:
+        return 1.0
+    share = F.col("tokens") / F.lit(total["t"])
+    return (1 + sources.agg(-F.sum(share * F.log(share))).first()[0] / math.log(total["n"])) / 2
 
 
 def weights(sources: DataFrame, exponent: float, z: float, budget: float | None) -> DataFrame:

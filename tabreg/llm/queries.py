@@ -111,14 +111,15 @@ def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: The query's training budget is as many tokens as there are, no source more
-#: than this many times.
+#: than this many times; its entropy is halfway to the largest.
 MAX_REPEATS = 2.0
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stored(mixing.rows_of(documents(spark, sf_dir)), "mix-tokens")
     budget = rows.agg(F.sum("tokens").cast("double")).first()[0]
-    return mixing.schedule(rows, budget=budget, max_repeats=MAX_REPEATS).withColumnRenamed("id", "doc_id")
+    target = mixing.halfway_entropy(stored(mixing.source_table(rows), "mix-totals"))
+    return mixing.schedule(rows, budget=budget, target_entropy=target, max_repeats=MAX_REPEATS).withColumnRenamed("id", "doc_id")
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

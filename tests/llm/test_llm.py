@@ -516,6 +516,24 @@ def test_mixing_equals_brute_force(spark, kw):
     assert sorted(map(repr, got)) == sorted(map(repr, again))
 
 
+@pytest.mark.parametrize("hot", [40, 5000])
+def test_mixing_query_bisects(spark, tmp_path, hot):
+    # nearly equal sources, or one of a third beside 19 equal ones: uniform weights repeat none more than twice
+    data = [(i, "w " * 5, f"s{i % 19}") for i in range(10_000)] + [(20_000 + i, "w " * 5, "hot") for i in range(hot + 500)]
+    spark.createDataFrame(data, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["source"]: r["weight"] for r in queries.op9_mixing(spark, str(tmp_path)).select("source", "weight").distinct().collect()}
+    n = Counter(s for _, _, s in data)
+    own, mixed = [-sum(x * math.log(x) for x in xs) for xs in ([k / len(data) for k in n.values()], got.values())]
+    assert abs(mixed - (own + math.log(20)) / 2) < 1e-6
+    assert got["s0"] < got["hot"] < n["hot"] / len(data)
+
+
+def test_mixing_target_out_of_reach(spark):
+    sources = spark.createDataFrame([("a", 50), ("b", 51)], "source string, tokens long")
+    with pytest.warns(UserWarning, match="out of reach"):
+        assert mixing.fit_exponent(sources, target_entropy=0.5)[0] == 1.0
+
+
 def test_mixed_documents(spark, odd, empty):
     mixed = mixing.mixed_documents(odd, target_entropy=1.0)
     assert mixed.columns == odd.columns and 0 < mixed.count() <= odd.count()
