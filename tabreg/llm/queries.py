@@ -8,8 +8,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabreg.llm import (dac, exact_dedup, langid, mixing, packing, pii, simhash, toxicity,
-                        url_filter, winnowing)
+from tabreg.llm import (dac, exact_dedup, fim, langid, mixing, packing, pii, secret_scan, simhash, toxicity,
+                        url_filter, vector_codes, winnowing)
 from tabreg.llm.common import stored, table, text_or_empty
 
 #: Folder of the public tokenizer files; unset, the installed package tells.
@@ -29,10 +29,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
-def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    found = pii.find(docs, pii.fit(docs))
-
+def _span_table(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """(id, base, spans) as counts of the base kinds, a digest and text."""
     def written(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(
             ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
@@ -41,11 +39,16 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     return found.select(
-        F.col("id").alias("doc_id"), *[count(k) for k in pii.KINDS],
+        F.col("id").alias("doc_id"), *[count(k) for k in kinds],
         F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"),
         (F.size("spans") - F.size("base")).cast("long").alias("n_added"))
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return _span_table(pii.find(docs, pii.fit(docs)), pii.KINDS)
+
+
 def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), with_ids=False)
     return packed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32",
@@ -142,7 +145,79 @@ m AS (
   FROM u LEFT JOIN r ON (host = r_host OR ends_with(host, '.' || r_host)) AND starts_with(path, r_path))
 SELECT page_id, host, path, rule, coalesce(r_verdict, 'allow') AS verdict FROM m WHERE rank = 1"""
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_table(secret_scan.find(documents(spark, sf_dir)), tuple(k for k, _, _ in secret_scan.BASE))
+
+
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fim.transform(documents(spark, sf_dir))
+    return cut.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || doc_id) AS h FROM documents),
+m AS (
+  SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+         ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90
+              THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM m),
+s AS (
+  SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle,
+         array_to_string(u[b + 1:n], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(prefix || middle || suffix) AS restored_sha256
+FROM s"""
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.encode(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
+    return vector_codes.with_label_error(codes).select(
+        F.col("id").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.lit(vector_codes.codebook_digest(books)).alias("codebooks_sha256"))
+
+
+def _assigned(t: int) -> str:
+    """Parts of all vectors, each with its nearest entry of codebook ``t``, the lower one in ties."""
+    gap = " + ".join(f"(p.x{i} - c{t}.x{i}) * (p.x{i} - c{t}.x{i})" for i in range(4))
+    return f"""a{t} AS (
+  SELECT p.vec_id, p.part, min_by(entry, (({gap})::HUGEINT * 64 + entry)) AS entry, min({gap}) AS error
+  FROM p JOIN c{t} USING (part) GROUP BY p.vec_id, p.part)"""
+
+
+def _averaged(t: int) -> str:
+    mean = ", ".join(f"coalesce(floor(m{i}), c{t}.x{i})::BIGINT AS x{i}" for i in range(4))
+    sums = ", ".join(f"sum(x{i}) / count(*) AS m{i}" for i in range(4))
+    return f"""s{t} AS (SELECT part, entry, {sums} FROM a{t} JOIN p USING (vec_id, part) GROUP BY part, entry),
+c{t + 1} AS (SELECT part, entry, {mean} FROM c{t} LEFT JOIN s{t} USING (part, entry))"""
+
+
+OP13_SQL = f"""
+WITH e AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings),
+ok AS (SELECT vec_id FROM e GROUP BY vec_id HAVING bool_and(x IS NOT NULL AND isfinite(x))),
+p AS (SELECT vec_id, i // 4 AS part, {", ".join(f"max(floor(256 * x::DOUBLE)::BIGINT) FILTER (i % 4 = {i}) AS x{i}" for i in range(4))}
+      FROM e SEMI JOIN ok USING (vec_id) GROUP BY vec_id, i // 4),
+f AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM ok ORDER BY vec_id LIMIT 64),
+c0 AS (SELECT part, entry, x0, x1, x2, x3 FROM p JOIN f USING (vec_id)),
+{", ".join(y for t in range(2) for y in (_assigned(t), _averaged(t)))},
+{_assigned(2)},
+v AS (SELECT vec_id, string_agg(printf('%02x', entry::INT), '' ORDER BY part) AS code, sum(error)::BIGINT AS error
+      FROM a2 GROUP BY vec_id),
+b AS (SELECT sha256(string_agg(concat_ws(',', x0, x1, x2, x3), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c2)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM v JOIN embeddings USING (vec_id), b"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pii, op2_pack, op3_simhash, op4_token_files, op5_exact_dedup, op6_langid, op7_toxicity,
-    op8_winnowing, op9_mixing, op10_url_filter)}
-ORACLES = {"op5_exact_dedup": OP5_SQL, "op10_url_filter": OP10_SQL}
+    op8_winnowing, op9_mixing, op10_url_filter, op11_secret_scan, op12_fim, op13_vector_codes)}
+ORACLES = {"op5_exact_dedup": OP5_SQL, "op10_url_filter": OP10_SQL, "op12_fim": OP12_SQL,
+           "op13_vector_codes": OP13_SQL}
