@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabreg.functions.hashing import hash_bucket
+from tabreg.operators.dictionary import Dictionary, fit_dictionaries
 from tabreg.operators.profile import QUANTILE_ACCURACY, _as_text, _nan_to_null, long_values
 
 MAX_CATEGORIES = 10_000
@@ -84,13 +85,17 @@ def _typed_sort_key(dtype: T.DataType):
     return key
 
 
+class TooManyCategories(ValueError):
+    """A column has more values than fit in literals; ``dictionary`` encodes it."""
+
+
 def fit_categories(df: DataFrame, cols: Sequence[str],
                    max_categories: int = MAX_CATEGORIES) -> dict[str, list]:
     """A10: sorted distinct values per column, null last as its own category.
 
     One grouped aggregate. A column of more than ``max_categories`` values is
-    an error (use the vector encoder instead), so the driver receives at most
-    ``max_categories`` values for each column, and one more.
+    an error here, so the driver receives at most ``max_categories`` values for
+    each column, and one more; the encoders go on with a dictionary table.
     """
     return _categories_from_pairs(df, cols, long_values(df, cols).distinct(), max_categories)
 
@@ -104,7 +109,7 @@ def _categories_from_pairs(df: DataFrame, cols: Sequence[str], pairs: DataFrame,
     per_column = Counter(r["column"] for r in rows)
     over = sorted(c for c, n in per_column.items() if n > max_categories)
     if over:
-        raise ValueError(f"more than {max_categories} categories in {over}")
+        raise TooManyCategories(f"more than {max_categories} categories in {over}")
     cats: dict[str, list] = {c: [] for c in cols}
     for r in rows:
         cats[r["column"]].append(r["value"])
@@ -116,6 +121,18 @@ def _categories_from_pairs(df: DataFrame, cols: Sequence[str], pairs: DataFrame,
     return out
 
 
+def _fit_literals_and_tables(df: DataFrame, cols: Sequence[str], max_categories: int,
+                             ) -> tuple[dict[str, list], dict[str, Dictionary]]:
+    """Category lists of the columns that fit in literals, dictionaries of the others."""
+    try:
+        return fit_categories(df, cols, max_categories), {}
+    except TooManyCategories:
+        fitted = fit_dictionaries(df, cols)
+    small = {c: [r["value"] for r in d.table.orderBy("code").collect()]
+             for c, d in fitted.items() if d.size <= max_categories}
+    return small, {c: d for c, d in fitted.items() if c not in small}
+
+
 def _from_text(v: str, dtype: T.DataType):
     if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
         return int(v)
@@ -126,9 +143,12 @@ def _from_text(v: str, dtype: T.DataType):
 
 @dataclass
 class OneHotModel:
+    """0/1 columns for each category; a column of ``tables`` (more categories
+    than literals may hold) becomes one sparse vector column ``<column>_onehot``."""
     categories: dict[str, list]
     drop_first: bool = False
     handle_unknown: str = "ignore"
+    tables: dict[str, Dictionary] = field(default_factory=dict)
 
     def _names(self) -> dict[str, list[tuple[Any, str]]]:
         """(category, output name) per column. A name that is taken (the text
@@ -171,9 +191,13 @@ class OneHotModel:
 
     def transform(self, df: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
         """Replace the encoded columns by 0/1 doubles named ``column_value``."""
-        enc = set(self.categories)
+        enc = {*self.categories, *self.tables}
         keep = [c for c in df.columns if c not in enc] if keep is None else list(keep)
-        return df.select(*[F.col(c) for c in keep], *self.columns())
+        vectors = []
+        for c, d in self.tables.items():
+            vectors.append(f"{c}_onehot")
+            df = d.one_hot(df, vectors[-1], self.drop_first, self.handle_unknown)
+        return df.select(*[F.col(c) for c in keep], *self.columns(), *vectors)
 
 
 @dataclass
@@ -185,8 +209,8 @@ class OneHotEncoder:
     max_categories: int = MAX_CATEGORIES
 
     def fit(self, df: DataFrame) -> OneHotModel:
-        return OneHotModel(fit_categories(df, self.cols, self.max_categories),
-                           self.drop_first, self.handle_unknown)
+        lists, tables = _fit_literals_and_tables(df, self.cols, self.max_categories)
+        return OneHotModel(lists, self.drop_first, self.handle_unknown, tables)
 
 
 def one_hot_vector_stages(col: str, out: str, drop_first: bool = False):
@@ -224,13 +248,19 @@ def ordinal_expr(col: str, order: Sequence[Any]) -> Column:
 
 @dataclass
 class OrdinalModel:
+    """Codes from literals, and from a join for the columns of ``tables``."""
     orders: Mapping[str, Sequence[Any]]
+    tables: Mapping[str, Dictionary] = field(default_factory=dict)
 
     def columns(self) -> list[Column]:
+        if self.tables:
+            raise ValueError(f"{sorted(self.tables)} are encoded by a join: use transform")
         return [ordinal_expr(c, o).alias(c) for c, o in self.orders.items()]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({c: ordinal_expr(c, o) for c, o in self.orders.items()})
+        for c, d in self.tables.items():
+            df = d.with_code(df, c).withColumn(c, F.col(c).cast("double"))
+        return df.withColumns({c: ordinal_expr(c, o) for c, o in self.orders.items()}) if self.orders else df
 
 
 @dataclass
@@ -245,10 +275,10 @@ class OrdinalEncoder:
 
     def fit(self, df: DataFrame) -> OrdinalModel:
         auto = [c for c, o in self.orders.items() if o is None]
-        fitted = fit_categories(df, auto, self.max_categories) if auto else {}
+        fitted, tables = _fit_literals_and_tables(df, auto, self.max_categories) if auto else ({}, {})
         return OrdinalModel({c: (list(o) if o is not None
                                  else [v for v in fitted[c] if v is not None])
-                             for c, o in self.orders.items()})
+                             for c, o in self.orders.items() if c not in tables}, tables)
 
 
 def label_encoder(cols: Sequence[str]) -> OrdinalEncoder:

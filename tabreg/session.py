@@ -74,6 +74,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the checkpoint folder and read it back: lineage ends
+    there, and the planner knows the table's size."""
+    path = shared_scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def persist_for_passes(df: DataFrame) -> DataFrame:
     """Persist an input that an iterative fit will read many times.
 

@@ -43,8 +43,8 @@ def normalise_null_tokens(df: DataFrame, columns: list[str] | None = None,
                        if isinstance(f.dataType, T.StringType)]
     token_list = [F.lit(t) for t in tokens]
     return df.withColumns({
-        c: F.when(F.col(c).isin(*token_list), F.lit(None).cast("string"))
-            .otherwise(F.col(c))
+        c: F.when(F.col(f"`{c}`").isin(*token_list), F.lit(None).cast("string"))
+            .otherwise(F.col(f"`{c}`"))
         for c in cols
     })
 
