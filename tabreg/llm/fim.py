@@ -36,6 +36,8 @@ from tabreg.llm.common import text_or_empty
 #: Prefix, suffix, middle.
 MARKERS = ("<P>", "<S>", "<M>")
 SEGMENT = 1 << 20
+#: Rows whose outputs a worker holds at once.
+ROWS = 256
 
 # possessive, so that the library keeps no way back
 _UNITS = regex.compile(r"([A-Za-z]++|[^A-Za-z])*+")
@@ -81,11 +83,11 @@ def transform(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
               fim_percent: int = 90, spm_percent: int = 20, markers: tuple[str, str, str] = MARKERS) -> DataFrame:
     """(id, n, form, prefix_chars, middle_chars, output), one row for each of ``docs``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             h = [batch.column(i).to_numpy(zero_copy_only=False).tolist() for i in range(2, 6)]
             done = [cut(t.as_py(), x, fim_percent, spm_percent, markers)
                     for t, *x in zip(batch.column(1), *h)]
-            n, form, prefix, middle, output = zip(*done) if done else ((),) * 5
+            n, form, prefix, middle, output = zip(*done)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(form, pa.string()), pa.array(prefix, pa.int64()),
                  pa.array(middle, pa.int64()), pa.array(output, pa.string())],

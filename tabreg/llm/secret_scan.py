@@ -62,7 +62,7 @@ WEAK = (
         r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?::[0-9]{1,5})?(?!\.?[0-9A-Za-z])"))))
 KINDS = tuple(k for k, _, _ in BASE + WEAK)
 _ROLES = [r for _, r, _ in BASE + WEAK]
-_BREAK = r"\n[\x20\t\r\n]*+\n"
+_BREAK = r"\n(?:[\x20\t\r]*+\n)++"
 
 
 def _matches(docs: DataFrame) -> DataFrame:
