@@ -1,6 +1,7 @@
 """Secret scan, fill-in-middle and vector codes against brute force: nulls,
 empty and very long texts, ties, repeated rows, empty tables, other columns."""
 
+import bisect
 import hashlib
 import math
 import re
@@ -60,14 +61,16 @@ def brute_parts(text):
 def brute_linked(text, found, reach=300):
     """All pairs of parts."""
     breaks = [m.start() for m in re.finditer(r"\n[\x20\t\r\n]*\n", text)]
-    scope = lambda p: sum(b < p for b in breaks)
+    scope = lambda p: bisect.bisect_left(breaks, p)
     roles = secret_scan._ROLES
-    out = []
+    out, group = [], {}
+    for x in found:
+        group.setdefault(scope(x[1]), []).append(x)
     for k, a, b in found:
         if k < 3:
             out.append((k, a, b))
             continue
-        near = [x for x in found if scope(x[1]) == scope(a) and x[1] <= a + reach and x[2] >= a - reach]
+        near = [x for x in group[scope(a)] if x[1] <= a + reach and x[2] >= a - reach]
         have = {roles[x[0]] for x in near}
         if secret_scan.SECRET in have and len(have) >= 2 and (len(have) == 3 or any(x[0] < 3 for x in near)):
             out.append((k, a, b))
