@@ -66,13 +66,38 @@ def knn_regress(train: DataFrame, query: DataFrame, id_col: str, vec_col: str,
     neighbour), one row per query. Distances are ranked on their value
     rounded to 9 decimals, ties by training id.
     """
-    spark = train.sparkSession
+    return _regressed(exact_neighbours(train, query, id_col, vec_col, label_col, k, n_pivots, chunk_rows,
+                                       query_block_rows), id_col, out)
+
+
+def _regressed(neighbours: DataFrame, id_col: str, out: str) -> DataFrame:
+    return neighbours.groupBy("q_id").agg(F.avg("t_label").alias(out), F.max("d2").alias("kth_dist2")) \
+        .withColumnRenamed("q_id", id_col)
+
+
+_NEIGHBOURS = "t_label double, d2 double"
+
+
+def _top(short: DataFrame, k: int) -> DataFrame:
+    """The k nearest of each query's shortlists, by rounded distance, then id."""
+    nearest = Window.partitionBy("q_id").orderBy("d2", "t_id")  # a bounded shortlist for each tile
+    return short.withColumn("d2", F.round("d2", 9)).withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
+
+
+def _no_neighbours(train: DataFrame, query: DataFrame, id_col: str) -> DataFrame:
+    kinds = [f.schema[id_col].dataType.simpleString() for f in (query, train)]
+    return train.sparkSession.createDataFrame([], f"q_id {kinds[0]}, t_id {kinds[1]}, {_NEIGHBOURS}, rank int")
+
+
+def exact_neighbours(train: DataFrame, query: DataFrame, id_col: str, vec_col: str, label_col: str, k: int = 5,
+                     n_pivots: int | None = None, chunk_rows: int = 20_000,
+                     query_block_rows: int = 20_000) -> DataFrame:
+    """(q_id, t_id, t_label, d2, rank): the k nearest training points of every query row."""
     t = train.select(F.col(id_col).alias("t_id"), F.col(vec_col).alias("t_vec"),
                      F.col(label_col).cast("double").alias("t_label"))
     n_train = t.count()
     if n_train == 0:
-        return query.select(F.col(id_col), F.lit(None).cast("double").alias(out),
-                            F.lit(None).cast("double").alias("kth_dist2")).limit(0)
+        return _no_neighbours(train, query, id_col)
     p = n_pivots or min(MAX_PIVOTS, max(1, int(math.sqrt(n_train))))
     piv_rows = t.orderBy(F.xxhash64("t_id"), "t_id").limit(p).select("t_vec").collect()
     pivots = np.array([r["t_vec"] for r in piv_rows], dtype=np.float64)
@@ -152,12 +177,7 @@ def knn_regress(train: DataFrame, query: DataFrame, id_col: str, vec_col: str,
                                T.StructField("d2", T.DoubleType())])
     short = qc.groupBy(*tile).cogroup(tc.groupBy(*tile)).applyInPandas(
         _tile_shortlist(k), out_schema)
-    ranked = short.withColumn("d2", F.round("d2", 9))
-    w2 = Window.partitionBy("q_id").orderBy("d2", "t_id")  # <= shortlist rows per tile
-    top = ranked.withColumn("rn", F.row_number().over(w2)).filter(F.col("rn") <= k)
-    return top.groupBy("q_id").agg(F.avg("t_label").alias(out),
-                                   F.max("d2").alias("kth_dist2")) \
-        .withColumnRenamed("q_id", id_col)
+    return _top(short, k)
 
 
 _EPS = np.finfo(np.float64).eps

@@ -12,7 +12,8 @@ from __future__ import annotations
 import math
 import warnings
 from dataclasses import dataclass
-from typing import Any, Mapping, Sequence
+from functools import reduce
+from typing import Any, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -273,8 +274,37 @@ class LinearSVRModel:
             if self.intercept else linear_combination(self.feature_cols, self.coefficients))
 
 
+@dataclass
+class FourierFeatures:
+    """Random Fourier features of the Gaussian kernel ``exp(-gamma |x - y|^2)``.
+
+    ``sqrt(2 / n) cos(W x + b)`` with normal directions of variance ``2 gamma``
+    and uniform phases: the inner product of two lifted rows is the kernel on
+    average, with an error of the order of ``1 / sqrt(n)``. Directions and
+    phases follow from the seed, so every task lifts alike.
+    """
+    width: int
+    n: int = 200
+    gamma: float | None = None
+    seed: int = 42
+
+    def __post_init__(self):
+        rng = np.random.default_rng(self.seed)
+        if self.gamma is None:  # features of variance 1: one over their number
+            self.gamma = 1.0 / max(self.width, 1)
+        self.directions = rng.normal(0.0, math.sqrt(2.0 * self.gamma), (self.width, self.n))
+        self.phases = rng.uniform(0.0, 2.0 * math.pi, self.n)
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        return math.sqrt(2.0 / self.n) * np.cos(x @ self.directions + self.phases)
+
+
+#: Rows that a task lifts at once.
+_LIFT_ROWS = 4096
+
+
 def _svr_sums(data: DataFrame, center: np.ndarray, scale: np.ndarray, theta: np.ndarray,
-              eps: float, mu: float) -> tuple[float, float, np.ndarray, np.ndarray]:
+              eps: float, mu: float, lift=None) -> tuple[float, float, np.ndarray, np.ndarray]:
     """Exact loss, smoothed loss, gradient and Hessian sums in one pass.
 
     A task reduces its Arrow batches to one row of (k + 1)^2 + k + 3 numbers;
@@ -285,10 +315,11 @@ def _svr_sums(data: DataFrame, center: np.ndarray, scale: np.ndarray, theta: np.
 
     def partial(batches):
         total = np.zeros(2 + (k + 1) + (k + 1) ** 2)
-        for pdf in batches:
+        for pdf in (b.iloc[i:i + _LIFT_ROWS] for b in batches for i in range(0, len(b), _LIFT_ROWS)):
             m = (pdf.to_numpy(np.float64) - center) / scale
-            x = np.hstack([m[:, :k], np.ones((len(m), 1))])
-            r = m[:, k] - x @ theta
+            x = m[:, :-1] if lift is None else lift(m[:, :-1])
+            x = np.hstack([x, np.ones((len(m), 1))])
+            r = m[:, -1] - x @ theta
             d = np.abs(r) - eps
             slope = np.clip(d / mu, 0, 1)
             smooth = np.where(d >= mu, d - mu / 2, 0.5 * mu * slope * slope)
@@ -319,12 +350,66 @@ def fit_linear_svr(df: DataFrame, feature_cols: Sequence[str], label: str,
     needs more than ``max_iter`` passes warns and has ``converged`` false.
     """
     cols = list(feature_cols)
+    theta, center, scale, objective, converged = _fit_svr(df, cols, label, epsilon, C, max_iter, tol, None)
     k = len(cols)
+    coef = theta[:k] * scale[-1] / scale[:k]
+    intercept = center[-1] + scale[-1] * theta[k] - float(coef @ center[:k])
+    return LinearSVRModel(cols, coef.tolist(), float(intercept), pred, float(objective), converged)
+
+
+@dataclass
+class KernelSVRModel:
+    """Linear in the Fourier features of the standardised columns."""
+    feature_cols: list[str]
+    lift: FourierFeatures
+    theta: np.ndarray
+    center: np.ndarray
+    scale: np.ndarray
+    pred: str = "prediction"
+    objective: float = math.nan
+    converged: bool = True
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Null features give a null prediction."""
+        lift, theta, center, scale = self.lift, self.theta, self.center, self.scale
+
+        @F.pandas_udf("double")
+        def scored(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+            for cols in parts:
+                x = (np.column_stack([c.to_numpy(np.float64) for c in cols]) - center[:-1]) / scale[:-1]
+                out = [lift(x[i:i + _LIFT_ROWS]) @ theta[:-1] for i in range(0, len(x), _LIFT_ROWS)]
+                yield pd.Series(center[-1] + scale[-1] * (theta[-1] + np.concatenate([*out, np.zeros(0)])))
+
+        columns = [F.col(c).cast("double") for c in self.feature_cols]
+        known = reduce(lambda a, b: a & b, [c.isNotNull() for c in columns])
+        return df.withColumn(self.pred, F.when(known, scored(*columns)))
+
+
+def fit_kernel_svr(df: DataFrame, feature_cols: Sequence[str], label: str, epsilon: float = 0.1, C: float = 1.0,
+                   n_features: int = 200, gamma: float | None = None, seed: int = 42, max_iter: int = 200,
+                   tol: float = 1e-3, pred: str = "prediction") -> KernelSVRModel:
+    """M12 with the Gaussian kernel, by random Fourier features.
+
+    The kernel's dual needs all pairs of rows; here rows are lifted to
+    ``n_features`` cosines and the linear problem is solved on those by the
+    Newton steps of ``fit_linear_svr``: one pass each, ``n_features ** 2``
+    numbers to the driver, whatever the number of rows.
+    """
+    cols = list(feature_cols)
+    lift = FourierFeatures(len(cols), n_features, gamma, seed)
+    theta, center, scale, objective, converged = _fit_svr(df, cols, label, epsilon, C, max_iter, tol, lift)
+    return KernelSVRModel(cols, lift, theta, center, scale, pred, float(objective), converged)
+
+
+def _fit_svr(df: DataFrame, cols: list[str], label: str, epsilon: float, C: float, max_iter: int, tol: float, lift):
+    """(theta, center, scale, objective, converged) in standardised units."""
+    n_columns = len(cols)
+    k = n_columns if lift is None else lift.n
     data = persist_for_passes(df.select(
         *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)],
         F.col(label).cast("double").alias("y")).dropna())
     try:
-        names = [f"x{i}" for i in range(k)] + ["y"]
+        names = [f"x{i}" for i in range(n_columns)] + ["y"]
         moments = data.agg(*[f for c in names for f in (
             F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"))],
             F.count(F.lit(1)).alias("n")).first()
@@ -336,7 +421,7 @@ def fit_linear_svr(df: DataFrame, feature_cols: Sequence[str], label: str,
         penalty[k] = 0.0
 
         def at(theta, mu):
-            exact, smooth, g, h = _svr_sums(data, center, scale, theta, eps, mu)
+            exact, smooth, g, h = _svr_sums(data, center, scale, theta, eps, mu, lift)
             own = 0.5 * float(penalty @ (theta * theta))
             return exact / n + own, smooth / n + own, g / n + penalty * theta, h / n + np.diag(penalty)
 
@@ -366,11 +451,8 @@ def fit_linear_svr(df: DataFrame, feature_cols: Sequence[str], label: str,
     finally:
         data.unpersist()
     if not converged:
-        warnings.warn(f"linear SVR not converged after {passes} passes")
-    objective, theta = best
-    coef = theta[:k] * scale[-1] / scale[:k]
-    intercept = center[-1] + scale[-1] * theta[k] - float(coef @ center[:k])
-    return LinearSVRModel(cols, coef.tolist(), float(intercept), pred, float(objective), converged)
+        warnings.warn(f"SVR not converged after {passes} passes")
+    return best[1], center, scale, best[0], converged
 
 
 # ------------------------------------------------------------ predictions, importances

@@ -10,8 +10,11 @@ a per-entity learning curve with billions of rounds, scales the same way.
 from __future__ import annotations
 
 import math
+import threading
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Any, Callable, Mapping, Sequence
 
@@ -24,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tabreg.functions.attach import attach
 from tabreg.functions.scan import running_aggregate
+from tabreg.operators.boosting import boost_until_stopped, stageable
 from tabreg.operators.evaluate import metrics
 from tabreg.operators.models import learning_curve, predict
 from tabreg.session import persist_for_passes
@@ -71,23 +75,31 @@ def random_search(spark: SparkSession, build: Callable[[dict], Any],
                   timeout: float | None = None, parallelism: int = 1) -> DataFrame:
     """H2/H3: fit ``build(params)`` on train, score ``metric`` on validation.
 
-    ``timeout`` (seconds) is checked before each trial starts, as the
-    reference's study does; trials that did not start are not recorded.
+    ``timeout`` (seconds) ends the search: no trial starts after it, and the
+    jobs of those that run are cancelled. Such a trial is recorded without a
+    value, its ``state`` "pruned"; the others are "complete". Trials that did
+    not start are not recorded.
     """
     train = persist_for_passes(train)
     val = val.persist(StorageLevel.MEMORY_AND_DISK)
-    start = time.time()
+    deadline = math.inf if timeout is None else time.time() + timeout
     param_sets = sample_params(space, n_trials, seed)
 
     def run(i_params):
         i, params = i_params
-        if timeout is not None and time.time() - start > timeout:
-            return None
         t0 = time.time()
-        model = build(params).fit(train)
-        scored = predict(model, val, "__pred")
-        value = metrics(scored, label, {"m": "__pred"}).first()[metric]
-        return (i, float(value), params, time.time() - t0)
+        if t0 > deadline:
+            return None
+        try:
+            with _cancelled_at(spark, deadline):
+                model = build(params).fit(train)
+                scored = predict(model, val, "__pred")
+                value = metrics(scored, label, {"m": "__pred"}).first()[metric]
+        except Exception:
+            if time.time() < deadline:
+                raise
+            return (i, None, params, time.time() - t0, "pruned")
+        return (i, float(value), params, time.time() - t0, "complete")
 
     try:
         if parallelism > 1:
@@ -99,7 +111,32 @@ def random_search(spark: SparkSession, build: Callable[[dict], Any],
         train.unpersist()
         val.unpersist()
     rows = [r for r in results if r is not None]
-    return spark.createDataFrame(rows, TRIAL_SCHEMA)
+    return spark.createDataFrame(rows, TRIAL_SCHEMA + ", state string")
+
+
+@contextmanager
+def _cancelled_at(spark: SparkSession, deadline: float):
+    """Tags this thread's jobs; at the deadline those that run are cancelled,
+    and, until the block is left, those that still follow."""
+    if deadline == math.inf:
+        yield
+        return
+    sc, tag, over = spark.sparkContext, f"trial-{uuid.uuid4().hex}", threading.Event()
+
+    def watch():
+        if not over.wait(max(0.0, deadline - time.time())):
+            while not over.wait(0.2):
+                sc.cancelJobsWithTag(tag)
+
+    watcher = threading.Thread(target=watch, daemon=True)
+    sc.addJobTag(tag)
+    watcher.start()
+    try:
+        yield
+    finally:
+        over.set()
+        watcher.join()
+        sc.removeJobTag(tag)
 
 
 def grid_search_cv(spark: SparkSession, estimator, grid: Mapping[str, Sequence[Any]],
@@ -131,8 +168,9 @@ def best_trial(trials: DataFrame, direction: str = "maximize",
     """Best trial per study; ties go to the earliest trial.
 
     A grouped ``max_by``/``min_by`` (partial aggregation), never a sort of
-    the whole study.
+    the whole study. Trials without a value are never the best.
     """
+    trials = trials.filter(F.col(value_col).isNotNull())
     payload = F.struct(*[F.col(c) for c in trials.columns if c not in study_cols])
     if direction == "maximize":
         best = F.max_by(payload, F.struct(F.col(value_col), -F.col(trial_col)))
@@ -265,14 +303,24 @@ def early_stop(curve: DataFrame, group_cols: Sequence[str], round_col: str = "ro
 
 def fit_early_stopped(spark: SparkSession, estimator, train: DataFrame, val: DataFrame,
                       patience: int = 30, loss: str = "squared"):
-    """M11 + W2: boosting that keeps the rounds up to its best one.
+    """M11 + W2: boosting that ends when patience runs out, and keeps the
+    rounds up to its best one.
+
+    Squared loss on all rows and features is fitted stage by stage
+    (``boosting.boost_until_stopped``), so no round after the stop is fitted.
+    Other losses and sampled rows are Spark's own: all rounds are fitted, the
+    error on ``val`` after each tells the stop, and the best round's number is
+    fitted again with the same seed.
 
-    Fits all rounds, takes the error on ``val`` after each, finds where
-    training with ``patience`` would have stopped and fits again with as many
-    rounds as the best one needs (same seed, hence the same first trees).
     Returns ``(model, curve, stop)``: ``curve`` has round, dataset, metric and
     value, ``stop`` one row with stop_round, best_round and best_value.
     """
+    if loss == "squared" and stageable(estimator):
+        model, rounds, stop = boost_until_stopped(estimator, train, val, patience)
+        return (model, spark.createDataFrame([(r, "validation", "rmse", e) for r, _, e in rounds],
+                                             "round int, dataset string, metric string, value double"),
+                spark.createDataFrame([(stop["stop_round"], stop["best_round"], stop["best_rmse"])],
+                                      "stop_round int, best_round int, best_value double"))
     train = persist_for_passes(train)
     val = val.persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -172,6 +172,14 @@ def svr_linear(spark, sf):
     return M.predict(model, test, "prediction").select(*KEY, "label", "prediction")
 
 
+@q("svr_rbf")
+def svr_rbf(spark, sf):
+    """M12 with the Gaussian kernel on random Fourier features."""
+    train, test = _li_split(spark, sf)
+    model = M.fit_kernel_svr(train, LI_FEATURES, "label", epsilon=0.1, C=1.0)
+    return M.predict(model, test, "prediction").select(*KEY, "label", "prediction")
+
+
 @q("feature_importance")
 def feature_importance(spark, sf):
     train, _ = _li_split(spark, sf)
@@ -320,6 +328,30 @@ FROM r WHERE rn <= 5 GROUP BY q"""
 # ------------------------------------------------------------------ leaderboard of fitted models
 
 
+def _probing(spark, sf):
+    """All embeddings against those whose id is divisible by 20."""
+    e = read_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"])
+    return e.filter("vec_id % 20 <> 0"), e.filter("vec_id % 20 = 0")
+
+
+@q("knn_approximate")
+def knn_approximate(spark, sf):
+    """M13 by multi-probe random-projection buckets, exact re-ranking."""
+    from tabreg.operators.knn_approx import knn_regress_approximate
+    train, asked = _probing(spark, sf)
+    return knn_regress_approximate(train, asked, "vec_id", "embedding", "label", k=5)
+
+
+@q("knn_recall")
+def knn_recall(spark, sf):
+    """Each query's share of its exact neighbours that the probed buckets hold."""
+    from tabreg.operators import knn, knn_approx
+    train, asked = _probing(spark, sf)
+    args = (train, asked, "vec_id", "embedding", "label", 5)
+    found = knn_approx.approximate_neighbours(*args)
+    return knn_approx.recall(found, knn.exact_neighbours(*args)).withColumnRenamed("q_id", "vec_id")
+
+
 @q("model_leaderboard")
 def model_leaderboard(spark, sf):
     """Test metrics ranked by RMSE, fit seconds, train-test RMSE gap."""

@@ -159,6 +159,8 @@ def _li_three_way(spark, sf):
 GBT_SPACE = {"n_estimators": H.IntRange(5, 12), "max_depth": H.IntRange(2, 4),
              "learning_rate": H.FloatRange(0.05, 0.3, log=True),
              "subsample": H.FloatRange(0.6, 1.0)}
+#: Rounds at most, and rounds without a better one that end the fit.
+STOPPED_ROUNDS, STOPPED_PATIENCE = 60, 3
 TREE_SPACE = {"max_depth": H.IntRange(2, 8), "min_child_weight": H.IntRange(1, 50)}
 
 
@@ -209,13 +211,13 @@ def refit_best(spark, sf):
 
 @q("early_stopped_boosting")
 def early_stopped_boosting(spark, sf):
-    """M11 + W2: boosting with an evaluation set; the model has the rounds of
-    the best one. The refitted model's own validation error stands beside it."""
+    """M11 + W2: boosting with an evaluation set that ends when patience runs
+    out. The kept model's own validation error stands beside its best round."""
     df = _li_three_way(spark, sf)
     val = df.filter("split = 'val'")
     model, _, stop = H.fit_early_stopped(
-        spark, M.gbt("binned", iterations=20, depth=4, learning_rate=0.3, border_count=64),
-        df.filter("split = 'train'"), val, patience=5)
+        spark, M.gbt("binned", iterations=STOPPED_ROUNDS, depth=4, learning_rate=0.5, border_count=64),
+        df.filter("split = 'train'"), val, patience=STOPPED_PATIENCE)
     from tabreg.operators.evaluate import metrics
-    refit = metrics(M.predict(model, val, "m"), "label", ["m"]).first()["rmse"]
-    return stop.withColumn("refit_value", F.lit(float(refit)))
+    own = metrics(M.predict(model, val, "m"), "label", ["m"]).first()["rmse"]
+    return stop.withColumn("model_value", F.lit(float(own)))
