@@ -29,6 +29,7 @@ from typing import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -219,3 +220,65 @@ def _apply_carries(local: DataFrame, carries: dict, group_cols: list[str], op: s
                 pdf.loc[mask, out] = new.astype(pdf[out].dtype).to_numpy()
             yield pdf.drop(columns=[_PID])
     return local.mapInPandas(apply, out_schema)
+
+
+def running_last(df: DataFrame, order_cols: Sequence[str], value: str, out: str = "running",
+                 group_cols: Sequence[str] = ()) -> DataFrame:
+    """The last value that is not null up to each row, of any type.
+
+    Spread over range partitions like ``running_aggregate``: without groups
+    (or in a hot one) no task sees more than its partition. ``order_cols``
+    must make rows unique; a null group is a group.
+    """
+    group_cols, order_cols = list(group_cols), list(order_cols)
+    kind = df.schema[value].dataType
+    schema = T.StructType([*df.schema.fields, T.StructField(out, kind), T.StructField(_PID, T.IntegerType())])
+
+    # Arrow batches: pandas would turn whole numbers beside nulls into doubles
+    def scan(batches):
+        from pyspark import TaskContext
+        pid, key, carried = TaskContext.get().partitionId(), None, None
+        for batch in batches:
+            own = []
+            for v, k in zip(batch.column(value).to_pylist(), _keys(batch, group_cols)):
+                if k != key:
+                    key, carried = k, None
+                carried = carried if v is None else v
+                own.append(carried)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(own, batch.column(value).type), pa.array([pid] * len(own), pa.int32())],
+                [*batch.schema.names, out, _PID])
+
+    local = cut_lineage(df.orderBy(*group_cols, *order_cols).mapInArrow(scan, schema))
+    g, o = (F.struct(F.lit(0), *[F.col(c) for c in cols]) for cols in (group_cols, order_cols))
+    place = F.struct(g.alias("g"), o.alias("o"))
+    ends = sorted(local.groupBy(_PID).agg(F.min(place).alias("first"), F.max_by(F.struct(g.alias("g"), F.col(out).alias("v")), place)
+                                          .alias("last")).collect(), key=lambda r: r[_PID])  # one row a partition
+    carries, open_group, value_now = {}, None, None
+    for r in ends:
+        if open_group == tuple(r["first"]["g"]) and value_now is not None:
+            carries[r[_PID]] = (tuple(r["first"]["g"])[1:], value_now)
+        if r["last"]["v"] is not None or open_group != tuple(r["last"]["g"]):
+            value_now = r["last"]["v"]
+        open_group = tuple(r["last"]["g"])
+    if not carries:
+        return local.drop(_PID)
+    table = df.sparkSession.sparkContext.broadcast(carries)
+
+    def apply(batches):
+        for batch in batches:
+            at = batch.schema.names.index(out)
+            own = batch.column(at).to_pylist()
+            for i, (pid, k) in enumerate(zip(batch.column(_PID).to_pylist(), _keys(batch, group_cols))):
+                entry = table.value.get(pid)
+                if entry and own[i] is None and k == entry[0]:
+                    own[i] = entry[1]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(own, batch.column(at).type)], batch.schema.names[:at + 1])
+
+    return local.mapInArrow(apply, T.StructType(schema.fields[:-1]))
+
+
+def _keys(batch: pa.RecordBatch, cols: list[str]) -> list[tuple]:
+    if not cols:
+        return [()] * batch.num_rows
+    return list(zip(*[batch.column(c).to_pylist() for c in cols]))

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tabreg.operators import dictionary as D
 from tabreg.operators import prep as R
+from tabreg.operators.frames import lookup
 from tabreg.plans.sql import is_test
 from tabreg.session import shared_scratch
+from tabreg.sources.dictionary_file import read_dictionary
 from tabreg.sources.infer import FORMS, csv_type_profile, infer_csv
 from tabreg.sources.tables import read_table
 
@@ -182,3 +184,51 @@ SELECT o_orderkey AS order_key, o_totalprice AS price, strftime(day + 1, '%Y-%m-
        CASE WHEN o_orderkey % 100 = 1 THEN 'no key, ' ELSE '' END || o_orderkey AS key_or_word,
        CAST(NULL AS DOUBLE) AS nothing, 'a "quoted", ' || o_orderpriority AS comment_like
 FROM t"""
+
+# ------------------------------------------------------------------ data dictionary as text
+
+
+def _dictionary_text(spark, sf):
+    """A dictionary file of two columns, every fifth part's meaning over two lines."""
+    part = read_table(spark, sf, "part", ["p_partkey", "p_name", "p_type"])
+    nation = read_table(spark, sf, "nation", ["n_nationkey", "n_name"])
+    head = spark.createDataFrame([
+        (0, 0, "p_partkey: Number of a part.\t\n"), (1, 0, "\nc_nationkey: Nation of a customer,\n  by number: 0 to 24\n")],
+        "block int, place long, value string")
+    codes = part.select(F.lit(0).alias("block"), (F.col("p_partkey") + 1).alias("place"), F.concat(
+        F.lit("        "), "p_partkey", F.lit("\t"), "p_name",
+        F.when(F.col("p_partkey") % 5 == 0, F.concat(F.lit("\n            of type "), "p_type")).otherwise(F.lit("\t"))).alias("value"))
+    nations = nation.select(F.lit(1).alias("block"), (F.col("n_nationkey") + 1).cast("long").alias("place"), F.concat(
+        F.lit("       "), "n_nationkey", F.lit(" \t"), "n_name").alias("value"))
+    path = shared_scratch(spark, "dictionary-text")
+    head.unionByName(codes).unionByName(nations).orderBy("block", "place").select("value").write.text(path)
+    return path
+
+
+DICTIONARY = """d AS (
+  SELECT 'p_partkey' AS "column", NULL AS code, 'Number of a part.' AS meaning
+  UNION ALL SELECT 'c_nationkey', NULL, 'Nation of a customer, by number: 0 to 24'
+  UNION ALL SELECT 'c_nationkey', CAST(n_nationkey AS VARCHAR), n_name FROM nation
+  UNION ALL SELECT 'p_partkey', CAST(p_partkey AS VARCHAR),
+                   p_name || CASE WHEN p_partkey % 5 = 0 THEN ' of type ' || p_type ELSE '' END FROM part)"""
+
+
+@q("data_dictionary")
+def data_dictionary(spark, sf):
+    return read_dictionary(spark, _dictionary_text(spark, sf))
+
+
+ORACLES["data_dictionary"] = f"WITH {DICTIONARY} SELECT * FROM d"
+
+
+@q("data_dictionary_lookup")
+def data_dictionary_lookup(spark, sf):
+    """Customers with the meaning of their nation's code, from the file."""
+    c = read_table(spark, sf, "customer", ["c_custkey", "c_nationkey"]).withColumn("c_nationkey", F.col("c_nationkey").cast("string"))
+    return lookup(c, "c_nationkey", read_dictionary(spark, _dictionary_text(spark, sf)))
+
+
+ORACLES["data_dictionary_lookup"] = f"""
+WITH {DICTIONARY}
+SELECT c_custkey, CAST(c_nationkey AS VARCHAR) AS c_nationkey, meaning AS c_nationkey_meaning
+FROM customer LEFT JOIN d ON "column" = 'c_nationkey' AND code = CAST(c_nationkey AS VARCHAR)"""
