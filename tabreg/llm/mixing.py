@@ -1,13 +1,17 @@
 """Temperature mixing of sources, in DataFrame functions only.
 
-A source's share of all tokens is raised to an exponent between 0 (all
-sources alike) and 1 (as they are) and normalised. The exponent is bisected
-on aggregates of the source table: the smallest one whose mixture has at most
-the target entropy and repeats no source more than ``max_repeats`` times
-within the budget. With both limits the exponent is the larger of the two they
-need. A target below the entropy of the sources as they are is out of reach: the
-exponent is 1, the sources stay as they are, and a warning says so.
-``halfway_entropy`` gives a target within reach of any sources that differ.
+A source's share of all tokens is raised to an exponent, 0 for all sources
+alike, 1 as they are, and normalised. The exponent is bisected on aggregates of
+the source table: the smallest one whose mixture has at most the target entropy
+and repeats no source more than ``max_repeats`` times within the budget. A
+target below the entropy of the sources as they are is out of reach: the
+exponent is 1, the sources stay as they are, and a warning says so. With
+``most`` above 1 such a target is met too, by an exponent of at most ``most``
+that favours the large sources. Those repeat more as it grows; where that
+meets the repetition limit first, the largest exponent within the limit is
+taken, with the warning.
+``halfway_entropy`` (target ``HALFWAY``) gives a target within reach of any
+sources that differ, with an exponent below 1.
 
 The weights are realised as budgeted block permutations. A source's documents
 are hashed to blocks of about the square root of its size; every pass over
@@ -32,6 +36,7 @@ from pyspark.sql import functions as F
 from tabreg.llm.common import ASCII_SPACE, free_name, stored, text_or_empty
 
 WAYS = 16  # an interval of exponents is cut in so many parts a round
+HALFWAY = "halfway"
 
 
 def word_count(text: Column) -> Column:
@@ -46,7 +51,7 @@ def source_table(rows: DataFrame) -> DataFrame:
 
 
 def fit_exponent(sources: DataFrame, budget: float | None = None, target_entropy: float | None = None,
-                 max_repeats: float | None = None, tolerance: float = 1e-9) -> tuple[float, float]:
+                 max_repeats: float | None = None, tolerance: float = 1e-9, most: float = 1.0) -> tuple[float, float]:
     """(exponent, normaliser Z): weights are share ** exponent / Z.
 
     ``target_entropy`` is a part of the largest one, ln(number of sources).
@@ -70,25 +75,42 @@ def fit_exponent(sources: DataFrame, budget: float | None = None, target_entropy
             out.append((z, math.log(z) - a * sums[f"l{i}"] / z, (budget or t) / t * sums[f"r{i}"] / z))
         return out
 
-    def meets(x: tuple[float, float, float]) -> bool:
-        flat = target_entropy is None or x[1] <= target_entropy * math.log(n) + 1e-12
-        return flat and (max_repeats is None or x[2] <= max_repeats * (1 + 1e-12))
+    def flat(x: tuple[float, float, float]) -> bool:
+        return target_entropy is None or x[1] <= target_entropy * math.log(n) + 1e-12
 
-    low, high = 0.0, 1.0
-    zero = state([0.0])[0]
-    if meets(zero):
+    def spared(x: tuple[float, float, float]) -> bool:
+        return max_repeats is None or x[2] <= max_repeats * (1 + 1e-12)
+
+    def first(low: float, high: float, holds) -> float:
+        """The least exponent that holds, of an interval at whose end it does;
+        what holds goes on to hold as the exponent grows."""
+        while high - low > tolerance:
+            inner = [low + (high - low) * i / WAYS for i in range(1, WAYS)]
+            done = [holds(x) for x in state(inner)]
+            i = done.index(True) if True in done else len(inner)
+            low, high = ([low] + inner)[i], (inner + [high])[i]
+        return high
+
+    zero, one = state([0.0, 1.0])
+    if flat(zero) and spared(zero):
         return 0.0, zero[0]
-    while high - low > tolerance:
-        inner = [low + (high - low) * i / WAYS for i in range(1, WAYS)]
-        done = [meets(x) for x in state(inner)]
-        # what is met stays met as the exponent grows
-        i = done.index(True) if True in done else len(inner)
-        low, high = ([low] + inner)[i], (inner + [high])[i]
-    last = state([high])[0]
-    if not meets(last):
+    # up to 1 a smaller exponent repeats the small sources more, beyond 1 a larger one the large ones
+    if flat(one) and spared(one):
+        exponent, reached = first(0.0, 1.0, lambda x: flat(x) and spared(x)), True
+    elif not spared(one):
+        exponent, reached = 1.0, False
+    else:
+        widest = sources.agg(F.max(share)).first()[0]
+        if widest < 1:  # powers stay above the least double
+            most = max(1.0, min(most, -290.0 / math.log10(widest)))
+        reached = most > 1 and flat(state([most])[0])
+        exponent = first(1.0, most, flat) if reached else most
+        if not spared(state([exponent])[0]):
+            exponent, reached = first(1.0, exponent, lambda x: not spared(x)) - 2 * tolerance, False
+    if not reached:
         warnings.warn(f"mixing: the limits (entropy {target_entropy}, repeats {max_repeats}) are out of reach; "
-                      "the sources stay as they are", stacklevel=2)
-    return high, last[0]
+                      + ("the sources stay as they are" if exponent == 1 else f"the exponent is {exponent:.6g}"), stacklevel=2)
+    return exponent, state([exponent])[0][0]
 
 
 def halfway_entropy(sources: DataFrame) -> float:
@@ -119,19 +141,24 @@ def weights(sources: DataFrame, exponent: float, z: float, budget: float | None)
     return out.withColumn("epochs", epochs).withColumn("quota", epochs * F.col("tokens"))
 
 
-def schedule(rows: DataFrame, budget: float | None = None, target_entropy: float | None = None,
-             max_repeats: float | None = None, seed: int = 7, budget_epochs: float | None = None) -> DataFrame:
+def schedule(rows: DataFrame, budget: float | None = None, target_entropy: float | str | None = None,
+             max_repeats: float | None = None, seed: int = 7, budget_epochs: float | None = None,
+             most: float = 1.0) -> DataFrame:
     """(id, source, tokens) -> one row for each drawn copy: id, source, tokens,
     weight, epochs, pass_no, block, place.
 
-    ``budget_epochs`` gives the budget as a multiple of all tokens. ``place`` (0 to 1) is where the copy's block begins in the run: sorted by
-    it, the sources interleave at their weights all along.
+    ``budget_epochs`` gives the budget as a multiple of all tokens, the target
+    ``HALFWAY`` stands for ``halfway_entropy``. ``place`` (0 to 1) is where the
+    copy's block begins in the run: sorted by it, the sources interleave at
+    their weights all along.
     """
     rows = stored(rows, "mix-rows")
     sources = stored(source_table(rows), "mix-sources")
     if budget_epochs is not None:
         budget = budget_epochs * (sources.agg(F.sum("tokens").cast("double")).first()[0] or 0.0)
-    exponent, z = fit_exponent(sources, budget, target_entropy, max_repeats)
+    if target_entropy == HALFWAY:
+        target_entropy = halfway_entropy(sources)
+    exponent, z = fit_exponent(sources, budget, target_entropy, max_repeats, most=most)
     plan = stored(weights(sources, exponent, z, budget).withColumn(
         "n_blocks", F.ceil(F.sqrt("n_docs"))), "mix-plan").withColumnRenamed("source", "p_source")
 
@@ -169,12 +196,13 @@ def rows_of(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
                        word_count(text_or_empty(text_col)).alias("tokens"))
 
 
-def mixed_documents(docs: DataFrame, budget: float | None = None, target_entropy: float | None = None,
+def mixed_documents(docs: DataFrame, budget: float | None = None, target_entropy: float | str | None = None,
                     max_repeats: float | None = None, id_col: str = "doc_id", source_col: str = "source",
-                    text_col: str = "text", seed: int = 7, budget_epochs: float | None = None) -> DataFrame:
+                    text_col: str = "text", seed: int = 7, budget_epochs: float | None = None,
+                    most: float = 1.0) -> DataFrame:
     """The mixture as rows of ``docs`` with all their columns, one for each copy."""
     drawn = schedule(rows_of(docs, id_col, source_col, text_col), budget, target_entropy, max_repeats, seed,
-                     budget_epochs)
+                     budget_epochs, most)
     copies = drawn.groupBy(F.col("id").alias("m_id"), F.col("source").alias("m_source"),
                            F.col("tokens").alias("m_tokens")).agg(F.count("*").alias("m_copies"))
     tokens, again = free_name(docs, "_tokens"), free_name(docs, "_again")
