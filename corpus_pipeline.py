@@ -9,8 +9,9 @@ is written as Parquet in the shared folder before the next one reads it.
 3. near: of documents linked by SimHash (4-word shingles, at most 4 bits) that
    of the smallest id stays,
 4. mix: sources are drawn to flattened weights. The budget is all tokens that
-   are left; the exponent meets 95 % of the largest entropy and repeats no
-   source more than twice, so a tiny source shrinks no other,
+   are left; the exponent meets an entropy halfway from that of the sources to
+   the largest and repeats no source more than twice, so a tiny source shrinks
+   no other, and sources of any kind are reweighted,
 5. pack: pieces of at most 2048 tokens, best fit, in training sequences.
 """
 
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from tabreg.llm import exact_dedup, langid, mixing, packing, queries, simhash
 from tabreg.llm.common import stored, table
 
-TARGET_ENTROPY = 0.95
+TARGET_ENTROPY = mixing.HALFWAY
 #: The mixture's tokens as a multiple of those that are left.
 BUDGET_EPOCHS = 1.0
 #: The tokeniser's cache beside executors that still hold the earlier stages' heap.
