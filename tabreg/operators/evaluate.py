@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabreg.functions.rowwise import abs_error, least_of
+from tabreg.functions.scan import running_aggregate
 from tabreg.operators.profile import box_summary, histogram
 
 
@@ -70,6 +71,23 @@ def leaderboard(metric_frame: DataFrame, fit_seconds: DataFrame | None = None,
     return out.withColumn("rank", F.rank().over(Window.orderBy("rmse", "model")))
 
 
+def trade_off(rows: DataFrame, cost: str, error: str) -> DataFrame:
+    """The rows that no other beats on both criteria, smaller is better.
+
+    A row is beaten by one with at most its cost and at most its error, less in
+    one of them; equal rows stay together. Each cost's least error, in order
+    of cost, counts where it lowers the running minimum (a distributed scan,
+    no pairs of rows). Rows without a cost or an error are left out.
+    """
+    both = rows.filter(F.col(cost).isNotNull() & F.col(error).isNotNull() & ~F.isnan(F.col(cost).cast("double"))
+                       & ~F.isnan(F.col(error).cast("double")))
+    steps = both.groupBy(F.col(cost).alias("__cost")).agg(F.min(error).alias("__error")).withColumn("__all", F.lit(0))
+    front = running_aggregate(steps, ["__all"], ["__cost"], "argmin", value="__error", out="__best", at_col="__at")
+    # a cost that only equals the minimum so far keeps the earlier, cheaper place
+    front = front.filter(F.col("__at") == F.col("__cost")).select("__cost", "__error")
+    return both.join(front, (F.col(cost) == F.col("__cost")) & (F.col(error) == F.col("__error"))).drop("__cost", "__error")
+
+
 def actual_vs_predicted(df: DataFrame, key: Sequence[str], label: str, pred: str) -> DataFrame:
     """Scatter points, keyed."""
     return df.select(*key, F.col(label).alias("actual"), F.col(pred).alias("predicted"))

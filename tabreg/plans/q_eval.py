@@ -289,3 +289,50 @@ def constant_feature_names(spark, sf):
 ORACLES["constant_feature_names"] = f"""
 WITH {PREDICTORS} SELECT l_orderkey, l_linenumber,
 'Feature ' || CAST(l_linenumber - 1 AS VARCHAR) AS feature FROM pc"""
+
+# ------------------------------------------------------------------ trade-off (E15), mergeable profiles
+
+
+@q("model_trade_off")
+def model_trade_off(spark, sf):
+    """Of all orders' estimates by ``p_b``, those that no other beats in
+    both cost (lines read) and error (mean absolute, in whole cents)."""
+    per = predictor_columns(spark, sf).groupBy("l_orderkey").agg(
+        F.sum("l_linenumber").alias("cost"), F.round(F.avg(F.abs(F.col("label") - F.col("p_b"))), 2).alias("error"))
+    return E.trade_off(per, "cost", "error")
+
+
+ORACLES["model_trade_off"] = f"""
+WITH {PREDICTORS},
+g AS (SELECT l_orderkey, sum(l_linenumber)::BIGINT AS cost, round(avg(abs(label - p_b)), 2) AS error FROM pc GROUP BY l_orderkey)
+SELECT * FROM g WHERE NOT EXISTS (
+  SELECT 1 FROM g o WHERE o.cost <= g.cost AND o.error <= g.error AND (o.cost < g.cost OR o.error < g.error))"""
+
+SKETCHED = ["l_orderkey", "l_linenumber", "label"]
+
+
+@q("profile_sketch")
+def profile_sketch(spark, sf):
+    """Two parts' states merged; the estimates beside the stated error bounds."""
+    from tabreg.operators import sketch as S
+    df = predictor_columns(spark, sf).select(*SKETCHED)
+    part = [S.profile_state(df.filter(F.col("l_orderkey") % 2 == d), SKETCHED) for d in range(2)]
+    rows = S.profile_of(S.merged(*part), [0.5]).collect()  # one row a column
+    exact = df.agg(*[x for r in rows for x in (
+        F.count_distinct(r["column"]).alias(f"n_{r['column']}"),
+        # the ranks that the estimate's copies take
+        F.avg((F.col(r["column"]) < r["quantiles"][0]).cast("double")).alias(f"lo_{r['column']}"),
+        F.avg((F.col(r["column"]) <= r["quantiles"][0]).cast("double")).alias(f"hi_{r['column']}"))])
+    checks = F.array(*[F.struct(
+        F.lit(r["column"]).alias("column"), F.lit(r["n_rows"]).alias("n_rows"), F.lit(r["null_ratio"]).alias("null_ratio"),
+        F.round(F.lit(r["low"]), 6).alias("low"), F.round(F.lit(r["high"]), 6).alias("high"), F.round(F.lit(r["mean"]), 6).alias("mean"),
+        (F.abs(r["n_distinct"] / F.col(f"n_{r['column']}") - 1) <= 4 * S.distinct_error()).alias("distinct_within"),
+        ((F.col(f"lo_{r['column']}") <= 0.5 + S.rank_error()) & (F.col(f"hi_{r['column']}") >= 0.5 - S.rank_error()))
+        .alias("median_within")) for r in rows])
+    return exact.select(F.inline(checks))
+
+
+ORACLES["profile_sketch"] = f"WITH {PREDICTORS} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) AS n_rows, 0.0::DOUBLE AS null_ratio, round(min({c})::DOUBLE, 6) AS low, "
+    f"round(max({c})::DOUBLE, 6) AS high, round(avg({c}), 6) AS mean, true AS distinct_within, true AS median_within FROM pc"
+    for c in SKETCHED)
