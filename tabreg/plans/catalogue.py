@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_FAMILIES = ["q_profile", "q_prep", "q_models", "q_eval", "q_tune", "q_frames", "q_encode"]
+_FAMILIES = ["q_profile", "q_prep", "q_models", "q_eval", "q_tune", "q_frames", "q_encode", "q_closed"]
 
 
 def _load():
