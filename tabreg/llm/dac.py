@@ -86,6 +86,20 @@ class Segment:
             i = int(ranks[lo]) + int(before[:i - lo * RANK_BITS].sum())
         return value
 
+    def tokens_at(self, places: np.ndarray) -> np.ndarray:
+        """The ids at some places; only the 64 bytes of each rank block are read."""
+        out, rest, at = np.zeros(len(places), np.int64), np.arange(len(places)), np.asarray(places, np.int64)
+        for k, (chunks, bits, ranks) in enumerate(self.levels):
+            out[rest] |= chunks[at].astype(np.int64) << (8 * k)
+            on = (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+            rest, at = rest[on], at[on]
+            block, size = at // RANK_BITS, RANK_BITS // 8
+            whole = np.minimum(block[:, None] * size + np.arange(size), len(bits) - 1)
+            before = np.unpackbits(bits[whole], axis=1, bitorder="little").cumsum(1, dtype=np.int64)
+            inside = at - block * RANK_BITS
+            at = ranks[block] + np.where(inside > 0, before[np.arange(len(at)), np.maximum(inside - 1, 0)], 0)
+        return out
+
     def tokens(self) -> np.ndarray:
         """All ids of the segment, level by level."""
         out = None
@@ -177,20 +191,27 @@ def read_documents(spark, path: str) -> DataFrame:
 
 
 def read_tokens(spark, path: str, places: DataFrame) -> DataFrame:
-    """Random access: (part, seg, place) -> with ``token``, the id at that
-    place of the segment."""
+    """Random access: (part, seg, place) -> with ``token``, the id at that place
+    of the segment; null where the segment has no such place.
+
+    The different places of a segment, at most as many as it has ids, meet its
+    bytes as one row: bytes are read once a segment, not once a place.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[bytes, Segment] = {}
-            parts, segs, spots, datas = (batch.column(i).to_pylist() for i in range(4))
-            got = []
-            for spot, data in zip(spots, datas):
-                if data not in seen:
-                    seen = {data: Segment(data)}
-                got.append(seen[data].token(spot))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(got, pa.int64())], names=["part", "seg", "place", "token"])
-
-    return (places.select("part", "seg", "place").join(segments(spark, path), ["part", "seg"])
-            .select("part", "seg", "place", "data").sortWithinPartitions("part", "seg")
-            .mapInArrow(run, "part int, seg int, place long, token long"))
+            for part, seg, spots, data in zip(*(batch.column(i) for i in range(4))):
+                own, segment = np.asarray(spots.values), Segment(data.as_py())
+                for lo in range(0, len(own), 4096):
+                    some = own[lo:lo + 4096]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([part.as_py()] * len(some), pa.int32()), pa.array([seg.as_py()] * len(some), pa.int32()),
+                         pa.array(some, pa.int64()), pa.array(segment.tokens_at(some), pa.int64())],
+                        names=["part", "seg", "place", "token"])
+
+    place = ["part", "seg"]
+    asked = places.select(*[F.col(c).cast("int").alias(c) for c in place], F.col("place").cast("long").alias("place"))
+    written = segments(spark, path)
+    known = asked.distinct().join(written.select(*place, "n_ids"), place).filter("place >= 0 AND place < n_ids")
+    found = (known.groupBy(*place).agg(F.collect_list("place").alias("places")).join(written, place)
+             .select(*place, "places", "data").mapInArrow(run, "part int, seg int, place long, token long"))
+    return asked.join(found, [*place, "place"], "left")
