@@ -79,11 +79,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = stored(found.withColumn("row", F.monotonically_increasing_id())
                    .withColumn("best", F.col("id").eqNullSafe(F.col("keep_id"))
                                & (F.col("n") == F.col("keep_n"))), "dedup-rows")
-    first = (found.filter("best").groupBy("digest", "content_no")
-             .agg(F.min("row").alias("first_row")))
-    return found.join(first, ["digest", "content_no"]).select(
-        "id", "n", "digest", "content_no", "keep_id", "group_size",
-        (F.col("row") == F.col("first_row")).alias("kept"))
+    # only rows that repeat the winner compete for its place: few of a group, so a
+    # hot text's other rows go nowhere again
+    best = found.filter("best")
+    first = best.groupBy("digest", "content_no").agg(F.min("row").alias("first_row"))
+    chosen = best.join(first, ["digest", "content_no"])
+    columns = ["id", "n", "digest", "content_no", "keep_id", "group_size"]
+    return found.filter("NOT best").select(*columns, F.lit(False).alias("kept")).unionByName(
+        chosen.select(*columns, (F.col("row") == F.col("first_row")).alias("kept")))
 
 
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -100,17 +103,20 @@ def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     own = docs.withColumns({
         names["n"]: F.length(text),
         names["digest"]: _sha256(F.regexp_replace(text, f"{ASCII_SPACE}+", ""))})
+    rest = [c for c, kind in docs.dtypes if not kind.startswith("map") and "map<" not in kind and c != text_col]
     hit = own.join(kept, own[id_col].eqNullSafe(kept["k_id"])
                    & (own[names["n"]] == kept["k_n"])
                    & (own[names["digest"]] == kept["k_digest"]), "left_semi")
-    return one_row_each(hit, [id_col, names["n"], names["digest"]]).select(
+    # of those that differ in white space or in other columns the same one on every run
+    return one_row_each(hit, [id_col, names["n"], names["digest"]], [
+        F.col(f"`{text_col}`"), F.xxhash64(F.lit(0), *[F.col(f"`{c}`") for c in rest])]).select(
         *[hit[f"`{c}`"] for c in docs.columns])
 
 
-def one_row_each(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One of the rows that share ``keys``, with its columns whole; the rows
-    that share them are few (repeated rows of one document)."""
+def one_row_each(df: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """The first in ``order`` of the rows that share ``keys``, with its columns whole;
+    the rows that share them are few (repeated rows of one document)."""
     from pyspark.sql import Window
     rank = free_name(df, "_rank")
-    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(F.lit(0))
+    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*(order or [F.lit(0)]))
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) == 1).drop(rank)
