@@ -174,15 +174,19 @@ def fit(rows: DataFrame, sample_docs: int = 300, hidden: int = 8, steps: int = 1
         seed: int = 1) -> BiGru | None:
     """Trains on ``sample_docs`` documents of each ``lang`` (the bound of what
     the driver sees), each with ``SAMPLE_WINDOWS`` windows."""
-    # first of each 32nd of a language, then of the language: no task holds all of one
-    part = Window.partitionBy("lang", "part").orderBy("h", "id")
+    # hashes below a bound that half as many again of a language should pass: a filter
+    # without any shuffle leaves so few rows that they can be ranked
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not counts:
+        return None
+    enough = 1.5 * sample_docs + 200
+    bound = F.element_at(F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (
+        lang, float("inf") if n <= enough else 2.0 ** 64 * enough / n - 2.0 ** 63)]), F.col("lang"))
     rank = Window.partitionBy("lang").orderBy("h", "id")
-    chosen = (rows.select("lang", "id", F.xxhash64("id", F.lit(seed)).alias("h"),
-                          *[F.substring(F.col("text"), (1 + F.pmod(F.xxhash64("id", F.lit(i)), F.greatest(
-                              F.length("text") - WINDOW + 1, F.lit(1)))).cast("int"), F.lit(WINDOW)).alias(f"w{i}")
-                            for i in range(SAMPLE_WINDOWS)])
-              .withColumn("part", F.pmod("h", F.lit(32)))
-              .withColumn("rank", F.row_number().over(part)).filter(F.col("rank") <= sample_docs)
+    chosen = (rows.withColumn("h", F.xxhash64("id", F.lit(seed))).filter(F.col("h") < bound)
+              .select("lang", "id", "h", *[F.substring(F.col("text"), (1 + F.pmod(F.xxhash64("id", F.lit(i)), F.greatest(
+                  F.length("text") - WINDOW + 1, F.lit(1)))).cast("int"), F.lit(WINDOW)).alias(f"w{i}")
+                  for i in range(SAMPLE_WINDOWS)])
               .withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= sample_docs))
     got = chosen.orderBy("lang", "rank").collect()
     languages = sorted({r["lang"] for r in got})
