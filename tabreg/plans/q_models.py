@@ -151,7 +151,7 @@ def _fit_predict(name, build):
 _fit_predict("decision_tree", lambda: M.decision_tree(max_depth=5))
 _fit_predict("random_forest", lambda: M.random_forest(num_trees=100, max_depth=5))
 _fit_predict("bagging", lambda: M.bagging_trees(n_estimators=50, max_depth=5))
-_fit_predict("gbt_classic", lambda: M.gbt("classic", n_estimators=10))
+_fit_predict("gbt_classic", lambda: M.gbt("classic"))  # 100 rounds
 _fit_predict("gbt_depthwise", lambda: M.gbt("depthwise", n_estimators=10, max_depth=4))
 _fit_predict("gbt_histogram", lambda: M.gbt("histogram", n_estimators=10, max_depth=4))
 _fit_predict("gbt_binned", lambda: M.gbt("binned", iterations=10, depth=4, border_count=64))
@@ -161,7 +161,7 @@ _fit_predict("gbt_binned", lambda: M.gbt("binned", iterations=10, depth=4, borde
 def bagging_generic(spark, sf):
     """M7 with a non-tree base learner: OLS members on bootstrap samples."""
     train, test = _li_split(spark, sf)
-    bag = M.bagging(M.linear_regression(), train, KEY, n_estimators=10)
+    bag = M.bagging(M.linear_regression(), train, KEY, n_estimators=50)
     return M.predict(bag, test, "prediction").select(*KEY, "label", "prediction")
 
 
@@ -185,7 +185,7 @@ def feature_importance(spark, sf):
     train, _ = _li_split(spark, sf)
     names = M.slot_names(train)
     train = persist_for_passes(train)
-    builds = {"random_forest": M.random_forest(20, 5),
+    builds = {"random_forest": M.random_forest(100, 5),
               "gbt_depthwise": M.gbt("depthwise", n_estimators=10, max_depth=4),
               "linear_regression": M.linear_regression()}
     try:
@@ -360,7 +360,7 @@ def model_leaderboard(spark, sf):
     train, test = _li_split(spark, sf)
     builds = {"linear_regression": M.linear_regression(),
               "decision_tree": M.decision_tree(5),
-              "random_forest": M.random_forest(10, 4)}
+              "random_forest": M.random_forest(100, 5)}
     fitted, seconds = {}, []
     cached = persist_for_passes(train)
     for name, est in builds.items():

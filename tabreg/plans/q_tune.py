@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from tabreg.functions.hashing import hash_bucket
 from tabreg.operators import models as M
 from tabreg.operators import tune as H
 from tabreg.operators.prep import three_way_split, with_kfold
@@ -202,8 +203,8 @@ def refit_best(spark, sf):
     """H4: best parameters re-fitted on train+validation, scored on test."""
     df = _li_three_way(spark, sf)
     trials = H.random_search(spark, _tree, TREE_SPACE, df.filter("split = 'train'"),
-                             df.filter("split = 'val'"), n_trials=3, metric="mse",
-                             direction="minimize", parallelism=3)
+                             df.filter("split = 'val'"), n_trials=30, metric="mse",
+                             direction="minimize", parallelism=4)
     model = H.refit_best(_tree, trials, df.filter("split <> 'test'"), "minimize")
     return M.predict(model, df.filter("split = 'test'"), "prediction").select(
         *KEY, "label", "prediction")
@@ -213,7 +214,11 @@ def refit_best(spark, sf):
 def early_stopped_boosting(spark, sf):
     """M11 + W2: boosting with an evaluation set that ends when patience runs
     out. The kept model's own validation error stands beside its best round."""
-    df = _li_three_way(spark, sf)
+    # noise by a hash of the key: from some round on more trees fit it, and validation gets no better
+    noise = 200.0 * (hash_bucket(KEY, 100, "noise") - 50)
+    li = VectorAssembler(inputCols=LI_FEATURES, outputCol="features").transform(
+        lineitem_net(spark, sf)).withColumn("label", F.col("net") + noise)
+    df = three_way_split(li, KEY)
     val = df.filter("split = 'val'")
     model, _, stop = H.fit_early_stopped(
         spark, M.gbt("binned", iterations=STOPPED_ROUNDS, depth=4, learning_rate=0.5, border_count=64),
