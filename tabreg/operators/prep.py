@@ -121,15 +121,18 @@ def _categories_from_pairs(df: DataFrame, cols: Sequence[str], pairs: DataFrame,
     return out
 
 
-def _fit_literals_and_tables(df: DataFrame, cols: Sequence[str], max_categories: int,
-                             ) -> tuple[dict[str, list], dict[str, Dictionary]]:
-    """Category lists of the columns that fit in literals, dictionaries of the others."""
+def _fit_literals_and_tables(df: DataFrame, cols: Sequence[str], max_categories: int | None,
+                             literals: int) -> tuple[dict[str, list], dict[str, Dictionary]]:
+    """Category lists of the columns of at most ``literals`` values, dictionaries
+    of the others; more than ``max_categories``, where given, are an error."""
     try:
-        return fit_categories(df, cols, max_categories), {}
+        return fit_categories(df, cols, literals if max_categories is None else max_categories), {}
     except TooManyCategories:
+        if max_categories is not None:
+            raise
         fitted = fit_dictionaries(df, cols)
     small = {c: [r["value"] for r in d.table.orderBy("code").collect()]
-             for c, d in fitted.items() if d.size <= max_categories}
+             for c, d in fitted.items() if d.size <= literals}
     return small, {c: d for c, d in fitted.items() if c not in small}
 
 
@@ -202,14 +205,19 @@ class OneHotModel:
 
 @dataclass
 class OneHotEncoder:
-    """F4 (``handle_unknown='ignore'``: unseen -> all zeros) and F5 (``drop_first``)."""
+    """F4 (``handle_unknown='ignore'``: unseen -> all zeros) and F5 (``drop_first``).
+
+    A column of more than ``literals`` values is encoded by a dictionary table,
+    as one sparse vector column; ``max_categories``, where given, is a limit.
+    """
     cols: Sequence[str]
     drop_first: bool = False
     handle_unknown: str = "ignore"
-    max_categories: int = MAX_CATEGORIES
+    max_categories: int | None = None
+    literals: int = MAX_CATEGORIES
 
     def fit(self, df: DataFrame) -> OneHotModel:
-        lists, tables = _fit_literals_and_tables(df, self.cols, self.max_categories)
+        lists, tables = _fit_literals_and_tables(df, self.cols, self.max_categories, self.literals)
         return OneHotModel(lists, self.drop_first, self.handle_unknown, tables)
 
 
@@ -268,14 +276,17 @@ class OrdinalEncoder:
     """F6 with explicit orders keyed by column name (never by position).
 
     With ``orders=None`` per column it becomes F7, label encoding by the
-    sorted distinct values fitted on the training frame.
+    sorted distinct values fitted on the training frame: literals for at most
+    ``literals`` values, else a dictionary table. ``max_categories``, where
+    given, is a limit.
     """
     orders: Mapping[str, Sequence[Any] | None]
-    max_categories: int = MAX_CATEGORIES
+    max_categories: int | None = None
+    literals: int = MAX_CATEGORIES
 
     def fit(self, df: DataFrame) -> OrdinalModel:
         auto = [c for c, o in self.orders.items() if o is None]
-        fitted, tables = _fit_literals_and_tables(df, auto, self.max_categories) if auto else ({}, {})
+        fitted, tables = _fit_literals_and_tables(df, auto, self.max_categories, self.literals) if auto else ({}, {})
         return OrdinalModel({c: (list(o) if o is not None
                                  else [v for v in fitted[c] if v is not None])
                              for c, o in self.orders.items() if c not in tables}, tables)

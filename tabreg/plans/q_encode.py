@@ -67,7 +67,7 @@ SELECT 'order_text', v, dense_rank() OVER (ORDER BY v NULLS LAST) - 1, n FROM t"
 @q("label_encode_dictionary")
 def label_encode_dictionary(spark, sf):
     train, rows = _split(spark, sf)
-    model = R.OrdinalEncoder({"order_code": None, "order_text": None}, max_categories=LITERALS).fit(train)
+    model = R.OrdinalEncoder({"order_code": None, "order_text": None}, literals=LITERALS).fit(train)
     return model.transform(rows)
 
 

@@ -76,7 +76,7 @@ def test_encoders_go_on_with_a_table(spark):
     rng = random.Random(1)
     rows = [(i, rng.choice([None, *map(str, range(40))]), rng.choice("ab")) for i in range(500)]
     df = spark.createDataFrame(rows, "id long, many string, few string")
-    small, big = (R.OrdinalEncoder({"many": None, "few": None}, max_categories=m).fit(df) for m in (1000, 10))
+    small, big = (R.OrdinalEncoder({"many": None, "few": None}, literals=m).fit(df) for m in (1000, 10))
     assert not small.tables and set(big.tables) == {"many"}
     key = lambda m: sorted(map(tuple, m.transform(df).select("id", "many", "few").collect()))
     assert key(small) == key(big)
@@ -85,7 +85,7 @@ def test_encoders_go_on_with_a_table(spark):
 
     for drop in (False, True):
         wide = R.OneHotEncoder(["many", "few"], drop_first=drop).fit(df)
-        table = R.OneHotEncoder(["many", "few"], drop_first=drop, max_categories=10).fit(df)
+        table = R.OneHotEncoder(["many", "few"], drop_first=drop, literals=10).fit(df)
         names = [n for n in wide.output_columns() if n.startswith("many_")]
         want = {r["id"]: [r[n] for n in names] for r in wide.transform(df).collect()}
         got = table.transform(df)
@@ -95,9 +95,9 @@ def test_encoders_go_on_with_a_table(spark):
         assert [slots[i] for i in range(len(slots))] == names
 
     unseen = spark.createDataFrame([(0, "never", "a")], "id long, many string, few string")
-    assert R.OneHotEncoder(["many"], max_categories=10).fit(df).transform(unseen).first()["many_onehot"].numNonzeros() == 0
+    assert R.OneHotEncoder(["many"], literals=10).fit(df).transform(unseen).first()["many_onehot"].numNonzeros() == 0
     with pytest.raises(Exception, match="unknown category"):
-        R.OneHotEncoder(["many"], handle_unknown="error", max_categories=10).fit(df).transform(unseen).collect()
+        R.OneHotEncoder(["many"], handle_unknown="error", literals=10).fit(df).transform(unseen).collect()
 
 
 # --- inference ------------------------------------------------------------
