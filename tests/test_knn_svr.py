@@ -105,15 +105,15 @@ def test_fourier_features_approximate_the_kernel():
 
 def test_kernel_svr_beats_linear_on_a_ring(spark):
     rng = np.random.default_rng(6)
-    x = rng.uniform(-2, 2, (3000, 2))
-    y = 10 * np.exp(-8 * (np.hypot(*x.T) - 1.2) ** 2) + rng.normal(0, 0.1, 3000)
+    x = rng.uniform(-2, 2, (1500, 2))
+    y = 10 * np.exp(-8 * (np.hypot(*x.T) - 1.2) ** 2) + rng.normal(0, 0.1, 1500)
     df = spark.createDataFrame([(float(a), float(b), float(c)) for (a, b), c in zip(x, y)], "a double, b double, y double")
     rmse = lambda m, f: f(m).transform(df).select(F.sqrt(F.avg((F.col("prediction") - F.col("y")) ** 2))).first()[0]
     linear = rmse(M.fit_linear_svr(df, ["a", "b"], "y"), lambda m: m)
-    model = M.fit_kernel_svr(df, ["a", "b"], "y", C=100.0, n_features=300, gamma=3.0)
+    model = M.fit_kernel_svr(df, ["a", "b"], "y", C=100.0, n_features=160, gamma=3.0)
     assert model.converged and rmse(model, lambda m: m) < 0.35 * linear
     # the same model on any partitioning, nulls have no prediction
-    again = M.fit_kernel_svr(df.repartition(5), ["a", "b"], "y", C=100.0, n_features=300, gamma=3.0)
+    again = M.fit_kernel_svr(df.repartition(5), ["a", "b"], "y", C=100.0, n_features=160, gamma=3.0)
     assert np.allclose(again.theta, model.theta, atol=0.02)
     odd = spark.createDataFrame([(None, 1.0), (0.5, 1.0)], "a double, b double")
     assert [r["prediction"] is None for r in model.transform(odd).collect()] == [True, False]
