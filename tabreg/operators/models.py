@@ -296,11 +296,18 @@ class FourierFeatures:
         self.phases = rng.uniform(0.0, 2.0 * math.pi, self.n)
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
-        return math.sqrt(2.0 / self.n) * np.cos(x @ self.directions + self.phases)
+        out = x @ self.directions
+        out += self.phases
+        np.cos(out, out=out)
+        out *= math.sqrt(2.0 / self.n)
+        return out
 
 
 #: Rows that a task lifts at once.
 _LIFT_ROWS = 4096
+#: Rows on which a fit of more than ten times as many finds its first point. The
+#: steps from there, and the test of convergence, are on all rows.
+_START_ROWS = 100_000
 
 
 def _svr_sums(data: DataFrame, center: np.ndarray, scale: np.ndarray, theta: np.ndarray,
@@ -317,8 +324,8 @@ def _svr_sums(data: DataFrame, center: np.ndarray, scale: np.ndarray, theta: np.
         total = np.zeros(2 + (k + 1) + (k + 1) ** 2)
         for pdf in (b.iloc[i:i + _LIFT_ROWS] for b in batches for i in range(0, len(b), _LIFT_ROWS)):
             m = (pdf.to_numpy(np.float64) - center) / scale
-            x = m[:, :-1] if lift is None else lift(m[:, :-1])
-            x = np.hstack([x, np.ones((len(m), 1))])
+            x = np.ones((len(m), k + 1))
+            x[:, :-1] = m[:, :-1] if lift is None else lift(m[:, :-1])
             r = m[:, -1] - x @ theta
             d = np.abs(r) - eps
             slope = np.clip(d / mu, 0, 1)
@@ -346,7 +353,9 @@ def fit_linear_svr(df: DataFrame, feature_cols: Sequence[str], label: str,
     changes the objective by ``mu / 2`` at most. Damped Newton steps (one pass
     each over the persisted input, k^2 numbers to the driver) solve for one
     ``mu``, then ``mu`` is quartered, until the rounding is below ``tol`` times
-    the objective. Rows with a null feature or label are left out. A fit that
+    the objective. A large input is first solved on ``_START_ROWS`` of its rows
+    (loss on those, scaling and penalty of all): the passes over all rows start
+    near their solution. Rows with a null feature or label are left out. A fit that
     needs more than ``max_iter`` passes warns and has ``converged`` false.
     """
     cols = list(feature_cols)
@@ -420,34 +429,22 @@ def _fit_svr(df: DataFrame, cols: list[str], label: str, epsilon: float, C: floa
         penalty = np.full(k + 1, 1.0 / (C * n))
         penalty[k] = 0.0
 
-        def at(theta, mu):
-            exact, smooth, g, h = _svr_sums(data, center, scale, theta, eps, mu, lift)
-            own = 0.5 * float(penalty @ (theta * theta))
-            return exact / n + own, smooth / n + own, g / n + penalty * theta, h / n + np.diag(penalty)
-
-        theta, mu, damping, passes, converged = np.zeros(k + 1), 1.0, 1e-8, 1, False
-        exact, smooth, g, h = at(theta, mu)
-        best = (exact, theta)
-        while passes < max_iter:
-            step = np.linalg.solve(h + damping * np.eye(k + 1), -g)
-            gain = -0.5 * float(g @ step)
-            if gain <= 0.1 * tol * smooth or damping > 1e8:
-                if mu <= tol * exact or exact <= 1e-12:
-                    converged = True
-                    break
-                mu, damping = mu / 4, max(damping / 100, 1e-8)
-                exact, smooth, g, h = at(theta, mu)
-                passes += 1
-                continue
-            new = at(theta + step, mu)
-            passes += 1
-            if new[1] < smooth - 1e-4 * gain:
-                theta, damping = theta + step, max(damping / 10, 1e-8)
-                exact, smooth, g, h = new
-                if exact < best[0]:
-                    best = (exact, theta)
-            else:
-                damping = max(damping * 10, 1e-6)
+        def on(rows, count):
+            def at(theta, mu):
+                exact, smooth, g, h = _svr_sums(rows, center, scale, theta, eps, mu, lift)
+                own = 0.5 * float(penalty @ (theta * theta))
+                return exact / count + own, smooth / count + own, g / count + penalty * theta, h / count + np.diag(penalty)
+            return at
+
+        theta, mu, shrink, floor = np.zeros(k + 1), 1.0, 4.0, 0.0
+        if n > 10 * _START_ROWS:
+            some = persist_for_passes(data.sample(_START_ROWS / n, seed=42))
+            try:
+                (exact, theta), *_ = _newton(on(some, max(some.count(), 1)), theta, mu, shrink, max_iter, max(tol, 0.03))
+            finally:
+                some.unpersist()
+            mu, shrink, floor = min(1.0, 0.1 * exact), 10.0, 0.99
+        best, passes, converged = _newton(on(data, n), theta, mu, shrink, max_iter, tol, floor)
     finally:
         data.unpersist()
     if not converged:
@@ -455,6 +452,37 @@ def _fit_svr(df: DataFrame, cols: list[str], label: str, epsilon: float, C: floa
     return best[1], center, scale, best[0], converged
 
 
+def _newton(at, theta: np.ndarray, mu: float, shrink: float, max_iter: int, tol: float, floor: float = 0.0):
+    """((objective, theta), passes, converged) of damped Newton steps from ``theta``;
+    ``at(theta, mu)`` is one pass, ``mu`` falls by ``shrink`` where it is solved,
+    to ``floor`` of its last value at least."""
+    eye = np.eye(len(theta))
+    damping, passes, converged = 1e-8, 1, False
+    exact, smooth, g, h = at(theta, mu)
+    best = (exact, theta)
+    while passes < max_iter:
+        step = np.linalg.solve(h + damping * eye, -g)
+        gain = -0.5 * float(g @ step)
+        if gain <= 0.1 * tol * smooth or damping > 1e8:
+            if mu <= tol * exact or exact <= 1e-12:
+                converged = True
+                break
+            mu, damping = max(mu / shrink, floor * tol * exact), max(damping / 100, 1e-8)
+            exact, smooth, g, h = at(theta, mu)
+            passes += 1
+            continue
+        new = at(theta + step, mu)
+        passes += 1
+        if new[1] < smooth - 1e-4 * gain:
+            theta, damping = theta + step, max(damping / 10, 1e-8)
+            exact, smooth, g, h = new
+            if exact < best[0]:
+                best = (exact, theta)
+        else:
+            damping = max(damping * 10, 1e-6)
+    return best, passes, converged
+
+
 # ------------------------------------------------------------ predictions, importances
 
 def predict(model, df: DataFrame, name: str) -> DataFrame:

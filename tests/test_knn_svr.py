@@ -3,6 +3,7 @@
 import itertools
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +118,21 @@ def test_kernel_svr_beats_linear_on_a_ring(spark):
     assert np.allclose(again.theta, model.theta, atol=0.02)
     odd = spark.createDataFrame([(None, 1.0), (0.5, 1.0)], "a double, b double")
     assert [r["prediction"] is None for r in model.transform(odd).collect()] == [True, False]
+
+
+def test_svr_of_many_rows_passes_over_them_a_few_times(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    x = rng.uniform(-2, 2, (4000, 2))
+    y = np.sin(2 * x[:, 0]) * x[:, 1] + rng.normal(0, 0.1, 4000)
+    df = spark.createDataFrame([(float(a), float(b), float(c)) for (a, b), c in zip(x, y)], "a double, b double, y double")
+    passes, plain = [], M._svr_sums
+    monkeypatch.setattr(M, "_svr_sums", lambda data, *a: passes.append(data.count()) or plain(data, *a))
+    fit = lambda: M.fit_linear_svr(df, ["a", "b"], "y", epsilon=0.05)
+    whole = fit()
+    before = len(passes)
+    assert set(passes) == {4000}
+    monkeypatch.setattr(M, "_START_ROWS", 390)
+    passes.clear()
+    started = fit()
+    assert started.converged and abs(started.objective / whole.objective - 1) < 3e-3
+    assert max(passes[:3]) < 600 and 0 < passes.count(4000) < 0.7 * before
