@@ -56,6 +56,49 @@ def _pivot_distances(vecs: pd.Series, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(d2, 0.0))
 
 
+def _blocks(batches, n_pivots: int):
+    """Slices of the batches with at most ``_BLOCK_PAIRS`` / 8 distances to
+    pivots: the dozen arrays of that size in a search step stay bounded."""
+    rows = max(1, _BLOCK_PAIRS // (8 * n_pivots))
+    for pdf in batches:
+        for i in range(0, len(pdf), rows):
+            yield pdf.iloc[i:i + rows].copy()
+
+
+def _assigned(pivots: np.ndarray):
+    """Adds each training point's cell and its distance to that pivot."""
+    def assign(it):
+        for pdf in _blocks(it, len(pivots)):
+            d = _pivot_distances(pdf["t_vec"], pivots)
+            c = d.argmin(1)
+            pdf["cell"] = c.astype("int32")
+            pdf["d_cell"] = d[np.arange(len(c)), c]
+            yield pdf
+    return assign
+
+
+def _reached(pivots: np.ndarray, radius: np.ndarray, count: np.ndarray, k: int):
+    """Adds the cells that can hold one of a query's k nearest points."""
+    nonempty = count > 0
+
+    def candidates(it):
+        for pdf in _blocks(it, len(pivots)):
+            d = _pivot_distances(pdf["q_vec"], pivots)
+            order = np.argsort(np.where(nonempty, d, np.inf), axis=1, kind="stable")
+            cum = np.cumsum(count[order], axis=1)
+            reach = np.where(nonempty[order], np.take_along_axis(d, order, 1) + radius[order],
+                             -np.inf)
+            run_max = np.maximum.accumulate(reach, axis=1)
+            hit = cum >= k
+            idx = np.where(hit.any(1), hit.argmax(1), d.shape[1] - 1)
+            upper = run_max[np.arange(len(idx)), idx]
+            bound = upper * (1 + _SLACK) + _SLACK
+            mask = nonempty[None, :] & (d - radius[None, :] <= bound[:, None])
+            pdf["cells"] = [np.nonzero(m)[0].astype("int32") for m in mask]
+            yield pdf
+    return candidates
+
+
 def knn_regress(train: DataFrame, query: DataFrame, id_col: str, vec_col: str,
                 label_col: str, k: int = 5, n_pivots: int | None = None,
                 chunk_rows: int = 20_000, query_block_rows: int = 20_000,
@@ -103,19 +146,9 @@ def exact_neighbours(train: DataFrame, query: DataFrame, id_col: str, vec_col: s
     pivots = np.array([r["t_vec"] for r in piv_rows], dtype=np.float64)
 
     # -- 1. assign training points to cells
-    def assign(it):
-        for pdf in it:
-            if pdf.empty:
-                continue
-            d = _pivot_distances(pdf["t_vec"], pivots)
-            c = d.argmin(1)
-            pdf = pdf.copy()
-            pdf["cell"] = c.astype("int32")
-            pdf["d_cell"] = d[np.arange(len(c)), c]
-            yield pdf
     t_schema = T.StructType(t.schema.fields + [T.StructField("cell", T.IntegerType()),
                                                T.StructField("d_cell", T.DoubleType())])
-    assigned = cut_lineage(t.mapInPandas(assign, t_schema))  # read by 2 jobs + the join
+    assigned = cut_lineage(t.mapInPandas(_assigned(pivots), t_schema))  # read by 2 jobs + the join
     stats = assigned.groupBy("cell").agg(F.max("d_cell").alias("r"),
                                          F.count(F.lit(1)).alias("n")).collect()  # <= P rows
     radius = np.full(len(pivots), -np.inf)
@@ -125,30 +158,10 @@ def exact_neighbours(train: DataFrame, query: DataFrame, id_col: str, vec_col: s
     chunks = {int(c): max(1, math.ceil(n / chunk_rows)) for c, n in enumerate(count) if n > 0}
 
     # -- 2. candidate cells per query
-    def candidates(it):
-        for pdf in it:
-            if pdf.empty:
-                continue
-            d = _pivot_distances(pdf["q_vec"], pivots)
-            nonempty = count > 0
-            order = np.argsort(np.where(nonempty, d, np.inf), axis=1, kind="stable")
-            cum = np.cumsum(count[order], axis=1)
-            reach = np.where(nonempty[order], np.take_along_axis(d, order, 1) + radius[order],
-                             -np.inf)
-            run_max = np.maximum.accumulate(reach, axis=1)
-            hit = cum >= k
-            idx = np.where(hit.any(1), hit.argmax(1), d.shape[1] - 1)
-            upper = run_max[np.arange(len(idx)), idx]
-            bound = upper * (1 + _SLACK) + _SLACK
-            mask = nonempty[None, :] & (d - radius[None, :] <= bound[:, None])
-            cands = [np.nonzero(m)[0].astype("int32") for m in mask]
-            pdf = pdf.copy()
-            pdf["cells"] = cands
-            yield pdf
     q = query.select(F.col(id_col).alias("q_id"), F.col(vec_col).alias("q_vec"))
     q_schema = T.StructType(q.schema.fields + [
         T.StructField("cells", T.ArrayType(T.IntegerType()))])
-    qc = cut_lineage(q.mapInPandas(candidates, q_schema).select(
+    qc = cut_lineage(q.mapInPandas(_reached(pivots, radius, count, k), q_schema).select(
         "q_id", "q_vec", F.explode("cells").alias("cell")))  # counted, then joined
     q_count = {int(r["cell"]): int(r["n"]) for r in
                qc.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # <= P rows

@@ -136,3 +136,25 @@ def test_svr_of_many_rows_passes_over_them_a_few_times(spark, monkeypatch):
     started = fit()
     assert started.converged and abs(started.objective / whole.objective - 1) < 3e-3
     assert max(passes[:3]) < 600 and 0 < passes.count(4000) < 0.7 * before
+
+
+def test_search_steps_are_bounded_by_pairs(monkeypatch):
+    """Distances to all pivots are held for a bounded number of rows at once, whatever the batch."""
+    rng = np.random.default_rng(8)
+    pivots = rng.normal(size=(64, 4))
+    sizes, plain = [], knn._pivot_distances
+    monkeypatch.setattr(knn, "_BLOCK_PAIRS", 6400)
+    monkeypatch.setattr(knn, "_pivot_distances", lambda v, p: sizes.append(len(v) * len(p)) or plain(v, p))
+    batch = pd.DataFrame({"t_id": range(1000), "t_vec": list(rng.normal(size=(1000, 4))), "t_label": 0.0})
+    cells = pd.concat(list(knn._assigned(pivots)([batch])))
+    d = plain(batch["t_vec"], pivots)
+    assert (cells["cell"].to_numpy() == d.argmin(1)).all() and (cells["d_cell"].to_numpy() == d.min(1)).all()
+    count = np.bincount(cells["cell"], minlength=64)
+    radius = np.array([cells["d_cell"][cells["cell"] == c].max() if count[c] else -np.inf for c in range(64)])
+    asked = pd.DataFrame({"q_id": range(500), "q_vec": list(rng.normal(size=(500, 4)))})
+    reached = knn._reached(pivots, radius, count, 5)
+    parts = pd.concat(list(reached([asked])))
+    assert max(sizes) <= 6400 and parts["q_id"].tolist() == list(range(500))
+    monkeypatch.setattr(knn, "_BLOCK_PAIRS", 10 ** 9)
+    whole = pd.concat(list(reached([asked])))
+    assert [c.tolist() for c in parts["cells"]] == [c.tolist() for c in whole["cells"]]
