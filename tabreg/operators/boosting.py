@@ -10,13 +10,13 @@ the residuals, adds its prediction to the column in a new persisted frame
 (which its aggregate fills) and drops the one before. The frames' lineage, and
 with it the plan, grows by one stage at a time and is cut by a reliable
 checkpoint every ``checkpoint_every`` stages, so a lost executor costs at most
-those stages, and the plan stays small for any number of rounds.
+those stages, and the plan stays small for any number of rounds. The frames of
+a large input are its cells (``cells``), which give the same trees and errors.
 """
 
 from __future__ import annotations
 
 import math
-import uuid
 from typing import Any
 
 from pyspark import StorageLevel
@@ -24,6 +24,8 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel, GBT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabreg.operators import cells
+from tabreg.operators.cells import TrainingRows, training
 from tabreg.session import cut_lineage, persist_for_passes
 
 _SUM, _RESIDUAL, _TREE = "__boost_sum", "__boost_residual", "__boost_tree"
@@ -44,20 +46,14 @@ def _tree(estimator: GBTRegressor) -> DecisionTreeRegressor:
                                  impurity="variance", seed=estimator.getSeed(), **own)
 
 
-def _model(spark, estimator: GBTRegressor, trees: list, weights: list[float]) -> GBTRegressionModel:
-    """The trees as one of Spark's own boosted models."""
-    gateway = spark.sparkContext._gateway
-    ml = gateway.jvm.org.apache.spark.ml.regression
-    java_trees = gateway.new_array(ml.DecisionTreeRegressionModel, len(trees))
-    java_weights = gateway.new_array(gateway.jvm.double, len(weights))
-    for i, (t, w) in enumerate(zip(trees, weights)):
-        java_trees[i], java_weights[i] = t._java_obj, float(w)
-    java = ml.GBTRegressionModel(f"GBTRegressor_{uuid.uuid4().hex[:12]}", java_trees, java_weights)
-    model = GBTRegressionModel(java)
-    model._resetUid(java.uid())
-    model._transfer_params_from_java()
-    return model.copy({model.featuresCol: estimator.getFeaturesCol(), model.labelCol: estimator.getLabelCol(),
-                       model.predictionCol: estimator.getPredictionCol()})
+def _cells(estimator: GBTRegressor, train: TrainingRows, val: TrainingRows) -> tuple[cells.Cells, DataFrame] | None:
+    """Cells of both inputs by the candidates of the training rows: every row of
+    a cell has the same prediction, so errors follow from the cells as well."""
+    table = train.cells(estimator)
+    if table is None:
+        return None
+    own = val.grouped(estimator.getFeaturesCol(), estimator.getLabelCol(), table.points)
+    return own and (table, cells.with_points(own[0], table.points))
 
 
 def boost_until_stopped(estimator: GBTRegressor, train: DataFrame, val: DataFrame, patience: int = 30,
@@ -78,13 +74,35 @@ def boost_until_stopped(estimator: GBTRegressor, train: DataFrame, val: DataFram
         raise ValueError("patience is one round at least")
     spark, label = train.sparkSession, estimator.getLabelCol()
     columns = [estimator.getFeaturesCol(), label]
-    frames = [persist_for_passes(train.select(*columns).withColumn(_SUM, F.lit(0.0))),
-              val.select(*columns).withColumn(_SUM, F.lit(0.0)).persist(StorageLevel.MEMORY_AND_DISK)]
+    with training(train) as train_rows, training(val) as val_rows:
+        found = _cells(estimator, train_rows, val_rows)
+        if found:
+            columns, label = [cells._FEATURES, cells._LABEL, cells._WEIGHT, cells._VARIANCE], cells._LABEL
+            w = F.col(cells._WEIGHT)
+            error = F.sqrt(F.sum(w * (F.col(cells._VARIANCE) + (F.col(label) - F.col(_SUM)) ** 2)) / F.sum(w))
+            learner = cells._tree_of(estimator, found[0]).setLabelCol(_RESIDUAL).setPredictionCol(_TREE)
+            inputs = [found[0].frame, found[1]]
+        else:
+            error, learner, inputs = F.sqrt(F.avg((F.col(label) - F.col(_SUM)) ** 2)), _tree(estimator), [train, val]
+        first, second = [f.select(*columns).withColumn(_SUM, F.lit(0.0)) for f in inputs]
+        frames = [persist_for_passes(first), second.persist(StorageLevel.MEMORY_AND_DISK)]
+        trees, curve, best = _stages(estimator, learner, frames, columns, label, error, patience, checkpoint_every)
+    if best[1] < 0:  # no validation row: all rounds count
+        best = (math.nan, len(trees) - 1)
+    kept = trees[:best[1] + 1]
+    model = cells.boosted(spark, estimator, kept, [1.0] + [estimator.getStepSize()] * (len(kept) - 1),
+                          estimator.getFeaturesCol(), estimator.getPredictionCol())
+    return model, curve, {"stop_round": len(trees) - 1, "best_round": best[1], "best_rmse": best[0]}
+
+
+def _stages(estimator: GBTRegressor, learner, frames: list[DataFrame], columns: list[str], label: str, error,
+            patience: int, checkpoint_every: int):
+    """(trees, curve, (best error, best round)); the frames are released."""
     trees, curve, best = [], [], (math.inf, -1)
     try:
         for stage in range(estimator.getMaxIter()):
             residual = F.col(label) - F.col(_SUM)
-            tree = _tree(estimator).fit(frames[0].withColumn(_RESIDUAL, residual * 2.0 if stage else residual))
+            tree = learner.fit(frames[0].withColumn(_RESIDUAL, residual * 2.0 if stage else residual))
             weight = estimator.getStepSize() if stage else 1.0
             errors, grown = [], []
             for old in frames:
@@ -92,7 +110,7 @@ def boost_until_stopped(estimator: GBTRegressor, train: DataFrame, val: DataFram
                 new = cut_lineage(new) if (stage + 1) % checkpoint_every == 0 else new
                 grown.append(new.persist(StorageLevel.MEMORY_AND_DISK))
                 # the aggregate also fills the cache; only then may the frame before go
-                errors.append(new.agg(F.sqrt(F.avg((F.col(label) - F.col(_SUM)) ** 2))).first()[0])
+                errors.append(new.agg(error).first()[0])
                 old.unpersist()
             frames = grown
             trees.append(tree)
@@ -104,8 +122,4 @@ def boost_until_stopped(estimator: GBTRegressor, train: DataFrame, val: DataFram
     finally:
         for f in frames:
             f.unpersist()
-    if best[1] < 0:  # no validation row: all rounds count
-        best = (math.nan, len(trees) - 1)
-    kept = trees[:best[1] + 1]
-    model = _model(spark, estimator, kept, [1.0] + [estimator.getStepSize()] * (len(kept) - 1))
-    return model, curve, {"stop_round": len(trees) - 1, "best_round": best[1], "best_rmse": best[0]}
+    return trees, curve, best
