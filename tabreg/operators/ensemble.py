@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabreg.functions.rowwise import linear_combination, mean_of
+from tabreg.operators.cells import TrainingRows
 from tabreg.operators.models import FIT_PARALLELISM, fit_built, fit_many, predict, ridge
 from tabreg.operators.prep import train_test_split, with_kfold
 from tabreg.session import cut_lineage, persist_for_passes
@@ -187,10 +188,13 @@ def out_of_fold(df: DataFrame, key: Sequence[str], label: str,
     if fold_col not in df.columns:
         df = with_kfold(df, list(key), k, salt, fold_col)
     base = persist_for_passes(df)
+    folds = TrainingRows(base, [fold_col])
     try:
         jobs = [(f, name, est) for f in range(k) for name, est in members.items()]
-        fitted = _fit_many([(est, base.filter(F.col(fold_col) != f)) for f, _, est in jobs],
-                           parallelism)
+        folds._direct = base
+        fitted = fit_many([(est, f) for f, _, est in jobs], parallelism, lambda est, f: (
+            _fit(est, base.filter(F.col(fold_col) != f)) if callable(est) and not hasattr(est, "fit")
+            else folds.fit(est, F.col(fold_col) != f)))
         models = {(f, name): m for (f, name, _), m in zip(jobs, fitted)}
         parts = []
         for f in range(k):
@@ -200,6 +204,7 @@ def out_of_fold(df: DataFrame, key: Sequence[str], label: str,
             parts.append(hold.select(*key, fold_col, label, *members))
         oof = cut_lineage(reduce(lambda a, b: a.unionByName(b), parts))
     finally:
+        folds.release()
         base.unpersist()
     return oof
 
