@@ -17,6 +17,7 @@ from typing import Any, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import (
     DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor,
 )
@@ -182,23 +183,133 @@ class BaggedModel:
 _POISSON_CDF = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(15)]).tolist()
 
 
+def _bootstrap_number(key: Sequence[str], seed: int) -> Column:
+    """A number of 52 bits from a hash of the row's key."""
+    return F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in key]), F.lit(1 << 52))
+
+
 def bootstrap_weight(key: Sequence[str], seed: int) -> Column:
     """Times a row is drawn, from a hash of its key: the same after any
     repartitioning or recomputation, with no shuffle and no copied rows."""
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in key])
-    u = F.pmod(h, F.lit(1 << 52)) / F.lit(float(1 << 52))
+    u = _bootstrap_number(key, seed) / F.lit(float(1 << 52))
     return sum((F.when(u >= t, 1.0).otherwise(0.0) for t in _POISSON_CDF), F.lit(0.0))
 
 
+#: Members whose moments one pass takes, and the numbers that a task holds for them at most.
+_MEMBERS_A_PASS, _MOMENTS_MOST = 64, 1 << 20
+
+
+def _merged(a: tuple, b: tuple) -> tuple:
+    """Moments (rows, means, sums of centred products) of each member over both parts."""
+    n = a[0] + b[0]
+    share = np.divide(b[0], n, out=np.zeros_like(n), where=n > 0)
+    d = b[1] - a[1]
+    return (n, a[1] + share[:, None] * d,
+            a[2] + b[2] + (a[0] * share)[:, None, None] * d[:, :, None] * d[:, None, :])
+
+
+def _member_moments(df: DataFrame, key: Sequence[str], seeds: Sequence[int], features: str, label: str,
+                    width: int) -> list[tuple] | None:
+    """(rows, means, covariances) of features and label of each member's bootstrap
+    sample, in one pass: a task reduces its batches to one row a member, whose
+    parts are centred, so nothing cancels. None where the pass finds a value that
+    is null or not finite, a vector of another width or a member without rows."""
+    m, p = len(seeds), width + 1
+    names = [f"x{i}" for i in range(width)]
+    drawn = df.select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"),
+                      *[_bootstrap_number(key, s).alias(f"u{i}") for i, s in enumerate(seeds)])
+    rows = drawn.select(*[F.get("x", F.lit(i)).alias(c) for i, c in enumerate(names)],
+                        F.when(F.size("x") == width, F.col("y")).alias("y"), *[f"u{i}" for i in range(m)])
+    cdf = np.array(_POISSON_CDF)
+
+    def partial(batches):
+        total, odd = (np.zeros(m), np.zeros((m, p)), np.zeros((m, p, p))), False
+        for pdf in (b.iloc[i:i + _LIFT_ROWS] for b in batches for i in range(0, len(b), _LIFT_ROWS)):
+            z = pdf[[*names, "y"]].to_numpy(np.float64)
+            if not np.isfinite(z).all():
+                odd = True
+                break
+            u = pdf[[f"u{i}" for i in range(m)]].to_numpy(np.int64) / float(1 << 52)
+            w = np.searchsorted(cdf, u.ravel(), side="right").reshape(u.shape).astype(np.float64)
+            near = z.mean(axis=0)
+            z -= near
+            n, s = w.sum(axis=0), w.T @ z
+            mean = np.divide(s, n[:, None], out=np.zeros_like(s), where=n[:, None] > 0)
+            products = np.stack([(z * w[:, [i]]).T @ z for i in range(m)])
+            total = _merged(total, (n, mean + near, products - n[:, None, None] * mean[:, :, None] * mean[:, None, :]))
+        yield pd.DataFrame({"member": np.arange(m), "n": total[0], "mean": total[1].tolist(),
+                            "m2": total[2].reshape(m, -1).tolist(), "odd": odd})
+
+    def merged(pdf):
+        total = (np.zeros(1), np.zeros((1, p)), np.zeros((1, p, p)))
+        for r in pdf.itertuples():
+            total = _merged(total, (np.array([r.n]), np.array([r.mean]), np.array(r.m2).reshape(1, p, p)))
+        return pd.DataFrame({"member": pdf["member"].iloc[:1], "n": total[0], "mean": total[1].tolist(),
+                             "m2": total[2].reshape(1, -1).tolist(), "odd": pdf["odd"].any()})
+
+    schema = "member int, n double, mean array<double>, m2 array<double>, odd boolean"
+    found = {r["member"]: r for r in rows.mapInPandas(partial, schema).groupBy("member").applyInPandas(merged, schema).collect()}
+    if len(found) < m or any(r["odd"] or r["n"] == 0 for r in found.values()):
+        return None
+    return [(r["n"], np.array(r["mean"]), np.array(r["m2"]).reshape(p, p) / r["n"]) for _, r in sorted(found.items())]
+
+
+def _few_rows(n: float, mean: np.ndarray, cov: np.ndarray) -> list[tuple[float, list[float], float]]:
+    """(weight, features, label) of a few rows with this weight, mean and covariance."""
+    p, scale = len(mean), np.sqrt(np.maximum(np.diag(cov), 0.0))
+    unit = np.where(scale > 0, scale, 1.0)
+    value, vector = np.linalg.eigh(cov / np.outer(unit, unit))
+    step = (vector * np.sqrt(np.maximum(value, 0.0) * p)) * scale[:, None]
+    return [(n / (2 * p), at[:-1].tolist(), float(at[-1])) for j in range(p) for at in (mean + step[:, j], mean - step[:, j])]
+
+
+def _fit_by_moments(estimator, df: DataFrame, key: Sequence[str], seeds: Sequence[int], weight: str,
+                    parallelism: int) -> list | None:
+    """Members of a linear regression that is solved by normal equations: these
+    take from the rows only moments, so Spark's solver gets a few rows with the
+    moments of a member's sample instead of the sample. The models have no
+    training summary, which would take the rows. None where this doesn't hold."""
+    if not (isinstance(estimator, LinearRegression) and estimator.getSolver() == "normal"
+            and estimator.getLoss() == "squaredError"):
+        return None
+    features, label = estimator.getFeaturesCol(), estimator.getLabelCol()
+    first = df.select(features).first()
+    if first is None or first[0] is None or first[0].size == 0:
+        return None
+    width = first[0].size
+    at_once = min(_MEMBERS_A_PASS, _MOMENTS_MOST // (width + 1) ** 2)
+    if not at_once:
+        return None
+    rows = []
+    for i in range(0, len(seeds), at_once):
+        part = _member_moments(df, key, seeds[i:i + at_once], features, label, width)
+        if part is None:
+            return None
+        rows += [(i + j, *r) for j, moments in enumerate(part) for r in _few_rows(*moments)]
+    few = df.sparkSession.createDataFrame(rows, "member int, w double, x array<double>, y double").coalesce(1).select(
+        "member", F.col("w").alias(weight), array_to_vector("x").alias(features), F.col("y").alias(label)).persist()
+    try:
+        models = fit_many([(estimator, few.filter(F.col("member") == i)) for i in range(len(seeds))], parallelism)
+    finally:
+        few.unpersist()
+    for model in models:
+        model._java_obj.setSummary(df.sparkSession._jvm.scala.Option.empty())
+    return models
+
+
 def bagging(estimator, df: DataFrame, key: Sequence[str], n_estimators: int = 10, seed: int = 42,
             pred: str = "prediction", parallelism: int = FIT_PARALLELISM) -> BaggedModel:
     """M7 generic: member i sees every row ``bootstrap_weight(key, seed + i)``
-    times, as its weight; members are fitted concurrently over one cached
-    frame. The estimator must take row weights."""
+    times, as its weight. Linear regressions by normal equations take the moments
+    of up to 64 members from one pass over the rows; other members are fitted
+    concurrently over one cached frame. The estimator must take row weights."""
     if not hasattr(estimator, "weightCol"):
         raise ValueError(f"{type(estimator).__name__} takes no row weights")
     weight = "__bag_weight"
     member = estimator.copy({estimator.weightCol: weight})
+    models = _fit_by_moments(member, df, key, [seed + i for i in range(n_estimators)], weight, parallelism)
+    if models is not None:
+        return BaggedModel(models, pred)
     cached = persist_for_passes(df)
     try:
         models = fit_many([(member, cached.withColumn(weight, bootstrap_weight(key, seed + i)).filter(F.col(weight) > 0))

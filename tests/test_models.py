@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import Vectors
 
 from tabreg.operators import models as M
 from tabreg.operators.evaluate import metrics
@@ -120,6 +121,48 @@ def test_svr_leaves_out_null_rows_and_warns_unconverged(spark):
         assert not M.fit_linear_svr(spark.createDataFrame(rows, schema), ["x"], "label", max_iter=2).converged
 
 
+@pytest.mark.parametrize("build", [
+    M.linear_regression, lambda: M.linear_regression().setFitIntercept(False),
+    lambda: M.linear_regression().setRegParam(0.3).setStandardization(True),
+    lambda: M.linear_regression().setRegParam(5.0).setElasticNetParam(0.5)])
+def test_bagged_linear_members_take_moments_of_one_pass(spark, monkeypatch, build):
+    rng = np.random.default_rng(3)
+    x = rng.normal([1e6, 5.0, 0.05], [40.0, 3.0, 0.02], (3000, 3))
+    y = x @ [0.5, -2.0, 300.0] + rng.normal(0, 1, 3000)
+    keys = [None if i % 50 == 0 else i // 2 for i in range(3000)]
+    df = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(spark.createDataFrame(
+        [(k, *map(float, r), float(v)) for k, r, v in zip(keys, x, y)], "k long, a double, b double, c double, label double"))
+    fitted = []
+    monkeypatch.setattr(M, "fit_many", lambda jobs, *a, real=M.fit_many: real(fitted.extend(jobs) or fitted, *a))
+    bag = M.bagging(build(), df, ["k"], n_estimators=5, seed=7)
+    assert len(fitted) == 5 and max(d.count() for _, d in fitted) <= 8  # however many rows there are
+    for i, m in enumerate(bag.models):
+        e = build()
+        own = e.copy({e.weightCol: "w"}).fit(df.withColumn("w", M.bootstrap_weight(["k"], 7 + i)).filter("w > 0"))
+        center = x.mean(axis=0)
+        np.testing.assert_allclose(m.coefficients.toArray(), own.coefficients.toArray(), rtol=1e-4, atol=1e-6)
+        assert math.isclose(m.predict(Vectors.dense(center)), own.predict(Vectors.dense(center)), rel_tol=1e-8)
+        assert not m.hasSummary
+    monkeypatch.setattr(M, "_MEMBERS_A_PASS", 2)
+    again = M.bagging(build(), df, ["k"], n_estimators=5, seed=7)
+    for a, b in zip(bag.models, again.models):
+        np.testing.assert_allclose(a.coefficients.toArray(), b.coefficients.toArray(), rtol=1e-6)
+
+
+def test_bagging_of_other_rows_and_learners_is_as_before(spark):
+    rows = [(i, Vectors.dense([float(i % 7)]), 2.0 * (i % 7) + i % 3) for i in range(200)]
+    frame = lambda more=(): spark.createDataFrame([*rows, *more], ["id", "features", "label"])
+    for odd in (Vectors.dense([math.nan]), Vectors.dense([math.inf]), Vectors.dense([1.0, 2.0])):
+        with pytest.raises(Exception):
+            M.bagging(M.linear_regression(), frame([(999, odd, 1.0)]), ["id"], n_estimators=8)
+    with pytest.raises(Exception):
+        M.bagging(M.linear_regression(), frame([(999, rows[0][1], None)]), ["id"], n_estimators=8)
+    flat = spark.createDataFrame([(i, Vectors.dense([4.0]), 3.0) for i in range(50)], ["id", "features", "label"])
+    assert M.bagging(M.linear_regression(), flat, ["id"], n_estimators=2).transform(flat).filter("abs(prediction - 3) > 1e-9").count() == 0
+    trees = M.bagging(M.decision_tree(2), frame(), ["id"], n_estimators=2)
+    assert trees.transform(frame()).filter("abs(prediction - label) < 2").count() == 200
+
+
 def test_bagging_is_independent_of_the_layout(spark):
     df = VectorAssembler(inputCols=["x"], outputCol="features").transform(
         spark.range(500).selectExpr("id", "CAST(id % 37 AS DOUBLE) AS x", "CAST(3 * (id % 37) + id % 5 AS DOUBLE) AS label"))
