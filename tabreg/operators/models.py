@@ -183,15 +183,14 @@ class BaggedModel:
 _POISSON_CDF = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(15)]).tolist()
 
 
-def _bootstrap_number(key: Sequence[str], seed: int) -> Column:
-    """A number of 52 bits from a hash of the row's key."""
-    return F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in key]), F.lit(1 << 52))
+def _bootstrap_hash(key: Sequence[str], seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), *[F.col(c) for c in key])
 
 
 def bootstrap_weight(key: Sequence[str], seed: int) -> Column:
     """Times a row is drawn, from a hash of its key: the same after any
     repartitioning or recomputation, with no shuffle and no copied rows."""
-    u = _bootstrap_number(key, seed) / F.lit(float(1 << 52))
+    u = F.pmod(_bootstrap_hash(key, seed), F.lit(1 << 52)) / F.lit(float(1 << 52))
     return sum((F.when(u >= t, 1.0).otherwise(0.0) for t in _POISSON_CDF), F.lit(0.0))
 
 
@@ -217,7 +216,7 @@ def _member_moments(df: DataFrame, key: Sequence[str], seeds: Sequence[int], fea
     m, p = len(seeds), width + 1
     names = [f"x{i}" for i in range(width)]
     drawn = df.select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"),
-                      *[_bootstrap_number(key, s).alias(f"u{i}") for i, s in enumerate(seeds)])
+                      *[_bootstrap_hash(key, s).alias(f"u{i}") for i, s in enumerate(seeds)])
     rows = drawn.select(*[F.get("x", F.lit(i)).alias(c) for i, c in enumerate(names)],
                         F.when(F.size("x") == width, F.col("y")).alias("y"), *[f"u{i}" for i in range(m)])
     cdf = np.array(_POISSON_CDF)
@@ -229,7 +228,7 @@ def _member_moments(df: DataFrame, key: Sequence[str], seeds: Sequence[int], fea
             if not np.isfinite(z).all():
                 odd = True
                 break
-            u = pdf[[f"u{i}" for i in range(m)]].to_numpy(np.int64) / float(1 << 52)
+            u = (pdf[[f"u{i}" for i in range(m)]].to_numpy(np.int64) & ((1 << 52) - 1)) / float(1 << 52)
             w = np.searchsorted(cdf, u.ravel(), side="right").reshape(u.shape).astype(np.float64)
             near = z.mean(axis=0)
             z -= near
