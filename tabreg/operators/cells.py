@@ -307,7 +307,9 @@ def _fit_cells(estimator, frame: DataFrame, table: Cells):
     own = _on_cells(table, {p: estimator.getOrDefault(p) for p in _OWN})
     own |= {"featuresCol": _FEATURES, "labelCol": _LABEL, "weightCol": _WEIGHT}
     model = estimator.copy({estimator.getParam(k): v for k, v in own.items()}).fit(frame)
-    return model.copy({model.featuresCol: estimator.getFeaturesCol(), model.labelCol: estimator.getLabelCol()})
+    model = model.copy({model.featuresCol: estimator.getFeaturesCol(), model.labelCol: estimator.getLabelCol()})
+    model.clear(model.weightCol)  # only cells have this column; a model's errors are taken on rows
+    return model
 
 
 def _java_trees(spark, trees: list):

@@ -92,3 +92,11 @@ def test_rows_with_nulls_are_not_grouped(spark, rows, monkeypatch):
     holes = rows.withColumn("label", F.when(F.col("id") != 7, F.col("label")))
     with C.training(holes) as t:
         assert t.cells(M.decision_tree(3)) is None
+
+
+def test_learning_curve_of_stumps_fitted_on_cells(spark, rows, monkeypatch):
+    """The model is fitted on weighted cells; its errors are those of the rows, which have no weight."""
+    est = lambda: M.gbt("classic", n_estimators=4, max_depth=1, max_bin=64)
+    curve = lambda: [r["value"] for r in M.learning_curve(spark, M.fit(est(), rows), {"v": rows}).orderBy("round").collect()]
+    direct, by_cells, used = _both(monkeypatch, curve)
+    assert used and len(by_cells) == 4 and np.allclose(direct, by_cells, atol=1e-9)
