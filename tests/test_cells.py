@@ -100,3 +100,13 @@ def test_learning_curve_of_stumps_fitted_on_cells(spark, rows, monkeypatch):
     curve = lambda: [r["value"] for r in M.learning_curve(spark, M.fit(est(), rows), {"v": rows}).orderBy("round").collect()]
     direct, by_cells, used = _both(monkeypatch, curve)
     assert used and len(by_cells) == 4 and np.allclose(direct, by_cells, atol=1e-9)
+
+
+def test_learning_curve_of_both_metrics_on_two_datasets(spark, rows, monkeypatch):
+    train, test = rows.filter("id % 4 > 0"), rows.filter("id % 4 = 0")
+    est = lambda: M.gbt("histogram", n_estimators=2, max_depth=3)
+    curve = lambda: M.learning_curve(spark, M.fit(est(), train), {"train": train, "test": test},
+                                     {"rmse": "squared", "mae": "absolute"}).orderBy("dataset", "metric", "round").collect()
+    direct, by_cells, used = _both(monkeypatch, curve)
+    assert used and len(by_cells) == 8 and [r[:3] for r in direct] == [r[:3] for r in by_cells]
+    assert np.allclose([r["value"] for r in direct], [r["value"] for r in by_cells], atol=1e-9)
